@@ -522,9 +522,8 @@ def stream_latest(spark, sf_dir):
     feeds.use_rocksdb_state(spark)
     rows = V.view(spark, sf_dir, V.REVISIONS)
     stream = landed(spark, rows, 4, "ingested_at")
-    return feeds.drain_complete(
-        latest_revision(stream, then=["position"]), scratch_dir(spark, "out"), scratch_dir(spark, "cp")
-    )
+    newest = feeds.latest_state(stream, then=("ingested_at", "position"))
+    return feeds.drain_complete(newest, scratch_dir(spark, "out"), scratch_dir(spark, "cp"))
 
 
 @query

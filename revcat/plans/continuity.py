@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from revcat.functions.numbers import ratio, round_half_away
 from revcat.functions.times import instant, whole
 from revcat.operators.instants import previous_instant, runs_of
+from revcat.session import written
 
 # Verdict texts and the schedule they assume.
 FIRST = "first run in window"
@@ -32,7 +33,7 @@ def run_gaps(
     """
     window = _since(runs, as_of, days)
     ticks = window.groupBy("started_at").agg(F.min("run_id").alias("first_run_id"))
-    steps = previous_instant(ticks, "started_at", "previous_tick")
+    steps = previous_instant(written(ticks, "ticks"), "started_at", "previous_tick")
     previous = F.when(F.col("run_id") == F.col("first_run_id"), F.col("previous_tick")).otherwise(
         F.col("started_at")
     )
@@ -171,4 +172,4 @@ def delivery_ratio(
 def uptime_sessions(runs: DataFrame, max_gap: str = "20 minutes") -> DataFrame:
     """Unbroken stretches of runs: (session_start, session_end, runs)."""
     ticks = runs.groupBy("started_at").agg(F.count(F.lit(1)).alias("n"))
-    return runs_of(ticks, "started_at", max_gap, "n").withColumnRenamed("rows", "runs")
+    return runs_of(written(ticks, "ticks"), "started_at", max_gap, "n").withColumnRenamed("rows", "runs")

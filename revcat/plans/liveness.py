@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from revcat.functions.numbers import round_half_away
 from revcat.functions.times import instant, whole
 from revcat.operators.instants import previous_instant
+from revcat.session import written
 
 
 def arrivals_per_hour(catalog: DataFrame, as_of, days: int = 3) -> DataFrame:
@@ -84,23 +85,25 @@ def seam_check(catalog: DataFrame, bulk: str = "seed", days: int = 1) -> DataFra
         F.max(F.when(~later, F.col("event_time"))).alias("bulk_last"),
         F.min(F.when(later, F.col("event_time"))).alias("later_first"),
     )
+    # Two instants come to the driver, so the second scan is a plain pushed-down range.
+    found = ends.select(*[F.unix_micros(c).alias(c) for c in ends.columns]).first()
+    bulk_last, later_first = (F.timestamp_micros(F.lit(t).cast("bigint")) for t in found)
     margin = F.expr(f"interval {days} days")
-    low = ends.select(F.least("bulk_last", "later_first") - margin).scalar()
-    high = ends.select(F.greatest("bulk_last", "later_first") + margin).scalar()
+    near = catalog.where(
+        (F.col("event_time") >= F.least(bulk_last, later_first) - margin)
+        & (F.col("event_time") <= F.greatest(bulk_last, later_first) + margin)
+    )
     # Bulk rows past the seam lie between the two ends, so the span holds them all.
-    near = catalog.where((F.col("event_time") >= low) & (F.col("event_time") <= high))
-    past_seam = (F.col("source") == bulk) & (F.col("event_time") >= ends.select("later_first").scalar())
-    ticks = near.groupBy("event_time").agg(F.count_if(past_seam).alias("overlap"))
-    steps = previous_instant(ticks, "event_time").agg(
-        F.struct(
-            F.coalesce(F.sum("overlap"), F.lit(0).cast("bigint")).alias("overlap_rows"),
-            F.max(F.unix_micros("event_time") - F.unix_micros("previous")).alias("longest"),
-        )
+    past_seam = (F.col("source") == bulk) & (F.col("event_time") >= later_first)
+    ticks = written(near.groupBy("event_time").agg(F.count_if(past_seam).alias("overlap")), "ticks")
+    longest = F.max(F.unix_micros("event_time") - F.unix_micros("previous"))
+    silence = previous_instant(ticks, "event_time").agg(
+        F.coalesce(F.sum("overlap"), F.lit(0)).cast("bigint").alias("overlap_rows"), longest.alias("longest")
     )
-    return ends.withColumn("near", steps.scalar()).select(
-        "bulk_last",
-        "later_first",
-        whole("MINUTE", F.col("bulk_last"), F.col("later_first")).alias("seam_minutes"),
-        "near.overlap_rows",
-        F.expr("near.longest div 1000000").alias("longest_silence_seconds"),
+    return silence.select(
+        bulk_last.alias("bulk_last"),
+        later_first.alias("later_first"),
+        whole("MINUTE", bulk_last, later_first).alias("seam_minutes"),
+        "overlap_rows",
+        F.expr("longest div 1000000").alias("longest_silence_seconds"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app_name: str = "revcat", **conf: str) -> SparkSession:
@@ -40,3 +40,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return tempfile.mkdtemp(prefix=f"run-{label}-")
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table in shared scratch space: computed once, safe if executors are lost."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from revcat.operators.normalize import normalize
-from revcat.operators.revisions import latest_revision
-from revcat.schema import conform
+from revcat.operators.revisions import latest_revision_state
 from revcat.sources.catalog import CatalogTable
 from revcat.sources.ledger import RunLedger, utc_now
 
@@ -77,7 +76,7 @@ def suppress_repeats(rows: DataFrame, delay: str = "24 hours", arrival: str = "i
 
 def latest_state(rows: DataFrame, then: tuple[str, ...] = ()) -> DataFrame:
     """Newest revision per id held as stream state instead of in a table."""
-    return conform(latest_revision(rows, then=then))
+    return latest_revision_state(rows, then=then)
 
 
 def arrivals(rows: DataFrame, delay: str = "24 hours", width: str = "1 hour") -> DataFrame:
