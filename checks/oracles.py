@@ -104,6 +104,8 @@ oracle(
     h=HISTORY,
 )
 
+oracle("compact_layout", "SELECT count(*) AS total_rows, true AS all_within_limit FROM f", f=V.duck(V.CHUNK_FILES))
+
 # -- normalization -----------------------------------------------------------
 
 DELIVERED = f"""
@@ -312,6 +314,31 @@ oracle(
     h=HISTORY,
 )
 
+oracle(
+    "resume_backfill",
+    f'WITH {PLAN.strip()} SELECT chunk, "start", "end", events AS expected, events AS rows FROM plan',
+    h=HISTORY,
+)
+DEEP_PLAN = PLAN.replace("2001-07-31", "2024-01-31").replace("n > 300", "n > 8").replace("1 AND 300", "1 AND 8")
+oracle(
+    "chunk_assign",
+    f"""WITH {DEEP_PLAN.strip()}
+    SELECT id, event_time, chunk FROM h JOIN plan ON event_time >= "start" AND event_time < "end"
+    """,
+    h=CATALOG,
+)
+oracle(
+    "silent_windows",
+    f"""
+    SELECT previous - interval '1' hour AS window_start, started_at AS window_end FROM (
+      SELECT started_at, lag(started_at) OVER (ORDER BY started_at) AS previous FROM (
+        SELECT started_at FROM r WHERE status <> 'error' UNION SELECT {NOW}
+      ) AS good
+    ) AS stepped WHERE started_at - previous > interval '30' minute
+    """,
+    r=LEDGER,
+)
+
 # -- catalog analytics -------------------------------------------------------
 
 oracle(
@@ -589,6 +616,23 @@ oracle(
     "SELECT date_trunc('hour', ingested_at) AS ingest_hour, source, count(*) AS events_written FROM c GROUP BY 1, 2",
     c=CATALOG,
 )
+oracle(
+    "stream_late",
+    """
+    SELECT date_trunc('hour', ingested_at) AS ingest_hour, source, count(*) AS events_written FROM c
+    WHERE date_trunc('hour', ingested_at) + interval '1' hour
+      <= (SELECT date_trunc('millisecond', max(ingested_at)) - interval '24' hour FROM c)
+    GROUP BY 1, 2
+    """,
+    c=CATALOG,
+)
+oracle("stream_dedupe", "SELECT id, updated FROM c", c=CATALOG)
+oracle(
+    "stream_ledger",
+    "SELECT 'stream' AS trigger, 'ok' AS status, CAST(2 AS bigint) AS runs, count(*) AS fetched,"
+    " count(*) AS inserted, CAST(0 AS bigint) AS updated FROM c",
+    c=CATALOG,
+)
 oracle(
     "stream_sliding",
     """

@@ -16,12 +16,13 @@ from revcat.operators import ranges
 from revcat.operators.normalize import flatten, normalize
 from revcat.operators.revisions import integrity, latest_revision, latest_revision_window, merge_probe
 from revcat.plans import continuity, health, history, integrity as proofs, liveness
+from revcat.plans.backfill import land_history
 from revcat.plans.ingest import feed_snapshot
 from revcat.schema import EVENTS, RUNS, as_nullable, conform, null_report
 from revcat.session import pin_utc, scratch_dir
 from revcat.sources import tables
 from revcat.sources.catalog import CatalogTable
-from revcat.sources.documents import features, read_documents
+from revcat.sources.documents import features, read_documents, stream_documents
 from revcat.sources.ledger import RunLedger, run_status
 from revcat.streaming import feeds
 
@@ -159,11 +160,12 @@ def compact_plan(spark, sf_dir):
 
 @query
 def compact_layout(spark, sf_dir):
-    """Rows per file after compaction."""
+    """Rows after compaction, and whether every file keeps to the limit."""
     target = scratch_dir(spark, "compact")
     tables.compact(spark, chunk_files(spark, sf_dir), target, rows_per_file=4_000)
     files = spark.read.schema(as_nullable(EVENTS)).parquet(target).groupBy(F.col("_metadata.file_name").alias("file"))
-    return files.agg(F.count(F.lit(1)).alias("file_rows"), F.min("event_time").alias("first_event"))
+    sizes = files.agg(F.count(F.lit(1)).alias("n"))
+    return sizes.agg(F.sum("n").alias("total_rows"), (F.max("n") <= 4_000).alias("all_within_limit"))
 
 
 # -- normalization -----------------------------------------------------------
@@ -316,7 +318,7 @@ PLAN_END, PLAN_CAP = "2001-07-31", 300
 
 
 def planned(spark, sf_dir):
-    return ranges.chunk_plan(old_events(spark, sf_dir), PLAN_END, PLAN_CAP)
+    return ranges.plan_chunks(old_events(spark, sf_dir), PLAN_END, PLAN_CAP).chunks
 
 
 @query
@@ -339,6 +341,29 @@ def resume_pending(spark, sf_dir):
     return ranges.pending(plan, manifest)
 
 
+@query
+def resume_backfill(spark, sf_dir):
+    """History landed up to 1997, then the rest; what the manifest then says."""
+    out, manifest = scratch_dir(spark, "raw"), scratch_dir(spark, "manifest")
+    archive = old_events(spark, sf_dir)
+    land_history(archive, out, manifest, PLAN_END, PLAN_CAP, years=[1995, 1996, 1997])
+    listed = land_history(archive, out, manifest, PLAN_END, PLAN_CAP)
+    return listed.select("chunk", "start", "end", "expected", "rows")
+
+
+@query
+def chunk_assign(spark, sf_dir):
+    """Each event with the chunk that holds it; a small cap, so that plans go deep."""
+    events = catalog(spark, sf_dir).select("id", "event_time")
+    return ranges.plan_chunks(events, CATALOG_AS_OF, 8).assign(events)
+
+
+@query
+def silent_windows(spark, sf_dir):
+    """Holes of more than half an hour between good runs."""
+    return ranges.silent_windows(runs(spark, sf_dir), CATALOG_AS_OF, longer_than_hours=0.5)
+
+
 # -- catalog and ledger analytics -------------------------------------------
 
 
@@ -469,11 +494,11 @@ def health_verdict(spark, sf_dir):
 # -- streams -----------------------------------------------------------------
 
 
-def landed(spark, rows: DataFrame, files: int, order: str):
-    """Rows landed as files in the given order, opened as a stream, one file per batch."""
+def landed(spark, rows: DataFrame, files: int, order: str, per_batch: int = 2):
+    """Rows landed as files that divide ``order``, opened as a stream, so many files per batch."""
     path = scratch_dir(spark, "landed")
     rows.repartitionByRange(files, order).write.mode("overwrite").parquet(path)
-    return spark.readStream.schema(as_nullable(rows.schema)).option("maxFilesPerTrigger", 2).parquet(path)
+    return spark.readStream.schema(as_nullable(rows.schema)).option("maxFilesPerTrigger", per_batch).parquet(path)
 
 
 @query
@@ -489,19 +514,24 @@ def stream_upsert(spark, sf_dir):
 
 @query
 def stream_ledger(spark, sf_dir):
-    """One ledger row per micro-batch."""
+    """One ledger row per micro-batch; summed, as the split between batches is by chance."""
     table = CatalogTable(spark, scratch_dir(spark, "catalog"), buckets=2).create()
     ledger = RunLedger(spark, scratch_dir(spark, "ledger"))
-    stream = landed(spark, catalog(spark, sf_dir), 4, "ingested_at")
+    stream = landed(spark, catalog(spark, sf_dir), 4, "event_id")
     feeds.stream_upsert(stream, table, scratch_dir(spark, "cp"), ledger=ledger).awaitTermination()
-    return ledger.read().select("run_id", "status", "rows_fetched", "rows_inserted", "rows_updated")
+    return ledger.read().groupBy("trigger", "status").agg(
+        F.count(F.lit(1)).alias("runs"),
+        F.sum("rows_fetched").alias("fetched"),
+        F.sum("rows_inserted").alias("inserted"),
+        F.sum("rows_updated").alias("updated"),
+    )
 
 
 @query
 def stream_feed_documents(spark, sf_dir):
     """Landing documents, normalized and upserted as a stream."""
     table = CatalogTable(spark, scratch_dir(spark, "catalog"), buckets=2).create()
-    landing = feeds_documents(spark, sf_dir)
+    landing = stream_documents(spark, docs.written(spark, sf_dir), whole_files=False, maxFilesPerTrigger=4)
     feeds.stream_upsert(
         landing,
         table,
@@ -511,12 +541,6 @@ def stream_feed_documents(spark, sf_dir):
     return table.scan()
 
 
-def feeds_documents(spark, sf_dir):
-    from revcat.sources.documents import stream_documents
-
-    return stream_documents(spark, docs.written(spark, sf_dir), whole_files=False, maxFilesPerTrigger=4)
-
-
 @query
 def stream_latest(spark, sf_dir):
     feeds.use_rocksdb_state(spark)
@@ -546,8 +570,8 @@ def stream_sessions(spark, sf_dir):
 
 @query
 def stream_late(spark, sf_dir):
-    """Hourly counts that append mode has closed, revisions up to 24 hours late included."""
-    stream = landed(spark, catalog(spark, sf_dir), 4, "ingested_at")
+    """Hourly counts that append mode has closed: hours 24 hours before the newest arrival."""
+    stream = landed(spark, catalog(spark, sf_dir), 4, "ingested_at", per_batch=4)
     return feeds.drain_append(feeds.arrivals(stream), scratch_dir(spark, "out"), scratch_dir(spark, "cp"))
 
 
@@ -556,6 +580,6 @@ def stream_dedupe(spark, sf_dir):
     """Every row delivered twice, half an hour apart; repeats dropped on the way."""
     rows = conform(catalog(spark, sf_dir))
     again = rows.withColumn("ingested_at", F.col("ingested_at") + F.expr("interval 30 minutes"))
-    stream = landed(spark, rows.unionByName(again), 4, "ingested_at")
+    stream = landed(spark, rows.unionByName(again), 4, "ingested_at", per_batch=4)
     kept = feeds.suppress_repeats(stream).select("id", "updated")
     return feeds.drain_append(kept, scratch_dir(spark, "out"), scratch_dir(spark, "cp"))

@@ -8,21 +8,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revcat.functions.times import instant
 from revcat.operators import ranges
 from revcat.operators.normalize import normalize
 from revcat.operators.revisions import integrity
-from revcat.schema import conform
+from revcat.schema import conform, split_required
 from revcat.sources.catalog import CatalogTable
 from revcat.sources.documents import read_documents
 from revcat.sources.ledger import ERROR, RunLedger, utc_now
 from revcat.sources.tables import read_parquet
 
+# Hours covered by each feed window.
+FEED_HOURS = {"all_hour": 1, "all_day": 24, "all_week": 168, "all_month": 720}
+
 Fetch = Callable[[dt.datetime, dt.datetime], DataFrame]
 
 
-def feed_snapshot(events: DataFrame, as_of, hours: int = 24) -> DataFrame:
-    """What a live feed of the last ``hours`` holds at ``as_of``."""
-    at = ranges.instant(as_of)
+def feed_snapshot(events: DataFrame, as_of, window: str = "all_day") -> DataFrame:
+    """What a live feed of the given window holds at ``as_of``."""
+    at, hours = instant(as_of), FEED_HOURS[window]
     return events.where(
         (F.col("event_time") > at - F.expr(f"interval {hours} hours")) & (F.col("event_time") <= at)
     )
@@ -48,12 +52,14 @@ def run_ingest(
     trigger: str,
     as_of: dt.datetime | None = None,
     dry_run: bool = False,
+    quarantine: str | None = None,
     **limits,
 ) -> dict:
     """One recurring run: pick feed or backfill, read, upsert, record.
 
     ``feed_path`` holds the landed feed documents; ``fetch_range(start, end)``
-    returns raw event rows for a backfill.
+    returns raw event rows for a backfill. A row without a required value
+    fails the run, or is appended to the ``quarantine`` folder if one is given.
     """
     as_of = as_of or utc_now()
     with ledger.run(run_id, trigger, started_at=as_of, dry_run=dry_run) as run:
@@ -62,8 +68,11 @@ def run_ingest(
             rows = normalize(read_documents(table.spark, feed_path), "feed", as_of)
         else:
             rows = fetch_range(run["window_start"], run["window_end"])
-            rows = conform(rows.withColumns({"source": F.lit("backfill"), "ingested_at": ranges.instant(as_of)}))
+            rows = conform(rows.withColumns({"source": F.lit("backfill"), "ingested_at": instant(as_of)}))
         run["rows_fetched"] = rows.count()
+        if quarantine and not dry_run:
+            rows, bad = split_required(rows)
+            bad.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(quarantine)
         if run["rows_fetched"] and not dry_run:
             done = table.upsert(rows)
             run["rows_inserted"], run["rows_updated"] = done.inserted, done.updated

@@ -101,10 +101,20 @@ class CatalogTable:
         paths = [self._path(m, b, attempt) for (m, b), attempt in sorted(slices.items())]
         return self.spark.read.schema(layout).option("basePath", f"{self.root}/data").parquet(*paths)
 
-    def scan(self, start=None, end=None, version: int | None = None) -> DataFrame:
-        """Events with start <= event_time < end; only the months in range are opened."""
+    def scan(
+        self, start=None, end=None, version: int | None = None, calendar_months: set[int] | None = None
+    ) -> DataFrame:
+        """Events with start <= event_time < end; only the months in range are opened.
+
+        ``calendar_months`` opens these months of every year (1 to 12) only,
+        for questions about a time of year.
+        """
         first, last = _month_of(start) or "", _month_of(end) or "~"
-        live = {k: v for k, v in self.slices(version).items() if first <= k[0] <= last}
+        live = {
+            k: v
+            for k, v in self.slices(version).items()
+            if first <= k[0] <= last and (calendar_months is None or int(k[0][5:]) in calendar_months)
+        }
         rows = self._read(live)
         if start is not None:
             rows = rows.where(F.col("event_time") >= instant(start))
@@ -119,6 +129,24 @@ class CatalogTable:
         rows = self._read({k: v for k, v in live.items() if k[0] == newest})
         return _utc(rows.agg(F.unix_micros(F.max("event_time"))).first()[0])
 
+    def register(self, name: str) -> None:
+        """Make the current snapshot a temporary view for SQL."""
+        self.scan().createOrReplaceTempView(name)
+
+    # -- upkeep ------------------------------------------------------------
+
+    def expire(self, keep: int = 96) -> int:
+        """Drop all but the newest ``keep`` snapshots and the files only they use."""
+        versions = self.versions()
+        gone, kept = versions[:-keep], versions[-keep:]
+        used = {item for v in kept for item in self.slices(v).items()}
+        unused = {item for v in gone for item in self.slices(v).items()} - used
+        for (month, bucket), attempt in sorted(unused):
+            files.remove(self.spark, self._path(month, bucket, attempt))
+        for version in gone:
+            files.remove(self.spark, self._snapshot(version))
+        return len(unused)
+
     # -- writing -----------------------------------------------------------
 
     def upsert(
