@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from revcat.operators.normalize import normalize
 from revcat.operators.revisions import latest_revision_state
@@ -65,6 +65,34 @@ def stream_feed(docs: DataFrame, table: CatalogTable, checkpoint: str, source: s
     )
 
 
+class IdleRecorder(StreamingQueryListener):
+    """Ledger rows for triggers that found nothing, so that quiet and dead look different.
+
+    Spark reports an idle query about every ten seconds
+    (``spark.sql.streaming.noDataProgressEventInterval``).
+    """
+
+    def __init__(self, ledger: RunLedger, trigger: str = "stream"):
+        self.ledger, self.trigger, self.followed = ledger, trigger, set()
+
+    def follow(self, query: StreamingQuery) -> None:
+        self.followed.add(str(query.runId))
+
+    def onQueryIdle(self, event) -> None:
+        if str(event.runId) in self.followed:
+            with self.ledger.run(f"{self.trigger}-idle-{event.timestamp}", self.trigger) as run:
+                run["mode"] = "feed"
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.followed.discard(str(event.runId))
+
+
 def suppress_repeats(rows: DataFrame, delay: str = "24 hours", arrival: str = "ingested_at") -> DataFrame:
     """Drop exact re-deliveries of a revision seen within ``delay``.
 
