@@ -29,28 +29,30 @@ INSTANT = {"event_time": "time", "updated": "updated"}
 COORDINATES = {"longitude": 0, "latitude": 1, "depth_km": 2}
 
 
+def _feature_type() -> str:
+    """Shape a feature is read in: one walk over the document; what does not fit is NULL."""
+    kinds = dict.fromkeys(TEXT.values(), "string") | dict.fromkeys([*INTEGER, *INSTANT.values()], "bigint")
+    kinds |= dict.fromkeys([*REAL, "tsunami"], "variant")
+    properties = ",".join(f"`{name}`:{kind}" for name, kind in kinds.items())
+    return f"struct<id:variant,properties:struct<{properties}>,geometry:struct<coordinates:array<variant>>>"
+
+
 def flatten(feature_rows: DataFrame, source: str, ingested_at: dt.datetime | str) -> DataFrame:
     """One event row per feature that has an id, with ``file`` and ``position`` kept.
 
     ``ingested_at`` is passed in, so that a retried batch gets the same value.
     """
-    feature = F.col("feature")
-    columns = {"id": lenient.text(feature, "$.id"), "tsunami": lenient.truthy(feature, "$.properties.tsunami")}
-    for reading, names in (
-        (lenient.text, TEXT),
-        (lenient.real, {n: n for n in REAL}),
-        (lenient.integer, {n: n for n in INTEGER}),
-        (lenient.instant_ms, INSTANT),
-    ):
-        columns |= {name: reading(feature, f"$.properties.{key}") for name, key in names.items()}
-    columns |= {
-        name: lenient.real(feature, f"$.geometry.coordinates[{at}]") for name, at in COORDINATES.items()
-    }
-    columns |= {"source": F.lit(source), "ingested_at": instant(ingested_at)}
-    named = feature_rows.where(lenient.truthy(feature, "$.id"))
-    return named.select(
-        "file", "position", *[columns[f.name].cast(f.dataType).alias(f.name) for f in EVENTS]
+    named = feature_rows.where(lenient.truthy(F.col("feature"), "$.id")).select(
+        "file", "position", F.try_variant_get("feature", "$", _feature_type()).alias("f")
     )
+    columns = {"id": lenient.text(F.col("f.id")), "tsunami": lenient.truthy(F.col("f.properties.tsunami"))}
+    columns |= {name: F.col(f"f.properties.{key}") for name, key in TEXT.items()}
+    columns |= {name: F.col(f"f.properties.{name}") for name in INTEGER}
+    columns |= {name: lenient.instant_of(F.col(f"f.properties.{key}")) for name, key in INSTANT.items()}
+    columns |= {name: lenient.real(F.col(f"f.properties.{name}")) for name in REAL}
+    columns |= {name: lenient.real(F.get("f.geometry.coordinates", F.lit(at))) for name, at in COORDINATES.items()}
+    columns |= {"source": F.lit(source), "ingested_at": instant(ingested_at)}
+    return named.select("file", "position", *[columns[f.name].cast(f.dataType).alias(f.name) for f in EVENTS])
 
 
 def normalize(docs: DataFrame, source: str, ingested_at: dt.datetime | str) -> DataFrame:

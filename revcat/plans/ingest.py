@@ -69,13 +69,17 @@ def run_ingest(
         else:
             rows = fetch_range(run["window_start"], run["window_end"])
             rows = conform(rows.withColumns({"source": F.lit("backfill"), "ingested_at": instant(as_of)}))
-        run["rows_fetched"] = rows.count()
-        if quarantine and not dry_run:
-            rows, bad = split_required(rows)
-            bad.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(quarantine)
-        if run["rows_fetched"] and not dry_run:
-            done = table.upsert(rows)
-            run["rows_inserted"], run["rows_updated"] = done.inserted, done.updated
+        fetched = rows = rows.persist()  # read for the count, the side table and the upsert
+        try:
+            run["rows_fetched"] = rows.count()
+            if quarantine and not dry_run:
+                rows, bad = split_required(rows)
+                bad.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(quarantine)
+            if run["rows_fetched"] and not dry_run:
+                done = table.upsert(rows)
+                run["rows_inserted"], run["rows_updated"] = done.inserted, done.updated
+        finally:
+            fetched.unpersist()
     return run
 
 

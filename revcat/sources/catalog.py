@@ -234,12 +234,19 @@ class CatalogTable:
 
     def _extent(self, changes: DataFrame) -> tuple[set, int, int]:
         """Slices the changes enter or leave (at most months times buckets rows), and counts."""
-        rows = changes.groupBy(*SLICE, "old_month").agg(
-            F.count_if(F.col("outcome") == "insert").alias("inserted"),
-            F.count_if(F.col("outcome") == "update").alias("updated"),
-        ).collect()
-        touched = {(r.event_month, r.id_bucket) for r in rows}
-        touched |= {(r.old_month, r.id_bucket) for r in rows if r.old_month is not None}
+        months = F.posexplode(F.array("event_month", "old_month")).alias("leaves", "month")
+        entered = F.col("leaves") == 0
+        rows = (
+            changes.select("outcome", "id_bucket", months)
+            .where("month is not null")
+            .groupBy("month", "id_bucket")
+            .agg(
+                F.count_if(entered & (F.col("outcome") == "insert")).alias("inserted"),
+                F.count_if(entered & (F.col("outcome") == "update")).alias("updated"),
+            )
+            .collect()
+        )
+        touched = {(r.month, r.id_bucket) for r in rows}
         return touched, sum(r.inserted for r in rows), sum(r.updated for r in rows)
 
     def _write(self, content: DataFrame, attempt: str) -> dict:

@@ -47,11 +47,15 @@ def stream_upsert(
         if ledger is None:
             table.upsert(batch, then=then)
             return
-        with ledger.run(f"{trigger}-{batch_id}", trigger, started_at=begun) as run:
-            run["mode"] = "feed"
-            run["rows_fetched"] = batch.count()
-            done = table.upsert(batch, then=then)
-            run["rows_inserted"], run["rows_updated"] = done.inserted, done.updated
+        batch = batch.persist()
+        try:
+            with ledger.run(f"{trigger}-{batch_id}", trigger, started_at=begun) as run:
+                run["mode"] = "feed"
+                run["rows_fetched"] = batch.count()
+                done = table.upsert(batch, then=then)
+                run["rows_inserted"], run["rows_updated"] = done.inserted, done.updated
+        finally:
+            batch.unpersist()
 
     writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     pace = {"processingTime": interval} if interval else {"availableNow": True}
