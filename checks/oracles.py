@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from checks import views as V
-from checks.documents import AGAIN, JUNK, NO_ID, NO_TIME, PAGE, QUOTED, SHORT
+from checks.documents import AGAIN, JUNK, NO_ID, NO_TIME, PAGE, SHORT
 from revcat.schema import EVENTS, required
 
 ORACLES: dict[str, str] = {}

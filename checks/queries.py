@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from checks import documents as docs
 from checks import views as V
 from revcat.functions import lenient
-from revcat.functions.times import chunk_key, rfc3339, to_seconds_text
+from revcat.functions.times import rfc3339, to_seconds_text
 from revcat.operators import ranges
 from revcat.operators.normalize import flatten, normalize
 from revcat.operators.revisions import integrity, latest_revision, latest_revision_window, merge_probe
 from revcat.plans import continuity, health, history, integrity as proofs, liveness
 from revcat.plans.backfill import land_history
 from revcat.plans.ingest import feed_snapshot
-from revcat.schema import EVENTS, RUNS, as_nullable, conform, null_report
+from revcat.schema import EVENTS, as_nullable, conform, null_report
 from revcat.session import pin_utc, scratch_dir
 from revcat.sources import tables
 from revcat.sources.catalog import CatalogTable

@@ -40,6 +40,14 @@ def month_key(ts: Column) -> Column:
 
 
 def chunk_key(start: Column, end: Column) -> Column:
-    """File-name form of a time range."""
-    stamp = "yyyyMMdd'T'HHmmss"
-    return F.concat(F.date_format(start, stamp), F.lit("__"), F.date_format(end, stamp), F.lit(".parquet"))
+    """File-name form of a time range, to the second.
+
+    Ranges under two seconds are named to the microsecond, as several may
+    share their seconds; longer ones that do not overlap cannot.
+    """
+    short = F.unix_micros(end) - F.unix_micros(start) < 2_000_000
+
+    def named(stamp: str) -> Column:
+        return F.concat(F.date_format(start, stamp), F.lit("__"), F.date_format(end, stamp), F.lit(".parquet"))
+
+    return F.when(short, named("yyyyMMdd'T'HHmmss.SSSSSS")).otherwise(named("yyyyMMdd'T'HHmmss"))

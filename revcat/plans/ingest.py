@@ -53,6 +53,7 @@ def run_ingest(
     as_of: dt.datetime | None = None,
     dry_run: bool = False,
     quarantine: str | None = None,
+    within: str | None = None,
     **limits,
 ) -> dict:
     """One recurring run: pick feed or backfill, read, upsert, record.
@@ -60,6 +61,7 @@ def run_ingest(
     ``feed_path`` holds the landed feed documents; ``fetch_range(start, end)``
     returns raw event rows for a backfill. A row without a required value
     fails the run, or is appended to the ``quarantine`` folder if one is given.
+    ``within`` is handed to the upsert; ``limits`` are those of ``decide``.
     """
     as_of = as_of or utc_now()
     with ledger.run(run_id, trigger, started_at=as_of, dry_run=dry_run) as run:
@@ -76,7 +78,7 @@ def run_ingest(
                 rows, bad = split_required(rows)
                 bad.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(quarantine)
             if run["rows_fetched"] and not dry_run:
-                done = table.upsert(rows)
+                done = table.upsert(rows, within=within)
                 run["rows_inserted"], run["rows_updated"] = done.inserted, done.updated
         finally:
             fetched.unpersist()

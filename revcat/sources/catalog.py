@@ -98,8 +98,24 @@ class CatalogTable:
         )
         if not slices:
             return self.spark.createDataFrame([], layout)
-        paths = [self._path(m, b, attempt) for (m, b), attempt in sorted(slices.items())]
-        return self.spark.read.schema(layout).option("basePath", f"{self.root}/data").parquet(*paths)
+        return self.spark.read.schema(layout).option("basePath", f"{self.root}/data").parquet(
+            *self._paths(slices)
+        )
+
+    def _paths(self, slices: dict) -> list[str]:
+        """Folders to read: a month's folder where all its buckets are wanted from one attempt."""
+        months: dict[tuple[str, str], list[int]] = {}
+        for (month, bucket), attempt in sorted(slices.items()):
+            months.setdefault((month, attempt), []).append(bucket)
+        return [
+            path
+            for (month, attempt), buckets in months.items()
+            for path in (
+                [f"{self.root}/data/v={attempt}/event_month={month}"]
+                if len(buckets) == self.buckets
+                else [self._path(month, bucket, attempt) for bucket in buckets]
+            )
+        ]
 
     def scan(
         self, start=None, end=None, version: int | None = None, calendar_months: set[int] | None = None
