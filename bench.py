@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from checks import views as V
 from checks.queries import QUERIES
 from revcat.operators.revisions import latest_revision, latest_revision_state
-from revcat.session import scratch_dir, session
+from revcat.session import scratch_dir, session, written
 from revcat.sources.catalog import CatalogTable
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -71,16 +71,17 @@ def headline(spark: SparkSession) -> dict[str, float]:
 
 
 def bulk(spark: SparkSession) -> dict[str, float]:
-    path = scratch_dir(spark, "bulk")
-    V.view(spark, SF_DIR, BULK).repartition(64).write.mode("overwrite").parquet(path)
-    rows = spark.read.parquet(path)
+    rows = written(V.view(spark, SF_DIR, BULK).repartition(64), "bulk")
     table = CatalogTable(spark, scratch_dir(spark, "catalog")).create()
+    warm = CatalogTable(spark, scratch_dir(spark, "warm")).create()
+    warm.upsert(rows, bulk=True)
     newer = rows.where("pmod(hash(id), 3) = 0").withColumn("updated", F.col("updated") + F.expr("interval 1 day"))
-    recent = rows.where("event_time >= timestamp'2026-08-25'").orderBy("id").limit(300)
+    recent = written(rows.where("event_time >= timestamp'2026-08-25'").orderBy("id").limit(300), "recent")
 
     def revised(days: int) -> DataFrame:
         return recent.withColumn("updated", F.col("updated") + F.expr(f"interval {days} days"))
 
+    moved = revised(7).limit(1).withColumn("event_time", F.expr("timestamp'1980-06-15'"))
     steps = {
         "newest_revision_by_rank": lambda: run_whole(latest_revision(rows, then=["ingested_at"])),
         "newest_revision_by_aggregate": lambda: run_whole(latest_revision_state(rows, then=["ingested_at"])),
@@ -90,6 +91,7 @@ def bulk(spark: SparkSession) -> dict[str, float]:
         "trickle_300_near": lambda: table.upsert(revised(5), within="1 day"),
         "trickle_300_by_id": lambda: table.upsert(revised(6)),
         "trickle_replay_by_id": lambda: table.upsert(revised(6)),
+        "trickle_one_moved_46_years": lambda: table.upsert(moved),
         "scan_one_day": lambda: run_whole(table.scan("2026-01-01", "2026-01-02")),
         "scan_everything": lambda: run_whole(table.scan()),
     }

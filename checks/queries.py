@@ -23,6 +23,7 @@ from revcat.session import pin_utc, scratch_dir
 from revcat.sources import tables
 from revcat.sources.catalog import CatalogTable
 from revcat.sources.documents import features, read_documents, stream_documents
+from revcat.sources.files import child_names
 from revcat.sources.ledger import RunLedger, run_status
 from revcat.streaming import feeds
 
@@ -494,11 +495,19 @@ def health_verdict(spark, sf_dir):
 # -- streams -----------------------------------------------------------------
 
 
-def landed(spark, rows: DataFrame, files: int, order: str, per_batch: int = 2):
-    """Rows landed as files that divide ``order``, opened as a stream, so many files per batch."""
+def per_batch(spark, path: str, batches: int) -> int:
+    """Files to take per micro-batch so that all landed files make so many batches."""
+    names = [name for name in child_names(spark, path) if name.startswith("part-")]
+    return -(-len(names) // batches)
+
+
+def landed(spark, rows: DataFrame, *order: str, batches: int = 2):
+    """Rows landed as files that divide ``order``, opened as a stream of so many micro-batches."""
     path = scratch_dir(spark, "landed")
-    rows.repartitionByRange(files, order).write.mode("overwrite").parquet(path)
-    return spark.readStream.schema(as_nullable(rows.schema)).option("maxFilesPerTrigger", per_batch).parquet(path)
+    parts = max(4, spark.sparkContext.defaultParallelism)
+    rows.repartitionByRange(parts, *order).write.mode("overwrite").parquet(path)
+    stream = spark.readStream.schema(as_nullable(rows.schema))
+    return stream.option("maxFilesPerTrigger", per_batch(spark, path, batches)).parquet(path)
 
 
 @query
@@ -507,7 +516,7 @@ def stream_upsert(spark, sf_dir):
     target, batch = target_and_batch(spark, sf_dir)
     table = CatalogTable(spark, scratch_dir(spark, "catalog"), buckets=4).create()
     table.upsert(target, bulk=True)
-    stream = landed(spark, batch, 4, "event_id")
+    stream = landed(spark, batch, "event_id")
     feeds.stream_upsert(stream, table, scratch_dir(spark, "cp"), then=("position",)).awaitTermination()
     return table.scan()
 
@@ -517,7 +526,7 @@ def stream_ledger(spark, sf_dir):
     """One ledger row per micro-batch; summed, as the split between batches is by chance."""
     table = CatalogTable(spark, scratch_dir(spark, "catalog"), buckets=2).create()
     ledger = RunLedger(spark, scratch_dir(spark, "ledger"))
-    stream = landed(spark, catalog(spark, sf_dir), 4, "event_id")
+    stream = landed(spark, catalog(spark, sf_dir), "event_id")
     feeds.stream_upsert(stream, table, scratch_dir(spark, "cp"), ledger=ledger).awaitTermination()
     return ledger.read().groupBy("trigger", "status").agg(
         F.count(F.lit(1)).alias("runs"),
@@ -531,7 +540,8 @@ def stream_ledger(spark, sf_dir):
 def stream_feed_documents(spark, sf_dir):
     """Landing documents, normalized and upserted as a stream."""
     table = CatalogTable(spark, scratch_dir(spark, "catalog"), buckets=2).create()
-    landing = stream_documents(spark, docs.written(spark, sf_dir), whole_files=False, maxFilesPerTrigger=4)
+    path = docs.written(spark, sf_dir)
+    landing = stream_documents(spark, path, whole_files=False, maxFilesPerTrigger=per_batch(spark, path, 2))
     feeds.stream_upsert(
         landing,
         table,
@@ -543,35 +553,34 @@ def stream_feed_documents(spark, sf_dir):
 
 @query
 def stream_latest(spark, sf_dir):
-    feeds.use_rocksdb_state(spark)
     rows = V.view(spark, sf_dir, V.REVISIONS)
-    stream = landed(spark, rows, 4, "ingested_at")
+    stream = landed(spark, rows, "ingested_at", "position")
     newest = feeds.latest_state(stream, then=("ingested_at", "position"))
     return feeds.drain_complete(newest, scratch_dir(spark, "out"), scratch_dir(spark, "cp"))
 
 
 @query
 def stream_arrivals(spark, sf_dir):
-    stream = landed(spark, catalog(spark, sf_dir), 4, "ingested_at")
+    stream = landed(spark, catalog(spark, sf_dir), "ingested_at", "event_id")
     return feeds.drain_complete(feeds.arrivals(stream), scratch_dir(spark, "out"), scratch_dir(spark, "cp"))
 
 
 @query
 def stream_sliding(spark, sf_dir):
-    stream = landed(spark, catalog(spark, sf_dir), 4, "ingested_at")
+    stream = landed(spark, catalog(spark, sf_dir), "ingested_at", "event_id")
     return feeds.drain_complete(feeds.sliding_counts(stream), scratch_dir(spark, "out"), scratch_dir(spark, "cp"))
 
 
 @query
 def stream_sessions(spark, sf_dir):
-    stream = landed(spark, runs(spark, sf_dir), 4, "started_at")
+    stream = landed(spark, runs(spark, sf_dir), "started_at")
     return feeds.drain_complete(feeds.uptime_sessions(stream), scratch_dir(spark, "out"), scratch_dir(spark, "cp"))
 
 
 @query
 def stream_late(spark, sf_dir):
     """Hourly counts that append mode has closed: hours 24 hours before the newest arrival."""
-    stream = landed(spark, catalog(spark, sf_dir), 4, "ingested_at", per_batch=4)
+    stream = landed(spark, catalog(spark, sf_dir), "ingested_at", "event_id", batches=1)
     return feeds.drain_append(feeds.arrivals(stream), scratch_dir(spark, "out"), scratch_dir(spark, "cp"))
 
 
@@ -580,6 +589,6 @@ def stream_dedupe(spark, sf_dir):
     """Every row delivered twice, half an hour apart; repeats dropped on the way."""
     rows = conform(catalog(spark, sf_dir))
     again = rows.withColumn("ingested_at", F.col("ingested_at") + F.expr("interval 30 minutes"))
-    stream = landed(spark, rows.unionByName(again), 4, "ingested_at", per_batch=4)
+    stream = landed(spark, rows.unionByName(again), "ingested_at", "id", batches=1)
     kept = feeds.suppress_repeats(stream).select("id", "updated")
     return feeds.drain_append(kept, scratch_dir(spark, "out"), scratch_dir(spark, "cp"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -30,15 +32,20 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a new file whole or not at all; an existing one means another writer won."""
+    """Write a new file whole or not at all; an existing one means another writer won.
+
+    Rests on a rename that does not replace, as HDFS has; where the store
+    copies instead, let one writer at a time run.
+    """
     fs, at = _open(spark, path)
-    partial = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}.partial")
+    partial = spark._jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}.{uuid.uuid4().hex}")
     stream = fs.create(partial, True)
     try:
         stream.write(bytearray(text.encode()))
     finally:
         stream.close()
     if fs.exists(at) or not fs.rename(partial, at):
+        fs.delete(partial, False)
         raise FileExistsError(path)
 
 

@@ -145,6 +145,7 @@ def uptime_sessions(runs: DataFrame, gap: str = "20 minutes", delay: str = "1 da
 
 def drain_complete(result: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run an aggregating stream over what has landed; the last complete result as a table."""
+    use_rocksdb_state(result.sparkSession)
 
     def save(full: DataFrame, batch_id: int) -> None:
         full.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
@@ -163,6 +164,7 @@ def drain_complete(result: DataFrame, path: str, checkpoint: str) -> DataFrame:
 
 def drain_append(result: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run a stream over what has landed in append mode; its output as a table."""
+    use_rocksdb_state(result.sparkSession)
     query = (
         result.writeStream.outputMode("append")
         .format("parquet")
