@@ -55,7 +55,9 @@ def flatten(feature_rows: DataFrame, source: str, ingested_at: dt.datetime | str
     return named.select("file", "position", *[columns[f.name].cast(f.dataType).alias(f.name) for f in EVENTS])
 
 
-def normalize(docs: DataFrame, source: str, ingested_at: dt.datetime | str) -> DataFrame:
+def normalize(
+    docs: DataFrame, source: str, ingested_at: dt.datetime | str, on_broken: str = "fail"
+) -> DataFrame:
     """Documents -> event rows, newest revision per id; of equals the later in the batch wins."""
-    rows = flatten(features(docs), source, ingested_at)
+    rows = flatten(features(docs, on_broken), source, ingested_at)
     return conform(latest_revision(rows, then=["file", "position"]))

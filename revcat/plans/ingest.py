@@ -14,7 +14,7 @@ from revcat.operators.normalize import normalize
 from revcat.operators.revisions import integrity
 from revcat.schema import conform, split_required
 from revcat.sources.catalog import CatalogTable
-from revcat.sources.documents import read_documents
+from revcat.sources.documents import broken_documents, read_documents
 from revcat.sources.ledger import ERROR, RunLedger, utc_now
 from revcat.sources.tables import read_parquet
 
@@ -43,6 +43,10 @@ def decide(table: CatalogTable, as_of: dt.datetime, **limits) -> tuple[str, dt.d
     return "backfill", start, min(as_of, start + longest)
 
 
+def _set_aside(bad: DataFrame, path: str, run_id: str) -> None:
+    bad.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(path)
+
+
 def run_ingest(
     table: CatalogTable,
     ledger: RunLedger,
@@ -59,15 +63,18 @@ def run_ingest(
     """One recurring run: pick feed or backfill, read, upsert, record.
 
     ``feed_path`` holds the landed feed documents; ``fetch_range(start, end)``
-    returns raw event rows for a backfill. A row without a required value
-    fails the run, or is appended to the ``quarantine`` folder if one is given.
+    returns raw event rows for a backfill. A broken document or a row without
+    a required value fails the run, or is noted in the ``quarantine`` folder.
     ``within`` is handed to the upsert; ``limits`` are those of ``decide``.
     """
     as_of = as_of or utc_now()
     with ledger.run(run_id, trigger, started_at=as_of, dry_run=dry_run) as run:
         run["mode"], run["window_start"], run["window_end"] = decide(table, as_of, **limits)
         if run["mode"] == "feed":
-            rows = normalize(read_documents(table.spark, feed_path), "feed", as_of)
+            docs = read_documents(table.spark, feed_path)
+            if quarantine and not dry_run:
+                _set_aside(broken_documents(docs), f"{quarantine}/documents", run_id)
+            rows = normalize(docs, "feed", as_of, on_broken="skip" if quarantine else "fail")
         else:
             rows = fetch_range(run["window_start"], run["window_end"])
             rows = conform(rows.withColumns({"source": F.lit("backfill"), "ingested_at": instant(as_of)}))
@@ -76,7 +83,7 @@ def run_ingest(
             run["rows_fetched"] = rows.count()
             if quarantine and not dry_run:
                 rows, bad = split_required(rows)
-                bad.withColumn("run_id", F.lit(run_id)).write.mode("append").parquet(quarantine)
+                _set_aside(bad, f"{quarantine}/rows", run_id)
             if run["rows_fetched"] and not dry_run:
                 done = table.upsert(rows, within=within)
                 run["rows_inserted"], run["rows_updated"] = done.inserted, done.updated

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revcat.sources import files
+
 
 def session(app_name: str = "revcat", **conf: str) -> SparkSession:
     """A session with the settings the library wants; ``conf`` keys use ``_`` for ``.``."""
@@ -29,6 +31,9 @@ def pin_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_scratch: list[str] = []
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
@@ -36,10 +41,19 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if shared:
-        return f"{shared.rstrip('/')}/revcat/{label}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+        path = f"{shared.rstrip('/')}/revcat/{label}-{uuid.uuid4().hex}"
+    elif spark.sparkContext.master.startswith("local"):
+        path = tempfile.mkdtemp(prefix=f"run-{label}-")
+    else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return tempfile.mkdtemp(prefix=f"run-{label}-")
+    _scratch.append(path)
+    return path
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Remove the scratch folders this process made; results that read them are gone too."""
+    gone = [files.remove(spark, _scratch.pop()) for _ in range(len(_scratch))]
+    return sum(gone)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:

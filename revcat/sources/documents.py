@@ -37,7 +37,14 @@ def broken_documents(docs: DataFrame) -> DataFrame:
     return docs.where(F.col("document").isNull()).select("file")
 
 
-def features(docs: DataFrame) -> DataFrame:
-    """One row per feature with its place in the document; no list, no rows."""
+def features(docs: DataFrame, on_broken: str = "fail") -> DataFrame:
+    """One row per feature with its place in the document; no list, no rows.
+
+    A document that is not JSON fails the job, or gives no rows with
+    ``on_broken="skip"`` (``broken_documents`` then tells which).
+    """
     listed = F.try_variant_get("document", "$.features", "array<variant>")
+    if on_broken == "fail":
+        message = F.concat(F.lit("not a JSON document: "), F.col("file"))
+        listed = F.when(F.col("document").isNull(), F.raise_error(message)).otherwise(listed)
     return docs.select("file", F.posexplode(listed).alias("position", "feature"))

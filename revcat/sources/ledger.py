@@ -58,6 +58,10 @@ class RunLedger:
             rows = rows.where((F.col("started_at") >= at) & (F.col("run_date") >= F.to_date(at)))
         return rows.select(*RUNS.names)
 
+    def register(self, name: str) -> None:
+        """Make the ledger a temporary view for SQL."""
+        self.read().createOrReplaceTempView(name)
+
     @contextmanager
     def run(
         self,

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from revcat.operators.normalize import normalize
 from revcat.operators.revisions import latest_revision_state
+from revcat.schema import split_required
 from revcat.sources.catalog import CatalogTable
 from revcat.sources.ledger import RunLedger, utc_now
 
@@ -31,19 +32,24 @@ def stream_upsert(
     interval: str | None = None,
     then: tuple[str, ...] = (),
     prepare: Callable[[DataFrame, dt.datetime], DataFrame] | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch; one ledger row per batch if a ledger is given.
 
     State is the table itself, so a revision may arrive any time later. A
     batch delivered twice changes nothing the second time, which makes
-    at-least-once delivery enough. Without ``interval`` the query drains what
-    has landed and stops.
+    at-least-once delivery enough. A row without a required value stops the
+    query, or goes to the ``quarantine`` folder. Without ``interval`` the query
+    drains what has landed and stops.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         begun = utc_now()
         if prepare is not None:
             batch = prepare(batch, begun)
+        if quarantine is not None:
+            batch, bad = split_required(batch)
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
         if ledger is None:
             table.upsert(batch, then=then)
             return

@@ -76,9 +76,11 @@ def test_life_of_a_catalog(spark, tmp_path, table, ledger, event, events):
     (failed,) = ledger.read().where("run_id = 'run5'").collect()
     assert (failed.status, failed.rows_fetched, failed.rows_inserted) == ("error", 4, 0)
     assert "event_time is NULL" in failed.error_message and len(failed.error_message) <= 1000
+    (feed / "torn.json").write_text('{"features": [{"id"')
     aside = str(tmp_path / "quarantine")
     assert run(6, at + 5 * hour, quarantine=aside)["rows_inserted"] == 1
-    assert [(r.id, r.run_id) for r in spark.read.parquet(aside).collect()] == [("late", "run6")]
+    assert [(r.id, r.run_id) for r in spark.read.parquet(f"{aside}/rows").collect()] == [("late", "run6")]
+    assert [r.file.split("/")[-1] for r in spark.read.parquet(f"{aside}/documents").collect()] == ["torn.json"]
     assert table.scan().count() == 32
 
 
@@ -115,6 +117,7 @@ def test_run_status(spark):
 
 def test_ledger_opens_only_recent_days(ledger):
     assert ledger.read().count() == 0
+    ledger.register("runs_now")
     for day in (1, 2, 3):
         ledger.record({"run_id": f"r{day}", "started_at": utc(f"2024-01-0{day} 10:00:00"), "status": "ok"})
     recent = ledger.read(since="2024-01-02 12:00:00")

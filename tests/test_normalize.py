@@ -75,7 +75,9 @@ def test_broken_document_is_set_aside(spark, tmp_path):
     (tmp_path / "bad.json").write_text('{"features": [ {broken')
     docs = read_documents(spark, str(tmp_path))
     assert [r.file.split("/")[-1] for r in broken_documents(docs).collect()] == ["bad.json"]
-    assert features(docs).count() == 1
+    assert features(docs, on_broken="skip").count() == 1
+    with pytest.raises(Exception, match="not a JSON document: .*bad.json"):
+        features(docs).collect()
 
 
 @pytest.mark.parametrize(

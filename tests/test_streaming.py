@@ -64,6 +64,10 @@ def test_failed_batch_is_recorded_and_can_be_repeated(spark, tmp_path, table, la
     with pytest.raises(Exception):
         feeds.stream_upsert(stream(), table, str(tmp_path / "cp"), ledger=ledger).awaitTermination()
     assert [r.status for r in ledger.read().collect()] == ["error"] and table.scan().count() == 0
+    aside = str(tmp_path / "aside")
+    feeds.stream_upsert(stream(), table, str(tmp_path / "cp"), ledger=ledger, quarantine=aside).awaitTermination()
+    assert [r.id for r in table.scan().collect()] == ["a"]
+    assert [r.id for r in spark.read.parquet(aside).collect()] == ["b"]
 
 
 def test_feed_documents_as_a_stream(spark, tmp_path, table):
