@@ -1,10 +1,12 @@
+import importlib
 import os
 
 import pytest
 
-from revcat import session as module
 from revcat.session import clean_scratch, scratch_dir, written
 
+module = importlib.import_module("revcat.session")  # the package also exports a function of that name
+
 
 class Cluster:
     """Just what scratch_dir asks a session."""
