@@ -58,6 +58,7 @@ def run_ingest(
     dry_run: bool = False,
     quarantine: str | None = None,
     within: str | None = None,
+    feed_options: dict | None = None,
     **limits,
 ) -> dict:
     """One recurring run: pick feed or backfill, read, upsert, record.
@@ -65,13 +66,14 @@ def run_ingest(
     ``feed_path`` holds the landed feed documents; ``fetch_range(start, end)``
     returns raw event rows for a backfill. A broken document or a row without
     a required value fails the run, or is noted in the ``quarantine`` folder.
-    ``within`` is handed to the upsert; ``limits`` are those of ``decide``.
+    ``within`` is handed to the upsert, ``feed_options`` to ``read_documents``
+    and ``limits`` to ``decide``.
     """
     as_of = as_of or utc_now()
     with ledger.run(run_id, trigger, started_at=as_of, dry_run=dry_run) as run:
         run["mode"], run["window_start"], run["window_end"] = decide(table, as_of, **limits)
         if run["mode"] == "feed":
-            docs = read_documents(table.spark, feed_path)
+            docs = read_documents(table.spark, feed_path, **(feed_options or {}))
             if quarantine and not dry_run:
                 _set_aside(broken_documents(docs), f"{quarantine}/documents", run_id)
             rows = normalize(docs, "feed", as_of, on_broken="skip" if quarantine else "fail")

@@ -163,6 +163,19 @@ class CatalogTable:
             files.remove(self.spark, self._snapshot(version))
         return len(unused)
 
+    def drop_orphans(self, older_than_hours: float = 48) -> int:
+        """Remove what crashed attempts left behind and no snapshot lists.
+
+        The age must exceed the longest upsert, whose files are not listed yet.
+        """
+        used = {attempt for v in self.versions() for attempt in self.slices(v).values()}
+        gone = 0
+        for folder, prefix in (("data", "v="), ("staging", "")):
+            for name, hours in files.child_ages(self.spark, f"{self.root}/{folder}").items():
+                if name.startswith(prefix) and name[len(prefix):] not in used and hours > older_than_hours:
+                    gone += files.remove(self.spark, f"{self.root}/{folder}/{name}")
+        return gone
+
     # -- writing -----------------------------------------------------------
 
     def upsert(

@@ -22,9 +22,13 @@ def _with_origin(docs: DataFrame) -> DataFrame:
     return docs.select("document", F.col("_metadata.file_path").alias("file"))
 
 
-def read_documents(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """(document, file): one document per file, or per line with ``whole_files=False``."""
-    return _with_origin(_options(spark.read, whole_files).load(path))
+def read_documents(spark: SparkSession, path: str, whole_files: bool = True, **options) -> DataFrame:
+    """(document, file): one document per file, or per line with ``whole_files=False``.
+
+    ``options`` go to the file source, such as ``modifiedAfter`` for a folder
+    where documents pile up.
+    """
+    return _with_origin(_options(spark.read.options(**options), whole_files).load(path))
 
 
 def stream_documents(spark: SparkSession, path: str, whole_files: bool = True, **options) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -17,9 +18,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
 
 
-def total_bytes(spark: SparkSession, path: str) -> int:
+def child_ages(spark: SparkSession, path: str) -> dict[str, float]:
+    """Hours since each child was last changed."""
     fs, at = _open(spark, path)
-    return fs.getContentSummary(at).getLength()
+    found = fs.listStatus(at) if fs.exists(at) else []
+    return {s.getPath().getName(): time.time() / 3600 - s.getModificationTime() / 3_600_000 for s in found}
 
 
 def read_text(spark: SparkSession, path: str) -> str:

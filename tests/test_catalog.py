@@ -152,6 +152,31 @@ def test_two_writers_cannot_both_publish(table, event, events):
     assert ids(table) == ["a", "b"]
 
 
+def test_batch_too_large_to_broadcast(table, event, events, monkeypatch):
+    monkeypatch.setattr("revcat.sources.catalog.BROADCAST_BYTES", 0)
+    table.upsert(events([event(f"e{i}") for i in range(10)]))
+    done = table.upsert(events([event(f"e{i}", updated="2024-02-02 00:00:00") for i in range(5, 15)]))
+    assert (done.inserted, done.updated) == (5, 5) and len(ids(table)) == 15
+
+
+def test_crash_before_publishing_changes_nothing(table, event, events, monkeypatch):
+    table.upsert(events([event("a", mag=1.0)]))
+    before, batch = content(table), events([event("a", updated="2024-03-01 00:00:00", mag=2.0), event("b")])
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(CatalogTable, "_publish", crash)
+        with pytest.raises(OSError):
+            table.upsert(batch)
+    assert content(table) == before
+    assert table.drop_orphans() == 0  # too young
+    assert table.drop_orphans(older_than_hours=-1) == 1
+    done = table.upsert(batch)
+    assert (done.inserted, done.updated) == (1, 1) and ids(table) == ["a", "b"]
+
+
 def test_expire_keeps_what_is_live(table, event, events):
     table.upsert(events([event(f"e{m}", f"2024-{m:02}-10 00:00:00") for m in range(1, 4)]))
     for day in range(1, 4):
