@@ -18,6 +18,8 @@ def session(app_name: str = "revcat", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.parquet.compression.codec", "zstd")
+        # Longer IN lists reach Parquet only as their smallest and largest value.
+        .config("spark.sql.parquet.pushdown.inFilterThreshold", "1000")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("_", "."), value)

@@ -35,6 +35,7 @@ from revcat.sources import files
 
 SLICE = ["event_month", "id_bucket"]
 BROADCAST_BYTES = 32 << 20  # largest set of batch ids sent to every executor
+PUSHED_IDS = 1_000  # largest set of batch ids pushed into the scan as a filter
 
 
 @dataclass(frozen=True)
@@ -250,16 +251,26 @@ class CatalogTable:
             F.col("updated").alias("stored_updated"),
             F.col("event_month").alias("old_month"),
         )
-        if not bulk and self._ids_bytes(newest) <= BROADCAST_BYTES:
-            # Cuts the whole table to the batch's ids without shuffling it.
-            stored = stored.join(F.broadcast(newest.select("id")), "id", "left_semi")
+        if not bulk:
+            stored = self._only_ids(stored, newest.select("id"))
         verdict = outcome(F.col("stored_id"), F.col("updated"), F.col("stored_updated"), null_is_oldest)
         joined = newest.join(stored, "id", "left").withColumn("outcome", verdict)
         return joined.where("outcome <> 'keep'").drop("stored_id", "stored_updated")
 
-    def _ids_bytes(self, staged: DataFrame) -> int:
-        """Measured size of the staged ids, with room for row headers."""
-        return staged.agg(F.sum(F.octet_length("id") + F.lit(64))).first()[0] or 0
+    def _only_ids(self, stored: DataFrame, ids: DataFrame) -> DataFrame:
+        """Cut the stored rows to the batch's ids without shuffling the table.
+
+        A few ids go into the scan as a filter: files are ordered by id, so
+        Parquet skips the pages that cannot hold them. More are broadcast, if
+        their measured size allows; otherwise the join that follows does it.
+        """
+        few = ids.take(PUSHED_IDS + 1)
+        if len(few) <= PUSHED_IDS:
+            return stored.where(F.col("id").isin([r.id for r in few]))
+        size = ids.agg(F.sum(F.octet_length("id") + F.lit(64))).first()[0]
+        if size <= BROADCAST_BYTES:
+            return stored.join(F.broadcast(ids), "id", "left_semi")
+        return stored
 
     def _extent(self, changes: DataFrame) -> tuple[set, int, int]:
         """Slices the changes enter or leave (at most months times buckets rows), and counts."""

@@ -152,8 +152,18 @@ def test_two_writers_cannot_both_publish(table, event, events):
     assert ids(table) == ["a", "b"]
 
 
-def test_batch_too_large_to_broadcast(table, event, events, monkeypatch):
-    monkeypatch.setattr("revcat.sources.catalog.BROADCAST_BYTES", 0)
+def test_few_ids_reach_the_scan(table, event, events):
+    table.upsert(events([event(f"e{i}") for i in range(10)]))
+    ids_wanted = events([event("e3"), event("e7")]).select("id")
+    found = table._only_ids(table.scan(), ids_wanted)
+    assert "PushedFilters: [In(id, [e3,e7])]" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 2
+
+
+@pytest.mark.parametrize("pushed, broadcast", [(0, 1 << 20), (0, 0)])
+def test_batch_too_large_to_push_or_broadcast(table, event, events, monkeypatch, pushed, broadcast):
+    monkeypatch.setattr("revcat.sources.catalog.PUSHED_IDS", pushed)
+    monkeypatch.setattr("revcat.sources.catalog.BROADCAST_BYTES", broadcast)
     table.upsert(events([event(f"e{i}") for i in range(10)]))
     done = table.upsert(events([event(f"e{i}", updated="2024-02-02 00:00:00") for i in range(5, 15)]))
     assert (done.inserted, done.updated) == (5, 5) and len(ids(table)) == 15
