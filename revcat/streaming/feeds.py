@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -18,9 +19,25 @@ from revcat.sources.ledger import RunLedger, utc_now
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def use_rocksdb_state(spark) -> None:
-    """Keep stream state on executor disk instead of in JVM memory."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+@contextmanager
+def state_settings(spark: SparkSession, partitions: int | None = None):
+    """Settings for a stateful query started inside: state in RocksDB, a partition per core.
+
+    A stream's shuffles do not adapt to their size, and their number stays
+    fixed for the life of a checkpoint.
+    """
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def stream_upsert(
@@ -149,35 +166,26 @@ def uptime_sessions(runs: DataFrame, gap: str = "20 minutes", delay: str = "1 da
     )
 
 
+def _drained(result: DataFrame, writer, checkpoint: str) -> StreamingQuery:
+    with state_settings(result.sparkSession):
+        query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return query
+
+
 def drain_complete(result: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run an aggregating stream over what has landed; the last complete result as a table."""
-    use_rocksdb_state(result.sparkSession)
 
     def save(full: DataFrame, batch_id: int) -> None:
         full.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    query = (
-        result.writeStream.outputMode("complete")
-        .foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    writer = result.writeStream.outputMode("complete").foreachBatch(save)
+    query = _drained(result, writer, checkpoint)
     last = query.lastProgress["batchId"] if query.lastProgress else 0
     return result.sparkSession.read.schema(result.schema).parquet(f"{path}/batch={last}")
 
 
 def drain_append(result: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run a stream over what has landed in append mode; its output as a table."""
-    use_rocksdb_state(result.sparkSession)
-    query = (
-        result.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    _drained(result, result.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
     return result.sparkSession.read.schema(result.schema).parquet(path)
