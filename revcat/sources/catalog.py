@@ -186,6 +186,7 @@ class CatalogTable:
         bulk: bool = False,
         null_is_oldest: bool = False,
         then: tuple[str, ...] = (),
+        retries: int = 3,
     ) -> Upserted:
         """Insert new ids; replace a row, all columns, only for a strictly newer revision.
 
@@ -194,9 +195,19 @@ class CatalogTable:
         limits the match to the batch's time span plus that margin: cheaper,
         and right only if event times never move further. ``bulk`` says the
         batch is large, so it is joined as it is instead of being staged and
-        measured first. ``then`` breaks ties between equal revisions.
+        measured first. ``then`` breaks ties between equal revisions. If another
+        writer publishes first, the batch is applied again to what it published.
         """
-        live, version = self.slices(), max(self.versions(), default=-1)
+        for left in range(retries, -1, -1):
+            try:
+                return self._upsert_once(batch, within, bulk, null_is_oldest, then)
+            except FileExistsError:
+                if not left:
+                    raise
+
+    def _upsert_once(self, batch, within, bulk, null_is_oldest, then) -> Upserted:
+        version = max(self.versions(), default=-1)
+        live = self.slices(version) if version >= 0 else {}
         attempt = uuid.uuid4().hex
         staging = f"{self.root}/staging/{attempt}"
         newest = self._placed(latest_revision(batch, then=then))
@@ -220,6 +231,9 @@ class CatalogTable:
             untouched = {k: v for k, v in live.items() if k not in touched}
             snapshot = self._publish(version + 1, {**untouched, **written})
             return Upserted(inserted, updated, len(written), snapshot)
+        except FileExistsError:
+            files.remove(self.spark, f"{self.root}/data/v={attempt}")
+            raise
         finally:
             files.remove(self.spark, staging)
 
@@ -244,7 +258,7 @@ class CatalogTable:
             if low is not None:
                 first, last = _month_of(_utc(low)), _month_of(_utc(high))
                 live = {k: v for k, v in live.items() if first <= k[0] <= last}
-                near = F.unix_micros("event_time").between(low, high)
+                near = F.col("event_time").between(*[F.timestamp_micros(F.lit(t)) for t in (low, high)])
         stored = self._read(live).where(near).select(
             "id",
             F.col("id").alias("stored_id"),

@@ -91,6 +91,8 @@ def test_within_matches_near_events(table, event, events):
     table.upsert(events([event("a", "2024-01-31 23:59:59"), event("far", "2020-01-01 00:00:00")]))
     batch = events([event("a", "2024-02-01 00:00:01", updated="2024-05-01 00:00:00"), event("b")])
     done = table.upsert(batch, within="1 day")
+    near = table._changes(table._placed(batch), table.slices(), "1 day", False, True)
+    assert "GreaterThanOrEqual(event_time," in near._jdf.queryExecution().executedPlan().toString()
     assert (done.inserted, done.updated) == (1, 1) and ids(table) == ["a", "b", "far"]
 
 
@@ -143,13 +145,25 @@ def test_snapshots(spark, table, event, events):
     assert spark.sql("SELECT count(*) FROM live_catalog").first()[0] == 2
 
 
-def test_two_writers_cannot_both_publish(table, event, events):
+@pytest.mark.parametrize("retries", [0, 1])
+def test_another_writer_publishes_first(spark, table, event, events, monkeypatch, retries):
     table.upsert(events([event("a")]))
-    seen = table.versions()[-1]
-    table.upsert(events([event("b")]))
-    with pytest.raises(FileExistsError):
-        table._publish(seen + 1, {})
-    assert ids(table) == ["a", "b"]
+    other, write = CatalogTable(spark, table.root), CatalogTable._write
+    pending = [events([event("b")])]
+
+    def interrupted(self, content, attempt):
+        if self is table and pending:
+            other.upsert(pending.pop())
+        return write(self, content, attempt)
+
+    monkeypatch.setattr(CatalogTable, "_write", interrupted)
+    if retries:
+        assert table.upsert(events([event("c")]), retries=1).inserted == 1
+        assert ids(table) == ["a", "b", "c"]
+    else:
+        with pytest.raises(FileExistsError):
+            table.upsert(events([event("c")]), retries=0)
+        assert ids(table) == ["a", "b"]
 
 
 def test_few_ids_reach_the_scan(table, event, events):
