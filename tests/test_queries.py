@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from checks.queries import QUERIES
 
 DATA = Path(os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001"))
 pytestmark = pytest.mark.skipif(not DATA.exists(), reason="no test data")
@@ -31,14 +32,15 @@ def comparable(rows, names):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) <= set(queries())
+    assert set(QUERIES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
     assert entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_rows(spark, duck, name):
     frame = queries()[name](spark, str(DATA))
     expected = duck.sql(oracle_sql()[name])
