@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revcat.llm import exact_dedup, quality_rules
+from revcat.llm import bpe, exact_dedup, mixing, quality_rules
 from revcat.llm.common import table
 
 
@@ -23,7 +24,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "quality_.base_failed", F.col("kept_").alias("kept"), F.col("rule_").alias("rule"))
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.encoded_digests(spark, table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_byte_bpe": op4_byte_bpe,
+    "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
     "op5_exact_dedup": op5_exact_dedup,
 }
