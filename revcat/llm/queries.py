@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revcat.llm import bpe, exact_dedup, mixing, quality_rules
+from revcat.llm import bpe, exact_dedup, jaccard, mixing, quality_rules
 from revcat.llm.common import table
 
 
@@ -33,7 +33,12 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op7_ngram_jaccard": op7_ngram_jaccard,
     "op4_byte_bpe": op4_byte_bpe,
     "op9_mixing": op9_mixing,
     "op10_quality_rules": op10_quality_rules,
