@@ -13,14 +13,14 @@ segments than that difference, so two linked sets agree on some segments in full
   without each of its shingles; linked sets differ by at most one shingle in some
   segment.
 
-Equal signatures meet in one shuffle, as sorted arrays of 8 bytes per signature.
-Of the members of a signature each is first compared with the first one and the
-one before it; after that, members that are still in different components are all
-compared. A sketch filters the pairs without loss (the parity of each shingle hash
-bit count: it never differs in more bits than the sets do in shingles), and what
-remains is verified on the whole sets. So every link between different components
-is found, while a group of copies is not expanded into its pairs. Sets that are
-equal are one node.
+Equal signatures meet in one shuffle, as arrays of 8 bytes per signature. Each set
+is first compared with one other, the one that comes first under most of its
+signatures; after that, members of a signature that are still in different
+components are all compared. A sketch filters the pairs without loss (a parity bit
+per slot that shingles are hashed to: it never differs in more bits than the sets
+do in shingles), and what remains is verified on the whole sets. So every link
+between different components is found, while a group of copies is not expanded
+into its pairs. Sets that are equal are one node.
 
 Null and empty texts, and texts without words, have an empty set and link with
 nothing. Fewer words than a shingle make one shingle of all words. Rows that repeat
@@ -49,8 +49,9 @@ SHINGLE = 5
 #: Links have NUMERATOR / DENOMINATOR or more in common.
 NUMERATOR, DENOMINATOR = 75, 100
 BAND_GROWTH = 1.5
-SLACK = 0.15
-SKETCH_BITS = 1024
+SLACK = 0.35
+#: A sketch has at least so many bits, and at least two per shingle.
+SKETCH_BITS = 256
 #: Characters of text whose signatures one task of the shuffle holds.
 CHARS_PER_PART = 2 << 20
 #: Documents and signatures that a map task packs together; the first is the range of a 16-bit number.
@@ -147,8 +148,24 @@ def signatures(shingles: np.ndarray, cache: list[Band]) -> np.ndarray:
 
 
 def _sketch(shingles: np.ndarray) -> bytes:
-    counts = np.bincount((shingles & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS)
-    return np.packbits(counts & 1).tobytes()
+    bits = max(SKETCH_BITS, 1 << int(2 * len(shingles) - 1).bit_length())
+    counts = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(counts & 1, bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray) -> np.ndarray:
+    """The sketch of half the size: slot x holds what x and x + half held."""
+    half = bits.shape[-1] // 2
+    return bits[..., :half] ^ bits[..., half:]
+
+
+def _differ(a: bytes, b: bytes) -> int:
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = _folded(x)
+    while len(y) > len(x):
+        y = _folded(y)
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _node(shingles: np.ndarray) -> bytes | None:
@@ -205,7 +222,7 @@ def _index(docs: DataFrame, parts: int) -> DataFrame:
         if part < 0:
             found = []
             for row in rows.itertuples():
-                found += [(None, (row.flush << 16) + i, None, None, *x) for i, x in enumerate(zip(row.ids, row.ns, row.nodes, row.bits))]
+                found += [(None, (row.flush << 16) + i, None, *x) for i, x in enumerate(zip(row.ids, row.ns, row.nodes, row.bits))]
             return _frame(found)
         entries = [np.frombuffer(s, np.uint64) for s in rows["sigs"]]
         keys = np.concatenate([(np.uint64(f) << np.uint64(16)) | (e & np.uint64(0xFFFF)) for f, e in zip(rows["flush"], entries)])
@@ -219,21 +236,19 @@ def _index(docs: DataFrame, parts: int) -> DataFrame:
         group = np.repeat(np.arange(len(starts)), sizes)
         many = np.repeat(sizes > 1, sizes)
         first = np.repeat(keys[starts], sizes)
-        before = np.concatenate([keys[:1], keys[:-1]])
-        before = np.where(first == keys, first, before)
-        out = pd.DataFrame({"sig": (part << 32) + group[many], "key": keys[many], "first": first[many], "before": before[many]})
+        out = pd.DataFrame({"sig": (part << 32) + group[many], "key": keys[many], "first": first[many]})
         return out.assign(doc_id=None, n=None, node=None, bits=None)
 
     small_batches(docs.sparkSession)
     plain = docs.select("doc_id", "text")
     dealt = plain.mapInArrow(emit, "part long, flush long, sigs binary, ids array<long>, ns array<long>, nodes array<binary>, bits array<binary>")
-    schema = "sig long, key long, first long, before long, doc_id long, n long, node binary, bits binary"
+    schema = "sig long, key long, first long, doc_id long, n long, node binary, bits binary"
     return written(dealt.groupBy("part").applyInPandas(gather, schema), "jaccard")
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    columns = list(zip(*rows)) if rows else [[]] * 8
-    names = ["sig", "key", "first", "before", "doc_id", "n", "node", "bits"]
+    columns = list(zip(*rows)) if rows else [[]] * 7
+    names = ["sig", "key", "first", "doc_id", "n", "node", "bits"]
     return pd.DataFrame({
         name: pd.array(c, "Int64") if name not in ("node", "bits") else pd.Series(c, dtype=object) for name, c in zip(names, columns)
     })
@@ -245,8 +260,8 @@ def _near(pairs: DataFrame) -> DataFrame:
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_a, n_b = (batch.column(k).to_numpy().astype(np.int64) for k in (1, 4))
-            bits = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for k in (2, 5)]
-            chosen = pa.array(_may_link(n_a, n_b, np.bitwise_count(bits[0] ^ bits[1]).sum(axis=1)))
+            differ = [_differ(a, b) for a, b in zip(*(batch.column(k).to_pylist() for k in (2, 5)))]
+            chosen = pa.array(_may_link(n_a, n_b, np.array(differ, np.int64)), pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(chosen) for k in (0, 3, 1, 4)], ["u", "v", "n_u", "n_v"])
 
     frame = pairs.select("node_a", "n_a", "bits_a", "node_b", "n_b", "bits_b").where("node_a <> node_b")
@@ -293,40 +308,75 @@ def _linked(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
     return written(both.mapInArrow(verify, "u binary, v binary"), "links")
 
 
-def _apart(index: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of one signature that are in different components and may link, as (u, v, n_u, n_v)."""
-    of = known.select("key", "node").join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"))
-    members = index.select("sig", "key").join(of, "key")
-    open_ = members.groupBy("sig").agg(F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"))
-    open_ = open_.where("least <> most AND size > 2").select("sig")  # of two, the pair has been compared
-    members = members.join(open_, "sig").join(known.select("key", "node", "n", "bits"), "key")
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("sig", kind="stable")
-        sig, n = rows["sig"].to_numpy(), rows["n"].to_numpy()
-        root = pd.factorize(rows["root"])[0]
-        node = rows["node"].to_numpy()
-        bits = np.frombuffer(b"".join(rows["bits"]), np.uint64).reshape(len(rows), -1)
-        starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])).tolist()
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        for a, b in zip(starts, [*starts[1:], len(sig)]):
-            at = np.arange(a, b)
-            for i in range(a, b - 1):
-                rest = at[i + 1 - a :]
-                rest = rest[root[rest] != root[i]]
-                rest = rest[_may_link(n[i], n[rest], 0)]
-                if len(rest):
-                    rest = rest[_may_link(n[i], n[rest], np.bitwise_count(bits[rest] ^ bits[i]).sum(axis=1))]
-                    found.append((np.full(len(rest), i), rest))
-        u = np.concatenate([np.zeros(0, np.int64), *(x for x, _ in found)])
-        v = np.concatenate([np.zeros(0, np.int64), *(x for _, x in found)])
-        out = pd.DataFrame({"u": node[u], "v": node[v], "n_u": n[u], "n_v": n[v]})
-        swap = out["u"] > out["v"]
-        out.loc[swap, ["u", "v", "n_u", "n_v"]] = out.loc[swap, ["v", "u", "n_v", "n_u"]].to_numpy()
-        return out.drop_duplicates(["u", "v"]).astype({"n_u": "int64", "n_v": "int64"})
-
-    members = members.select(F.shiftright("sig", 32).alias("part"), "sig", "root", "node", "n", "bits")
-    return members.groupBy("part").applyInPandas(compare, "u binary, v binary, n_u long, n_v long").distinct()
+class _Sketches:
+    """The sketches of a group, by size, to compare one with many."""
+
+    def __init__(self, bits: list[bytes]):
+        self.size = np.array([len(x) for x in bits])
+        self.row = np.zeros(len(bits), np.int64)
+        self.own: dict[int, np.ndarray] = {}
+        for size in set(self.size.tolist()):
+            at = np.flatnonzero(self.size == size)
+            self.row[at] = np.arange(len(at))
+            self.own[size] = np.frombuffer(b"".join(bits[i] for i in at.tolist()), np.uint64).reshape(len(at), -1)
+
+    def differ(self, i: int, others: np.ndarray) -> np.ndarray:
+        """Bits in which i differs from others, whose sketches are of half to twice the size of its own."""
+        size, out = int(self.size[i]), np.zeros(len(others), np.int64)
+        one = self.own[size][self.row[i]]
+        for other in set(self.size[others].tolist()):
+            at = np.flatnonzero(self.size[others] == other)
+            many, single = self.own[other][self.row[others[at]]], one
+            many = _folded(many) if other > size else many
+            single = _folded(single) if other < size else single
+            out[at] = np.bitwise_count(many ^ single).sum(axis=1)
+        return out
+
+
+def _compare(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of the members of each signature, the pairs in different components that may link."""
+    rows = rows.sort_values("sig", kind="stable")
+    sig, n, root, node = (rows[c].to_numpy() for c in ("sig", "n", "root", "node"))
+    bits = rows["bits"].tolist()
+    starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])).tolist()
+    found: set[tuple[int, int]] = set()
+    for a, b in zip(starts, [*starts[1:], len(sig)]):
+        sketches, own_n, own_root = _Sketches(bits[a:b]), n[a:b], root[a:b]
+        for i in range(b - a - 1):
+            rest = np.arange(i + 1, b - a)
+            rest = rest[(own_root[rest] != own_root[i]) & _may_link(own_n[i], own_n[rest], 0)]
+            if len(rest):
+                rest = rest[_may_link(own_n[i], own_n[rest], sketches.differ(i, rest))]
+                found.update((a + i, a + k) for k in rest.tolist())
+    pairs = {tuple(sorted(((node[i], n[i]), (node[k], n[k])))) for i, k in found}
+    return pd.DataFrame([(u, v, n_u, n_v) for (u, n_u), (v, n_v) in pairs], columns=["u", "v", "n_u", "n_v"])
+
+
+def _with_sketches(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs of keys (key, other) with the nodes, sizes and sketches of both."""
+    for key, side in (("key", "a"), ("other", "b")):
+        of = known.select(F.col("key").alias(key), *[F.col(c).alias(f"{c}_{side}") for c in ("node", "n", "bits")])
+        pairs = pairs.join(of, key)
+    return pairs
+
+
+def _apart(members: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs that share a signature, are in different components and may link, as (u, v, n_u, n_v)."""
+    of = known.select("key", "node").join(roots, "node", "left")
+    of = of.select("key", F.xxhash64(F.coalesce("root", "node")).alias("root"))
+    members = members.select("sig", "key").join(of, "key")
+    groups = members.groupBy("sig").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"),
+        F.min("key").alias("key"), F.max("key").alias("other"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("x1"),
+        F.bit_xor(F.xxhash64(F.lit(2), "key")).alias("x2"),
+    ).where("least <> most")
+    groups = written(groups, "groups")
+    two = _near(_with_sketches(groups.where("size = 2").select("key", "other").distinct(), known))
+    # Signatures with the same members are compared once.
+    more = groups.where("size > 2").groupBy("size", "key", "other", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
+    open_ = members.join(more, "sig").join(known.select("key", "node", "n", "bits"), "key")
+    open_ = open_.select(F.shiftright("sig", 32).alias("part"), "sig", "root", "node", "n", "bits")
+    return two.union(open_.groupBy("part").applyInPandas(_compare, "u binary, v binary, n_u long, n_v long")).distinct()
 
 
 def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -337,14 +387,18 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     index, rows = every.where("sig IS NOT NULL"), every.where("sig IS NULL").select("key", "doc_id", "n", "node", "bits")
     known = rows.where("node IS NOT NULL")
 
-    # Each member of a signature with the first and with the one before it.
-    pairs = index.where("key <> first").select("key", F.explode(F.array_distinct(F.array("first", "before"))).alias("other")).distinct()
-    side = [known.select(F.col("key").alias(k), *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "bits")]) for k, s in (("key", "a"), ("other", "b"))]
-    compared = written(_near(pairs.join(side[0], "key").join(side[1], "other")), "near")
+    # Equal sets that were indexed by several tasks share all signatures: the first one stands for them.
+    twins = known.groupBy("node").agg(F.count("*").alias("copies"), F.min("key").alias("least")).where("copies > 1")
+    twins = known.join(twins, "node").where("key <> least").select("key")
+    members = written(index.join(twins, "key", "left_anti"), "members")
+
+    best = F.max(F.struct("shared", "other"))["other"].alias("other")
+    pairs = members.where("key <> first").groupBy("key", F.col("first").alias("other")).agg(F.count("*").alias("shared"))
+    compared = written(_near(_with_sketches(pairs.groupBy("key").agg(best), known)), "near")
     links = _linked(compared, docs, known)
     roots = written(components(links), "roots")
 
-    left = _apart(index, known, roots).join(compared.select("u", "v"), ["u", "v"], "left_anti")
+    left = _apart(members, known, roots).join(compared.select("u", "v"), ["u", "v"], "left_anti")
     more = _linked(left, docs, known)
     roots = written(components(links.union(more)), "roots")
 
