@@ -38,11 +38,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revcat.llm.common import small_batches, whole_text
-from revcat.session import written
 
-BLOCK_CHARS = 16 << 20
-#: Distinct words, counted once per block, that one task of the global shuffle encodes.
-WORDS_PER_PART = 250_000
+BLOCK_CHARS = 8 << 20
+#: Characters of text whose distinct words one task of the global shuffle encodes.
+CHARS_PER_PART = 16 << 20
 #: From this length on a word's merges are kept in a heap; below, scanning a list is faster.
 LONG_WORD = 256
 
@@ -171,15 +170,29 @@ def _unpack_words(packed: bytes) -> list[bytes]:
     return [joined[a:b] for a, b in zip([0, *ends], ends)]
 
 
-BLOCK_SCHEMA = "block long, ids array<long>, n_words int, words binary, lengths binary, positions binary"
+BLOCK_SCHEMA = "block long, packed binary"
+
+
+def _join_parts(*parts: bytes) -> bytes:
+    return b"".join(len(p).to_bytes(8, "little") + p for p in parts)
+
+
+def _take_parts(packed: bytes) -> list[bytes]:
+    parts, at = [], 0
+    while at < len(packed):
+        size = int.from_bytes(packed[at : at + 8], "little")
+        parts.append(packed[at + 8 : at + 8 + size])
+        at += 8 + size
+    return parts
 
 
 def _blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFrame:
-    """Documents in blocks: the distinct words, words per document, and each word's index, in order."""
-    schema = pa.schema([
-        ("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("n_words", pa.int32()),
-        ("words", pa.binary()), ("lengths", pa.binary()), ("positions", pa.binary()),
-    ])
+    """Documents in blocks: the distinct words, and each word's index in them, in order.
+
+    A block is one opaque value, so that both who reads its words and who reads its
+    positions want the same column, and one shuffle serves both.
+    """
+    schema = pa.schema([("block", pa.int64()), ("packed", pa.binary())])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -193,12 +206,11 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFr
             rank = np.empty(len(index), np.uint32)
             rank[order] = np.arange(len(index), dtype=np.uint32)
             words = list(index)
-            row = {
-                "block": number, "ids": ids, "n_words": len(words),
-                "words": _pack_words([words[i].encode() for i in order.tolist()]),
-                "lengths": _pack(np.array(lengths, np.uint32)), "positions": _pack(rank[every]),
-            }
-            return pa.RecordBatch.from_pylist([row], schema)
+            packed = _join_parts(
+                _pack_words([words[i].encode() for i in order.tolist()]), _pack(rank[every]), _pack(np.array(lengths, np.uint32)),
+                np.array([-1 if i is None else i for i in ids], np.int64).tobytes(), np.array([i is None for i in ids], np.bool_).tobytes(),
+            )
+            return pa.RecordBatch.from_pylist([{"block": number, "packed": packed}], schema)
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -221,20 +233,21 @@ def _blocks(docs: DataFrame, id_col: str, text_col: str, pattern: str) -> DataFr
 
 
 def _encoded_words(blocks: DataFrame, ranks: Broadcast, parts: int) -> DataFrame:
-    """(block, at, counts, tokens): which of the block's words, ids per word, and the ids."""
+    """(block, mark, at, counts, tokens): which of the block's words, ids per word, and the ids; mark: of its word list."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = _unpack_words(packed.as_py())
+                own = _take_parts(packed.as_py())[0]
+                words, mark = _unpack_words(own), zlib.crc32(own)
                 part = np.fromiter((zlib.crc32(w) for w in words), np.int64, len(words)) % parts
                 order = np.argsort(part, kind="stable")
                 starts = np.flatnonzero(np.diff(part[order], prepend=-1))
                 for at in np.split(order, starts[1:]):
                     if len(at):
                         chosen = [words[i] for i in at.tolist()]
-                        row = [[int(part[at[0]])], [block], [_pack(at.astype(np.uint32))], [_pack_words(chosen)]]
-                        yield pa.RecordBatch.from_arrays(list(map(pa.array, row)), ["part", "block", "at", "words"])
+                        row = [[int(part[at[0]])], [block], [mark], [_pack(at.astype(np.uint32))], [_pack_words(chosen)]]
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, row)), ["part", "block", "mark", "at", "words"])
 
     def encode(group: pd.DataFrame) -> pd.DataFrame:
         known: dict[bytes, list[int]] = {}
@@ -249,30 +262,36 @@ def _encoded_words(blocks: DataFrame, ranks: Broadcast, parts: int) -> DataFrame
                 ids.append(found)
             counts.append(_pack(np.fromiter(map(len, ids), np.uint32, len(ids))))
             tokens.append(_pack(np.fromiter((t for x in ids for t in x), np.uint32)))
-        return pd.DataFrame({"block": group["block"], "at": group["at"], "counts": counts, "tokens": tokens})
+        return pd.DataFrame({"block": group["block"], "mark": group["mark"], "at": group["at"], "counts": counts, "tokens": tokens})
 
-    dealt = blocks.select("block", "words").mapInArrow(deal, "part long, block long, at binary, words binary")
-    return dealt.groupBy("part").applyInPandas(encode, "block long, at binary, counts binary, tokens binary")
+    dealt = blocks.mapInArrow(deal, "part long, block long, mark long, at binary, words binary")
+    return dealt.groupBy("part").applyInPandas(encode, "block long, mark long, at binary, counts binary, tokens binary")
 
 
 def _assemble(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     """The documents of one block, from its positions and the ids of its words."""
     out: tuple[list, list, list] = ([], [], [])
-    for row in left.itertuples():
-        counts = np.zeros(row.n_words, np.int64)
+    for packed in left["packed"]:
+        own, positions, lengths, doc_ids, missing = _take_parts(packed)
+        if (right["mark"] != zlib.crc32(own)).any():
+            raise RuntimeError("the rows came in another order when the stage ran again; read the documents from a table")
+        n_words = len(_unpack_words(own))
+        counts = np.zeros(n_words, np.int64)
         at = [_unpack(a) for a in right["at"]]
         each = [_unpack(c).astype(np.int64) for c in right["counts"]]
         for where, count in zip(at, each):
             counts[where] = count
         flat = np.concatenate([np.zeros(0, "<u4"), *map(_unpack, right["tokens"])])
         # Where the ids of each word start in ``flat``.
-        starts, done = np.zeros(row.n_words, np.int64), 0
+        starts, done = np.zeros(n_words, np.int64), 0
         for where, count in zip(at, each):
             starts[where] = done + np.cumsum(count) - count
             done += int(count.sum())
-        words, lengths = _unpack(row.positions), _unpack(row.lengths).astype(np.int64)
+        words, lengths = _unpack(positions), _unpack(lengths).astype(np.int64)
+        doc_ids = pd.array(np.frombuffer(doc_ids, np.int64), "Int64")
+        doc_ids[np.frombuffer(missing, np.bool_)] = pd.NA
         stops = np.cumsum(lengths)
-        for doc, stop, length in zip(row.ids, stops.tolist(), lengths.tolist()):
+        for doc, stop, length in zip(doc_ids, stops.tolist(), lengths.tolist()):
             own = words[stop - length : stop]
             n = counts[own]
             ends = np.cumsum(n)
@@ -288,11 +307,11 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
     """One row per document: id, n_tokens, tokens (ids as little-endian unsigned 32-bit integers)."""
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))
-    blocks = written(_blocks(docs, id_col, text_col, pattern), "bpe")
-    words = blocks.agg(F.sum("n_words")).first()[0] or 0
-    encoded = _encoded_words(blocks, ranks, max(1, -(-words // WORDS_PER_PART)))
-    packed = blocks.select("block", "ids", "n_words", "lengths", "positions")
-    return packed.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(
+    chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = _blocks(docs, id_col, text_col, pattern).repartition(parts, "block")
+    encoded = _encoded_words(blocks, ranks, max(1, -(-chars // CHARS_PER_PART)))
+    return blocks.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(
         _assemble, "id long, n_tokens long, tokens binary"
     )
 

@@ -12,7 +12,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Bytes of text in one Arrow batch, so that very long texts do not pile up in a worker.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
