@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revcat.llm import bpe, exact_dedup, jaccard, mixing, quality_rules
+from revcat.llm import bpe, exact_dedup, jaccard, mixing, quality_rules, quotations, toxicity, url_filter
 from revcat.llm.common import table
 
 
@@ -37,7 +37,32 @@ def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_groups(table(spark, sf_dir, "documents"))
 
 
+RULES = [
+    ("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"), ("com", "/de/", "block"),
+]
+
+
+def op2_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    linked = quotations.link(table(spark, sf_dir, "conversations"))
+    body = F.sha2("body", 256).alias("body_sha256")
+    return linked.select("conv_id", "turn", "role", "n_quotes", "reply_to", "root_turn", "depth", body)
+
+
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
+    "op2_quotation_linking": op2_quotation_linking,
+    "op3_url_filter": op3_url_filter,
+    "op8_toxicity": op8_toxicity,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op4_byte_bpe": op4_byte_bpe,
     "op9_mixing": op9_mixing,
@@ -47,7 +72,21 @@ QUERIES = {
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+_RULES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
+
 ORACLES = {
+    "op3_url_filter": f"""
+WITH rules(rule_host, rule_path, verdict) AS (VALUES {_RULES}),
+parts AS (
+  SELECT row_number() OVER () AS n, page_id,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages),
+best AS (
+  SELECT n, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(verdict, length(rule_host || rule_path)) AS verdict
+  FROM parts JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path) GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parts LEFT JOIN best USING (n)
+""",
     "op5_exact_dedup": f"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
   doc_id = max(doc_id) OVER same AS kept, sha256({_LOWER}) AS text_sha256
