@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revcat.llm import bpe, exact_dedup, jaccard, mixing, quality_rules, quotations, toxicity, url_filter
+from revcat.llm import bpe, exact_dedup, html_text, jaccard, mixing, quality_rules, quotations, toxicity, url_filter
 from revcat.llm.common import table
 
 
@@ -43,6 +43,10 @@ RULES = [
 ]
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = quotations.link(table(spark, sf_dir, "conversations"))
     body = F.sha2("body", 256).alias("body_sha256")
@@ -60,6 +64,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_main_text": op1_main_text,
     "op2_quotation_linking": op2_quotation_linking,
     "op3_url_filter": op3_url_filter,
     "op8_toxicity": op8_toxicity,
