@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from revcat.llm import exact_dedup, quality_rules
+from revcat.llm import bpe, exact_dedup, jaccard, mixing, quality_rules
 from revcat.llm.common import table
 from revcat.session import written
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-
-
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rule nor a learned rule rejects."""
     return quality_rules.quality_filter(docs, table(spark, sf_dir, "labels"))
@@ -21,9 +19,27 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs)
 
 
+def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of documents linked by their shingles, the one with the smallest identifier."""
+    return jaccard.one_of_each_group(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.mixture(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, and digests of the ids and of the bytes they decode to."""
+    return bpe.encoded_digests(spark, docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 STAGES = [
     ("quality rules", keep_quality),
     ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", one_of_near_copies),
+    ("mixing sources", mix_sources),
+    ("byte-level BPE", encode),
 ]
 
 #: SQL can express neither the learned rules nor the pseudorandom draw of the mix.

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revcat.llm import bpe, exact_dedup, html_text, jaccard, mixing, quality_rules, quotations, toxicity, url_filter
+from revcat.llm import bpe, exact_dedup, html_text, jaccard, mixing, quality_rules, quotations, repeated_bytes, toxicity, url_filter
 from revcat.llm.common import table
 
 
@@ -33,6 +33,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.digests(table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_groups(table(spark, sf_dir, "documents"))
 
@@ -68,6 +72,7 @@ QUERIES = {
     "op2_quotation_linking": op2_quotation_linking,
     "op3_url_filter": op3_url_filter,
     "op8_toxicity": op8_toxicity,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op4_byte_bpe": op4_byte_bpe,
     "op9_mixing": op9_mixing,
