@@ -129,11 +129,14 @@ class _Ranks:
         }
 
     def has(self, kind: str, ranks: np.ndarray) -> np.ndarray:
-        known = self.sets.get(kind)
-        if known is None or not len(ranks):
-            return np.zeros(len(ranks), bool)
-        at = np.minimum(np.searchsorted(known, ranks), len(known) - 1)
-        return known[at] == ranks
+        return _among(ranks, self.sets.get(kind, ranks[:0]))
+
+
+def _among(ranks: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which of the ranks are in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(ranks), bool)
+    return known[np.minimum(np.searchsorted(known, ranks), len(known) - 1)] == ranks
 
 
 def _pack(docs: DataFrame) -> DataFrame:
@@ -217,7 +220,7 @@ def _repeated(entries: DataFrame) -> DataFrame:
                 distinct, counts = np.unique(every, return_counts=True)
                 found = np.union1d(distinct[counts > 1], every[twice])
             for block, kind, own in zip(some["block"], some["kind"], ranks):
-                if kind != "offer" and len(hit := own[np.isin(own, found)]):
+                if kind != "offer" and len(hit := own[_among(own, found)]):
                     out.append((block, kind, hit.tobytes()))
         return pd.DataFrame(out, columns=["block", "kind", "ranks"])
 
