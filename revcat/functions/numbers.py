@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 def round_half_away(value: Column, places: int) -> Column:
     """Round half away from zero on the decimal form, so 0.285 gives 0.29.
 
-    Values a decimal(20,8) cannot hold (NaN, infinities, huge) are left as they are.
+    Values a decimal(38,8) cannot hold are left as they are: NaN, infinities, and
+    doubles so large that they have no decimals.
     """
-    as_decimal = value.try_cast("decimal(20,8)")
+    as_decimal = value.try_cast("decimal(38,8)")
     return F.coalesce(F.round(as_decimal, places).cast("double"), value.cast("double"))
 
 

@@ -192,8 +192,8 @@ class CatalogTable:
 
         Stored rows are matched by id wherever they lie in time, so an event
         whose time moved is never duplicated. ``within`` (for example "1 day")
-        limits the match to the batch's time span plus that margin: cheaper,
-        and right only if event times never move further. ``bulk`` says the
+        limits the match to the months of the batch's time span plus that
+        margin: cheaper, and right only if event times never move further. ``bulk`` says the
         batch is large, so it is joined as it is instead of being staged and
         measured first. ``then`` breaks ties between equal revisions. If another
         writer publishes first, the batch is applied again to what it published.
@@ -249,7 +249,6 @@ class CatalogTable:
 
     def _changes(self, newest, live, within, null_is_oldest, bulk) -> DataFrame:
         """Batch rows that insert or update, with the month they leave."""
-        near = F.lit(True)
         if within is not None:
             margin = F.expr(f"interval {within}")
             low, high = newest.agg(
@@ -257,9 +256,9 @@ class CatalogTable:
             ).first()
             if low is not None:
                 first, last = _month_of(_utc(low)), _month_of(_utc(high))
+                # Whole months: a slice is rewritten whole, so all its rows must be matched.
                 live = {k: v for k, v in live.items() if first <= k[0] <= last}
-                near = F.col("event_time").between(*[F.timestamp_micros(F.lit(t)) for t in (low, high)])
-        stored = self._read(live).where(near).select(
+        stored = self._read(live).select(
             "id",
             F.col("id").alias("stored_id"),
             F.col("updated").alias("stored_updated"),

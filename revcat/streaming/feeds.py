@@ -120,13 +120,15 @@ class IdleRecorder(StreamingQueryListener):
         self.followed.discard(str(event.runId))
 
 
-def suppress_repeats(rows: DataFrame, delay: str = "24 hours", arrival: str = "ingested_at") -> DataFrame:
+def suppress_repeats(rows: DataFrame, delay: str = "24 hours") -> DataFrame:
     """Drop exact re-deliveries of a revision seen within ``delay``.
 
-    The watermark is on arrival time: on event time it would drop the late
-    revisions this catalog exists for.
+    The watermark is on the time of the micro-batch, which no row is ever behind:
+    on a time that rows carry it would drop the late ones, though they are new. A
+    repeat after ``delay`` comes through, and the upsert ignores it.
     """
-    return rows.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(["id", "updated"])
+    timed = rows.withColumn("seen_at_", F.current_timestamp()).withWatermark("seen_at_", delay)
+    return timed.dropDuplicatesWithinWatermark(["id", "updated"]).drop("seen_at_")
 
 
 def latest_state(rows: DataFrame, then: tuple[str, ...] = ()) -> DataFrame:

@@ -234,3 +234,18 @@ def test_random_batches_against_a_dictionary(spark, tmp_path, event, events):
     assert sorted(tuple(r) for r in rows) == sorted(
         (k, int(v["event_time"].timestamp()) * 1_000_000, v["mag"]) for k, v in model.items()
     )
+
+
+@pytest.mark.parametrize("stored_first", [False, True])
+def test_stale_revision_in_an_opened_month_is_ignored(table, event, events, stored_first):
+    newer = event("x", "2024-01-02 00:00:00", "2024-06-01 00:00:00", mag=9.0)
+    stale = event("x", "2024-01-20 00:00:00", "2024-01-25 00:00:00", mag=1.0)
+    other = event("y", "2024-01-20 00:00:00", "2024-01-20 01:00:00", mag=1.0)
+    table.upsert(events([newer if stored_first else stale, other]))
+    changed = event("y", "2024-01-20 00:00:00", "2024-01-21 00:00:00", mag=2.0)
+    done = table.upsert(events([stale if stored_first else newer, changed]), within="20 days")
+    assert (done.inserted, done.updated) == (0, 1 if stored_first else 2)
+    assert sorted((r.id, r.mag) for r in table.scan().collect()) == [("x", 9.0), ("y", 2.0)]
+    again = table.upsert(events([stale, event("y", "2024-01-20 00:00:00", "2024-01-22 00:00:00", mag=3.0)]), within="1 day")
+    assert (again.inserted, again.updated) == (0, 1)
+    assert sorted((r.id, r.mag) for r in table.scan().collect()) == [("x", 9.0), ("y", 3.0)]
