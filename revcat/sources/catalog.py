@@ -249,6 +249,7 @@ class CatalogTable:
 
     def _changes(self, newest, live, within, null_is_oldest, bulk) -> DataFrame:
         """Batch rows that insert or update, with the month they leave."""
+        near = F.lit(True)
         if within is not None:
             margin = F.expr(f"interval {within}")
             low, high = newest.agg(
@@ -258,7 +259,9 @@ class CatalogTable:
                 first, last = _month_of(_utc(low)), _month_of(_utc(high))
                 # Whole months: a slice is rewritten whole, so all its rows must be matched.
                 live = {k: v for k, v in live.items() if first <= k[0] <= last}
-        stored = self._read(live).select(
+                months = [F.date_trunc("MONTH", F.timestamp_micros(F.lit(t))) for t in (low, high)]
+                near = (F.col("event_time") >= months[0]) & (F.col("event_time") < months[1] + F.expr("interval 1 month"))
+        stored = self._read(live).where(near).select(
             "id",
             F.col("id").alias("stored_id"),
             F.col("updated").alias("stored_updated"),
