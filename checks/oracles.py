@@ -91,20 +91,42 @@ oracle(
     " FROM h GROUP BY 1",
     h=HISTORY,
 )
+
+
+def laid(source: str, view: str, rows: int) -> str:
+    """One file after the other: the next bin begins after the file that fills the last one."""
+    return f"""RECURSIVE files AS (
+      SELECT {source} AS source, row_number() OVER (ORDER BY {source}) AS k, count(*) AS n,
+        min(event_time) AS earliest, max(event_time) AS latest
+      FROM {view} GROUP BY 1
+    ),
+    laid AS (
+      SELECT *, CAST(0 AS bigint) AS bin, n AS filled FROM files WHERE k = 1
+      UNION ALL
+      SELECT files.*, bin + CASE WHEN filled >= {rows} THEN 1 ELSE 0 END,
+        files.n + CASE WHEN filled >= {rows} THEN 0 ELSE filled END
+      FROM laid JOIN files ON files.k = laid.k + 1
+    )"""
+
+
 oracle("ledger_append", "SELECT * FROM r WHERE started_at >= timestamp '2024-01-10 06:00:00'", r=LEDGER)
 oracle(
     "compact_plan",
-    """
-    WITH days AS (SELECT date_trunc('day', event_time) AS day, count(*) AS n FROM h GROUP BY 1),
-    laid AS (SELECT day, n, sum(n) OVER (ORDER BY day) - n AS before FROM days)
-    SELECT CAST(before // 500 AS bigint) AS bin, count(*) AS files, CAST(sum(n) AS bigint) AS rows,
-      min(day) AS first, max(day) AS last
-    FROM laid GROUP BY 1
+    f"""
+    WITH {laid("strftime(event_time, '%Y-%m-%d')", "h", 500)}
+    SELECT bin, count(*) AS files, CAST(sum(n) AS bigint) AS rows, min(source) AS first, max(source) AS last
+    FROM laid GROUP BY bin
     """,
     h=HISTORY,
 )
-
-oracle("compact_layout", "SELECT count(*) AS total_rows, true AS all_within_limit FROM f", f=V.duck(V.CHUNK_FILES))
+oracle(
+    "compact_layout",
+    f"""
+    WITH {laid("chunk_start", "f", 4000)}
+    SELECT bin, CAST(sum(n) AS bigint) AS rows, min(earliest) AS first, max(latest) AS last FROM laid GROUP BY bin
+    """,
+    f=V.duck(V.CHUNK_FILES),
+)
 
 # -- normalization -----------------------------------------------------------
 
@@ -493,11 +515,10 @@ oracle(
 
 def sessions(by: str) -> str:
     over = "OVER (PARTITION BY trigger ORDER BY started_at)" if by else "OVER (ORDER BY started_at)"
-    limit = ">=" if by else ">"
     return f"""
     WITH stepped AS (SELECT *, lag(started_at) {over} AS previous FROM r),
     numbered AS (
-      SELECT *, sum(CASE WHEN previous IS NULL OR started_at - previous {limit} interval '20' minute THEN 1 ELSE 0 END)
+      SELECT *, sum(CASE WHEN previous IS NULL OR started_at - previous > interval '20' minute THEN 1 ELSE 0 END)
         {over} AS k FROM stepped
     )
     SELECT {by} min(started_at) AS session_start, max(started_at) AS session_end, count(*) AS runs
@@ -587,6 +608,17 @@ def hourly_against(days: int, hours: str) -> str:
 
 oracle("hourly_vs_baseline", hourly_against(3650, "count(DISTINCT date_trunc('hour', event_time))"), h=HISTORY)
 oracle("hourly_vs_dense_baseline", hourly_against(2000, "47976"), h=HISTORY)
+for asked in ("today_vs_history", "hourly_vs_baseline"):
+    ORACLES[f"{asked}_table"] = ORACLES[asked]
+oracle(
+    "pickup_lag_table",
+    f"""
+    SELECT id, event_time, {rounded("mag", 1)} AS mag, CAST(NULL AS varchar) AS place, status, ingested_at,
+      date_sub('minute', event_time, ingested_at) AS pickup_lag_minutes
+    FROM h WHERE event_time >= {HISTORY_NOW} - interval '30' day ORDER BY event_time DESC, id LIMIT 10
+    """,
+    h=HISTORY,
+)
 
 oracle(
     "health_verdict",

@@ -152,21 +152,25 @@ def ledger_append(spark, sf_dir):
 
 @query
 def compact_plan(spark, sf_dir):
-    """Day files put in time order into bins of 500 rows each."""
-    days = old_events(spark, sf_dir).groupBy(F.date_trunc("DAY", "event_time").alias("day")).agg(
-        F.count(F.lit(1)).alias("n")
+    """Day files put in time order into bins that 500 rows fill."""
+    day = F.date_format("event_time", "yyyy-MM-dd").alias("day")
+    days = old_events(spark, sf_dir).groupBy(day).agg(F.count(F.lit(1)).alias("n"))
+    return tables.compaction_bins(days, "day", "n", 500).groupBy("bin").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("n").alias("rows"),
+        F.min("day").alias("first"),
+        F.max("day").alias("last"),
     )
-    return tables.compaction_bins(days, "day", "n", 500)
 
 
 @query
 def compact_layout(spark, sf_dir):
-    """Rows after compaction, and whether every file keeps to the limit."""
+    """Rows and time span of each bin that compaction wrote."""
     target = scratch_dir(spark, "compact")
     tables.compact(spark, chunk_files(spark, sf_dir), target, rows_per_file=4_000)
-    files = spark.read.schema(as_nullable(EVENTS)).parquet(target).groupBy(F.col("_metadata.file_name").alias("file"))
-    sizes = files.agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.sum("n").alias("total_rows"), (F.max("n") <= 4_000).alias("all_within_limit"))
+    return spark.read.parquet(target).groupBy(F.col("bin").cast("bigint").alias("bin")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min("event_time").alias("first"), F.max("event_time").alias("last")
+    )
 
 
 # -- normalization -----------------------------------------------------------
@@ -487,6 +491,23 @@ def hourly_vs_dense_baseline(spark, sf_dir):
     return history.hourly_vs_baseline(old_events(spark, sf_dir), HISTORY_AS_OF, baseline_days=2000, dense=True)
 
 
+@query
+def today_vs_history_table(spark, sf_dir):
+    """Asked of the stored table, which opens a twelfth of its months."""
+    return history.today_vs_history(history_table(spark, sf_dir), HISTORY_AS_OF)
+
+
+@query
+def hourly_vs_baseline_table(spark, sf_dir):
+    return history.hourly_vs_baseline(history_table(spark, sf_dir), HISTORY_AS_OF)
+
+
+@query
+def pickup_lag_table(spark, sf_dir):
+    """The newest events of the last month, asked of the stored table."""
+    return liveness.recent_pickup_lag(history_table(spark, sf_dir), HISTORY_AS_OF, days=30)
+
+
 @query
 def health_verdict(spark, sf_dir):
     return health.health_verdict(catalog(spark, sf_dir), runs(spark, sf_dir), CATALOG_AS_OF)

@@ -17,6 +17,11 @@ def instant(value: dt.datetime | str) -> Column:
     return F.lit(f"{value}").cast("timestamp")
 
 
+def days_before(as_of: dt.datetime | str, days: int) -> dt.datetime:
+    day = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
+    return day - dt.timedelta(days=days)
+
+
 def whole(unit: str, start: Column, end: Column) -> Column:
     """Whole elapsed units from start to end, truncated toward zero."""
     return F.timestamp_diff(unit, start, end)

@@ -28,6 +28,9 @@ INTEGER = ["sig", "felt", "nst"]
 INSTANT = {"event_time": "time", "updated": "updated"}
 COORDINATES = {"longitude": 0, "latitude": 1, "depth_km": 2}
 
+#: Where a feature stands in the delivery, the later the greater: of equal revisions the last one wins.
+DELIVERY = ["generated", "file", "line", "position"]
+
 
 def _feature_type() -> str:
     """Shape a feature is read in: one walk over the document; what does not fit is NULL."""
@@ -38,12 +41,12 @@ def _feature_type() -> str:
 
 
 def flatten(feature_rows: DataFrame, source: str, ingested_at: dt.datetime | str) -> DataFrame:
-    """One event row per feature that has an id, with ``file`` and ``position`` kept.
+    """One event row per feature that has an id, with its place in the delivery kept.
 
     ``ingested_at`` is passed in, so that a retried batch gets the same value.
     """
     named = feature_rows.where(lenient.truthy(F.col("feature"), "$.id")).select(
-        "file", "position", F.try_variant_get("feature", "$", _feature_type()).alias("f")
+        *DELIVERY, F.try_variant_get("feature", "$", _feature_type()).alias("f")
     )
     columns = {"id": lenient.text(F.col("f.id")), "tsunami": lenient.truthy(F.col("f.properties.tsunami"))}
     columns |= {name: F.col(f"f.properties.{key}") for name, key in TEXT.items()}
@@ -52,7 +55,7 @@ def flatten(feature_rows: DataFrame, source: str, ingested_at: dt.datetime | str
     columns |= {name: lenient.real(F.col(f"f.properties.{name}")) for name in REAL}
     columns |= {name: lenient.real(F.get("f.geometry.coordinates", F.lit(at))) for name, at in COORDINATES.items()}
     columns |= {"source": F.lit(source), "ingested_at": instant(ingested_at)}
-    return named.select("file", "position", *[columns[f.name].cast(f.dataType).alias(f.name) for f in EVENTS])
+    return named.select(*DELIVERY, *[columns[f.name].cast(f.dataType).alias(f.name) for f in EVENTS])
 
 
 def normalize(
@@ -60,4 +63,4 @@ def normalize(
 ) -> DataFrame:
     """Documents -> event rows, newest revision per id; of equals the later in the batch wins."""
     rows = flatten(features(docs, on_broken), source, ingested_at)
-    return conform(latest_revision(rows, then=["file", "position"]))
+    return conform(latest_revision(rows, then=DELIVERY))

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revcat.functions.numbers import ratio, round_half_away
-from revcat.functions.times import instant
+from revcat.functions.times import days_before, instant
+from revcat.sources.catalog import CatalogTable, opened
 
 BIG = 4.5  # fixed value: magnitude that counts as big
 
@@ -18,20 +19,21 @@ def months_around(as_of: dt.datetime | str) -> set[int]:
 
     A table scan limited to them answers ``today_vs_history`` from a twelfth of the data.
     """
-    day = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
-    return {(day + dt.timedelta(days=shift)).month for shift in (-1, 0, 1)}
+    return {days_before(as_of, shift).month for shift in (-1, 0, 1)}
 
 
-def today_vs_history(catalog: DataFrame, as_of, dense: bool = False) -> DataFrame:
+def today_vs_history(catalog: CatalogTable | DataFrame, as_of, dense: bool = False) -> DataFrame:
     """One row: today against the same day of the year in earlier years that had events.
 
+    Of a stored table only the months of that time of the year are opened.
+
     Today is itself a row of that day of the year, so one filtered scan and
     one aggregate per year answer both halves. ``dense`` averages over all
     years since the first one found, silent ones included.
     """
     day = F.to_date(instant(as_of))
     event_day = F.to_date("event_time")
-    same_day = catalog.where((F.dayofyear("event_time") == F.dayofyear(day)) & (event_day <= day))
+    same_day = opened(catalog, calendar_months=months_around(as_of)).where((F.dayofyear("event_time") == F.dayofyear(day)) & (event_day <= day))
     years = same_day.groupBy(F.year("event_time").alias("year"), (event_day == day).alias("today")).agg(
         F.count(F.lit(1)).alias("events"),
         F.count_if(F.col("mag") >= BIG).alias("big"),
@@ -78,17 +80,20 @@ def magnitude_bands(catalog: DataFrame, as_of) -> DataFrame:
     )
 
 
-def hourly_vs_baseline(catalog: DataFrame, as_of, baseline_days: int = 3650, dense: bool = False) -> DataFrame:
+def hourly_vs_baseline(
+    catalog: CatalogTable | DataFrame, as_of, baseline_days: int = 3650, dense: bool = False
+) -> DataFrame:
     """Events of each of the last 24 hours against the average hour of ten years.
 
     The average is over hours that had events, or with ``dense`` over all
-    hours of the baseline. Both halves are disjoint time ranges, so each is
-    pruned on its own and every row is read at most once.
+    hours of the baseline. Of a stored table the months from the baseline's
+    start on are opened for it, and the last two for the recent hours.
     """
-    now = instant(as_of)
+    now, table = instant(as_of), catalog
+    catalog = opened(table, days_before(as_of, baseline_days))
     day_ago, begin = now - F.expr("interval 24 hours"), now - F.expr(f"interval {baseline_days} days")
     at, hour = F.col("event_time"), F.date_trunc("HOUR", "event_time").alias("hour")
-    recent = catalog.where(at >= day_ago).groupBy(hour).agg(F.count(F.lit(1)).alias("events_this_hour"))
+    recent = opened(table, days_before(as_of, 1)).where(at >= day_ago).groupBy(hour).agg(F.count(F.lit(1)).alias("events_this_hour"))
     hours = catalog.where((at >= begin) & (at < day_ago)).groupBy(hour).agg(F.count(F.lit(1)).alias("n"))
     seen = F.lit(baseline_days * 24 - 24) if dense else F.count(F.lit(1))
     baseline = hours.agg(ratio(F.sum("n"), seen).alias("usual"))

@@ -59,11 +59,13 @@ def run_ingest(
     quarantine: str | None = None,
     within: str | None = None,
     feed_options: dict | None = None,
+    window: str = "all_day",
     **limits,
 ) -> dict:
     """One recurring run: pick feed or backfill, read, upsert, record.
 
-    ``feed_path`` holds the landed feed documents; ``fetch_range(start, end)``
+    ``feed_path`` holds the landed feed documents, of which a run reads those that
+    landed within ``window`` (after a longer pause it backfills); ``fetch_range(start, end)``
     returns raw event rows for a backfill. A broken document or a row without
     a required value fails the run, or is noted in the ``quarantine`` folder.
     ``within`` is handed to the upsert, ``feed_options`` to ``read_documents``
@@ -73,7 +75,9 @@ def run_ingest(
     with ledger.run(run_id, trigger, started_at=as_of, dry_run=dry_run) as run:
         run["mode"], run["window_start"], run["window_end"] = decide(table, as_of, **limits)
         if run["mode"] == "feed":
-            docs = read_documents(table.spark, feed_path, **(feed_options or {}))
+            since = as_of - dt.timedelta(hours=FEED_HOURS[window])
+            options = {"modifiedAfter": f"{since:%Y-%m-%dT%H:%M:%S}"} | (feed_options or {})
+            docs = read_documents(table.spark, feed_path, **options)
             if quarantine and not dry_run:
                 _set_aside(broken_documents(docs), f"{quarantine}/documents", run_id)
             rows = normalize(docs, "feed", as_of, on_broken="skip" if quarantine else "fail")

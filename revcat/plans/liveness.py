@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revcat.functions.numbers import round_half_away
-from revcat.functions.times import instant, whole
+from revcat.functions.times import days_before, instant, whole
 from revcat.operators.instants import previous_instant
 from revcat.session import written
+from revcat.sources.catalog import CatalogTable, opened
 
 
 def arrivals_per_hour(catalog: DataFrame, as_of, days: int = 3) -> DataFrame:
@@ -36,9 +37,9 @@ def freshness(catalog: DataFrame, as_of) -> DataFrame:
     )
 
 
-def recent_pickup_lag(catalog: DataFrame, as_of, days: int = 2, top: int = 10) -> DataFrame:
-    """The newest events and the minutes it took to pick each up."""
-    recent = catalog.where(F.col("event_time") >= instant(as_of) - F.expr(f"interval {days} days"))
+def recent_pickup_lag(catalog: CatalogTable | DataFrame, as_of, days: int = 2, top: int = 10) -> DataFrame:
+    """The newest events and the minutes it took to pick each up; a stored table opens those months only."""
+    recent = opened(catalog, days_before(as_of, days)).where(F.col("event_time") >= instant(as_of) - F.expr(f"interval {days} days"))
     return (
         recent.orderBy(F.col("event_time").desc(), "id")
         .limit(top)

@@ -329,6 +329,11 @@ class CatalogTable:
         }
 
 
+def opened(catalog: CatalogTable | DataFrame, start=None, calendar_months: set[int] | None = None) -> DataFrame:
+    """What a question has to read: of a table only the months named, a DataFrame as it is."""
+    return catalog.scan(start, calendar_months=calendar_months) if isinstance(catalog, CatalogTable) else catalog
+
+
 def _utc(micros: int | None) -> dt.datetime | None:
     if micros is None:
         return None

@@ -42,8 +42,10 @@ def broken_documents(docs: DataFrame) -> DataFrame:
 
 
 def features(docs: DataFrame, on_broken: str = "fail") -> DataFrame:
-    """One row per feature with its place in the document; no list, no rows.
+    """One row per feature with its place in the delivery; no list, no rows.
 
+    ``generated`` is the time the document itself states, if it does; ``line``
+    grows with the lines of one file, as long as ``docs`` come as they were read.
     A document that is not JSON fails the job, or gives no rows with
     ``on_broken="skip"`` (``broken_documents`` then tells which).
     """
@@ -51,4 +53,6 @@ def features(docs: DataFrame, on_broken: str = "fail") -> DataFrame:
     if on_broken == "fail":
         message = F.concat(F.lit("not a JSON document: "), F.col("file"))
         listed = F.when(F.col("document").isNull(), F.raise_error(message)).otherwise(listed)
-    return docs.select("file", F.posexplode(listed).alias("position", "feature"))
+    generated = F.try_variant_get("document", "$.metadata.generated", "bigint").alias("generated")
+    numbered = docs.select("file", generated, F.monotonically_increasing_id().alias("line"), listed.alias("listed"))
+    return numbered.select("file", "generated", "line", F.posexplode("listed").alias("position", "feature"))

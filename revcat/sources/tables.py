@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revcat.functions.times import instant, month_key
-from revcat.operators.instants import running_total
 from revcat.schema import EVENTS, as_nullable, conform, enforce_required
 
+BROADCAST_FILES = 50_000  # longest list of file names and bins sent to every executor
+
 _JSON_TIME = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX"  # the default keeps milliseconds only
 
 
@@ -72,19 +73,23 @@ def read_months(
     return rows.select(*[f.name for f in schema])
 
 
-def compaction_bins(sources: DataFrame, order: str, rows: str, rows_per_file: int) -> DataFrame:
-    """Which bin each source's rows begin in when laid end to end: files, rows and span per bin."""
-    before = running_total(sources, order, rows, "_upto")
-    return (
-        before.withColumn("bin", F.expr(f"(_upto - {rows}) div {rows_per_file}"))
-        .groupBy("bin")
-        .agg(
-            F.count(F.lit(1)).alias("files"),
-            F.sum(rows).alias("rows"),
-            F.min(order).alias("first"),
-            F.max(order).alias("last"),
-        )
+def compaction_bins(sources: DataFrame, name: str, rows: str, rows_per_file: int) -> DataFrame:
+    """(name, rows, bin): sources by name, each bin closed by the source that fills it.
+
+    Where a bin begins depends on where the last one ended, so this is a walk over
+    the list of sources on the driver, which holds one entry per file, as its file
+    listing does. A bin has less than ``rows_per_file`` rows besides its last source.
+    """
+    placed, number, filled = [], 0, 0
+    for source, n in sources.select(name, F.col(rows).cast("bigint")).orderBy(name).collect():
+        placed.append((source, n, number))
+        filled += n
+        if filled >= rows_per_file:
+            number, filled = number + 1, 0
+    layout = T.StructType(
+        [sources.schema[name], T.StructField(rows, T.LongType()), T.StructField("bin", T.LongType())]
     )
+    return sources.sparkSession.createDataFrame(placed, layout)
 
 
 def compact(
@@ -94,20 +99,23 @@ def compact(
     rows_per_file: int = 500_000,
     schema: T.StructType = EVENTS,
 ) -> int:
-    """Rewrite many small files as few time-ordered ones; fails unless no row is lost.
+    """Join many small files, in the order of their names, into few; fails unless no row is lost.
 
-    The place in its file is the last ordering key, so that even many copies
-    of one row are divided.
+    One folder ``bin=`` per bin of ``compaction_bins``. Only whole files move together,
+    so nothing is ordered across bins; a bin far larger than the rest is written by several tasks.
     """
     stored = spark.read.schema(as_nullable(schema)).parquet(source)
-    rows = stored.select(*schema.names, F.col("_metadata.row_index").alias("_row"))
-    total = rows.count()
-    files = max(1, -(-total // rows_per_file))
+    rows = stored.select(*schema.names, F.col("_metadata.file_path").alias("_file"))
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_rows"))  # from the footers
+    bins = compaction_bins(sizes, "_file", "_rows", rows_per_file)
+    files, total = bins.agg(F.count(F.lit(1)), F.coalesce(F.sum("_rows"), F.lit(0))).first()
+    bins = bins.drop("_rows")
     (
-        rows.repartitionByRange(files, "event_time", "id", "_row")
-        .sortWithinPartitions("event_time", "id")
-        .drop("_row")
-        .write.option("maxRecordsPerFile", rows_per_file)
+        rows.join(F.broadcast(bins) if files <= BROADCAST_FILES else bins, "_file")
+        .drop("_file")
+        .hint("rebalance", "bin")
+        .sortWithinPartitions("bin", "event_time", "id")
+        .write.partitionBy("bin")
         .option("compression", "zstd")
         .parquet(target)
     )

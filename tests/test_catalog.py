@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import utc
+from revcat.plans import history, liveness
 from revcat.schema import EVENTS
 from revcat.sources import files
 from revcat.sources.catalog import CatalogTable, Upserted
@@ -121,6 +122,18 @@ def test_scan_opens_only_months_in_range(table, event, events):
     assert "PushedFilters: [IsNotNull(event_time), GreaterThanOrEqual(event_time" in plan
 
 
+def test_questions_open_only_their_months(table, event, events):
+    table.upsert(events([event(f"e{y}{m}", f"{y}-{m:02}-10 00:00:00") for y in (2022, 2023) for m in range(1, 13)]))
+
+    def months(frame):
+        return {f.split("event_month=")[1][:7] for f in frame.inputFiles()}
+
+    now = "2023-12-10 12:00:00"
+    assert months(liveness.recent_pickup_lag(table, now)) == {"2023-12"}
+    assert months(history.today_vs_history(table, now)) == {"2022-12", "2023-12"}
+    assert months(history.hourly_vs_baseline(table, now, baseline_days=60)) == {"2023-10", "2023-11", "2023-12"}
+
+
 def test_high_water(table, event, events):
     assert table.high_water() is None
     table.upsert(events([event("a", "2024-01-10 00:00:00"), event("b", "2024-02-10 00:00:00.5")]))

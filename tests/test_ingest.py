@@ -9,7 +9,7 @@ from revcat.plans.backfill import land_history, read_manifest
 from revcat.plans.ingest import decide, feed_snapshot, run_ingest, run_seed
 from revcat.sources.catalog import CatalogTable
 from revcat.sources.ledger import RunLedger, run_status
-from revcat.sources.tables import compact, read_json_lines, read_parquet, write_json_lines, write_parquet
+from revcat.sources.tables import compact, compaction_bins, read_json_lines, read_parquet, write_json_lines, write_parquet
 
 NOW = utc("2024-02-01 00:00:00")
 
@@ -151,6 +151,24 @@ def test_compaction_keeps_every_row(spark, tmp_path, event, events):
     assert sorted(files.collect()) == sorted(read_parquet(spark, source).collect())
 
 
+@pytest.mark.parametrize("sizes, bins", [
+    ([4, 4, 4, 4], [0, 0, 1, 1]), ([9, 1, 2, 3], [0, 1, 1, 1]), ([1, 1, 8, 2, 2, 1, 5], [0, 0, 0, 1, 1, 1, 2]), ([], []), ([0, 5, 0, 5], [0, 0, 1, 1]),
+])
+def test_compaction_bins(spark, sizes, bins):
+    files = spark.createDataFrame([(f"f{k}", n) for k, n in enumerate(sizes)][::-1], "name string, n int")
+    placed = compaction_bins(files, "name", "n", 5).orderBy("name").collect()
+    assert [(r.name, r.n, r.bin) for r in placed] == [(f"f{k}", n, b) for k, (n, b) in enumerate(zip(sizes, bins))]
+
+
+def test_compaction_moves_whole_files(spark, tmp_path, event, events):
+    source, target = str(tmp_path / "small"), str(tmp_path / "large")
+    for name, n in (("a", 30), ("b", 30), ("c", 70), ("d", 5)):
+        write_parquet(events([event(f"{name}{i}") for i in range(n)]).coalesce(1), f"{source}/day={name}")
+    assert compact(spark, source, target, rows_per_file=40) == 135
+    found = spark.read.parquet(target).groupBy("bin").agg(F.collect_set(F.left("id", F.lit(1))).alias("of")).collect()
+    assert {r.bin: sorted(r.of) for r in found} == {0: ["a", "b"], 1: ["c"], 2: ["d"]}
+
+
 def test_json_lines_strictness(spark, tmp_path, event, events):
     good, bad = tmp_path / "good", tmp_path / "bad"
     write_json_lines(events([event("a") | {"event_time": utc("2024-01-01 00:00:00.123456")}]), str(good))
