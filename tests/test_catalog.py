@@ -2,10 +2,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import utc
+from revcat.functions.times import days_before
 from revcat.plans import history, liveness
 from revcat.schema import EVENTS
 from revcat.sources import files
-from revcat.sources.catalog import CatalogTable, Upserted
+from revcat.sources.catalog import CatalogTable, Upserted, opened
 
 
 @pytest.fixture
@@ -131,7 +132,9 @@ def test_questions_open_only_their_months(table, event, events):
     now = "2023-12-10 12:00:00"
     assert months(liveness.recent_pickup_lag(table, now)) == {"2023-12"}
     assert months(history.today_vs_history(table, now)) == {"2022-12", "2023-12"}
-    assert months(history.hourly_vs_baseline(table, now, baseline_days=60)) == {"2023-10", "2023-11", "2023-12"}
+    # inputFiles does not list what the baseline's scalar subquery reads.
+    assert months(history.hourly_vs_baseline(table, now, baseline_days=60)) == {"2023-12"}
+    assert months(opened(table, days_before(now, 60))) == {"2023-10", "2023-11", "2023-12"}
 
 
 def test_high_water(table, event, events):
