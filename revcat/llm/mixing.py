@@ -106,6 +106,8 @@ def _taken_blocks(blocks: DataFrame, sources: DataFrame, seed: int) -> DataFrame
     shards = shards.withColumn("drawn", F.greatest(drawn, F.lit(0)))
     earlier = Window.partitionBy("number_").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.withColumn("first", F.coalesce(F.sum("drawn").over(earlier), F.lit(0))).where("drawn > 0")
+    # Few rows here become all slots: spread them first, by number, which adaptive execution leaves alone.
+    shards = shards.repartition(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     slots = shards.select("number_", "n_blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("drawn") - 1)).alias("slot"))
     slots = slots.where(F.col("slot") < MAX_PASSES * F.col("n_blocks"))
     turn = F.expr("slot div n_blocks")
@@ -131,7 +133,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     words = F.sum(F.col("overlap") * F.coalesce("times", F.lit(0)))
     mixed = (
         covers.select(*row, "number_", "block", "stream", "at", overlap.alias("overlap"))
-        .join(taken, ["number_", "block"], "left")
+        # Never broadcast: there are as many blocks as the corpus has, and the planner's estimate does not see the explode.
+        .join(taken.hint("merge"), ["number_", "block"], "left")
         .groupBy(*row, "number_", "stream", "at")
         .agg(words.alias("taken"))
     )

@@ -182,6 +182,12 @@ def test_mix(docs):
         assert abs(taken[source] - target) <= 2 * mixing.BLOCK_WORDS + 0.05 * target
 
 
+def test_mix_does_not_broadcast_blocks(docs):
+    plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
+    blocks = [line for line in plan.splitlines() if "Join" in line and "block" in line]
+    assert blocks and all("SortMergeJoin" in line for line in blocks)
+
+
 def test_permutation(spark):
     from pyspark.sql import functions as F
 
@@ -296,6 +302,7 @@ def test_empty_tables(spark, none):
         mixing.mixture(none), quality_rules.judge(none, []), toxicity.score(none, None),
         html_text.main_text(spark.createDataFrame([], "page_id long, url string, html string")),
         quotations.link(spark.createDataFrame([], "conv_id long, turn long, role string, text string")),
+        url_filter.judge(spark.createDataFrame([], "page_id long, url string"), spark.createDataFrame([], "host string, path string, verdict string")),
     ]
     assert [r.count() for r in results] == [0] * len(results)
 
