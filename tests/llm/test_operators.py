@@ -128,6 +128,20 @@ def test_repeated_bytes(docs):
     assert collections.Counter((r[0], r[1], r[2], r[3], bytes(r[4])) for r in found) == expected
 
 
+def test_strings_of_one_rank_are_not_repeats(spark):
+    """Two strings of 200 bytes that differ and have the same 64-bit hash."""
+    head, tail = "bkqfyyncsqvlynixwwthexdrssqibnnhslsiyrozwopvuxttbj ejk cermqjzfvuuocbtveezmkdvhwcwjklnindvbodkrjffkk", "pmvy"
+    a = head + "svavmnarpgqan fncfpbymugemecjxdavhuuzfn tdospmoaputrpmyynrtymtduhqx xiufhvrwzxvrwllhqqpxiylxzxma" + tail
+    b = head + "daipllnhtvljsgbzuzvvsfnltoutfplhyzolzkar djcoararkllbqciyxsegdrbuihssn invvanhlhqufvmexqephibvsk" + tail
+    at = np.array([0])
+    assert a != b and repeated_bytes.Text(a.encode()).rank(at, 200) == repeated_bytes.Text(b.encode()).rank(at, 200)
+    removed = lambda *texts: {
+        r["doc_id"]: r["n_removed"] for r in repeated_bytes.strip_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    }
+    assert removed(a, b) == {0: 0, 1: 0}
+    assert removed(a, b, a) == {0: 200, 1: 0, 2: 200}
+
+
 def tokenizer():
     lines = open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
