@@ -267,6 +267,22 @@ def test_quotations(spark):
     ]
 
 
+def test_quotations_of_a_part(spark):
+    three = "First line\nsecond line\nthird line\n\nNext paragraph here\ngoes on\n\nLast paragraph\nends"
+    rows = [
+        (1, 0, three), (1, 1, "> First line\n> second line\nyes"), (1, 2, "> Next paragraph here\n> goes on\n>\n> Last paragraph\n> ends\nno"),
+        (1, 3, "> next paragraph here goes\n> on\n> unknown\nlines break elsewhere"), (1, 4, "> second line\n> third line\n> added by hand\nmost of it"),
+        (1, 5, "> First line\n> unknown\nonly half of it"), (1, 6, "second line\nown\nthird line\nadded by hand"),
+        (1, 7, "> second line\n> third line\n> added by hand\nall of it, later"), (1, 8, "> nothing\n> of this"), (2, 1, "> First line\n> second line"),
+        (1, 9, "> Next paragraph here goes\n> on\n>\n> Last paragraph\n> ends\nrun anew"), (1, None, "> First line\n> second line"),
+    ]
+    found = quotations.link(spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")).collect()
+    assert {(r["conv_id"], r["turn"]): (r["reply_to"], r["root_turn"], r["depth"]) for r in found} == {
+        (1, 0): (None, 0, 0), (1, 1): (0, 0, 1), (1, 2): (0, 0, 1), (1, 3): (None, 3, 0), (1, 4): (0, 0, 1), (1, 5): (None, 5, 0),
+        (1, 6): (None, 6, 0), (1, 7): (6, 6, 1), (1, 8): (None, 8, 0), (2, 1): (None, 1, 0), (1, 9): (0, 0, 1), (1, None): (None, None, 0),
+    }
+
+
 def test_main_text(spark):
     html = (
         '<body><div id="cookie-banner">We use cookies</div><nav><ul><li><a href="/">Home</a></li></ul></nav><article><h1>Title</h1>'
