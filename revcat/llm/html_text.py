@@ -14,7 +14,9 @@ never shown are not text at all.
 
 Null and empty pages give an empty text. Tag soup is read as browsers do in the
 main: unknown end tags are skipped, paragraphs, items and cells end where the next
-one starts, open elements end with the page. Pages are read whole and one by one,
+one starts, a head ends at the first text or tag that cannot be in one, a slash ends
+svg and math elements at once, open elements end with the page. Formulas are text of
+the line they are in. Pages are read whole and one by one,
 so repeated rows give repeated texts.
 """
 
@@ -33,11 +35,15 @@ from pyspark.sql import functions as F
 
 from revcat.llm.common import small_batches
 
-HIDDEN = set("script style head title template noscript iframe object svg canvas math audio video select option textarea button".split())
+HIDDEN = set("script style head title template noscript iframe object svg canvas audio video select option textarea button".split())
+HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())  # what may be in a head
+FOREIGN = {"svg", "math"}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike "
-    "strong sub sup time tt u var".split()
+    "strong sub sup time tt u var "
+    "math semantics annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover mpadded mphantom "
+    "mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split()
 )
 #: Start tags that end an open element of the second set, unless one of the third lies between.
 _PARAGRAPH_END = set(
@@ -91,9 +97,15 @@ class Page(HTMLParser):
             if tag in scope:
                 return None
 
+    def _end_head(self) -> None:
+        if self._open[-1][0] == "head":
+            self._pop_to(len(self._open) - 1)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ("html", "body") and any(t == tag for t, _ in self._open):
             return
+        if tag not in HEAD:
+            self._end_head()
         if tag in VOID:
             if tag == "hr":
                 self._end_block()
@@ -105,7 +117,7 @@ class Page(HTMLParser):
         if tag in _SAME:
             self._close_open(_SAME[tag], _SAME_SCOPE[tag])
         if tag == "body":
-            self._close_open({"head"}, set())
+            self._close_open({"head"}, set())  # also with an open element in it
         if tag == "a":
             self._close_open({"a"}, _SCOPE)
         if tag in INLINE:
@@ -125,7 +137,11 @@ class Page(HTMLParser):
         self._hidden += tag in HIDDEN
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)  # the slash means nothing in HTML
+        # The slash means nothing in HTML; svg, math and what is in them end with it.
+        ends = tag in FOREIGN or any(t in FOREIGN for t, _ in self._open)
+        self.handle_starttag(tag, attrs)
+        if ends and tag not in VOID and self._open[-1][0] == tag:
+            self._pop_to(len(self._open) - 1)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in ("html", "body"):
@@ -139,6 +155,8 @@ class Page(HTMLParser):
                 return None
 
     def handle_data(self, data: str) -> None:
+        if data.strip():
+            self._end_head()
         if not self._hidden:
             self._text.append(data)
             self._linked += len(data) * bool(self._in_link)

@@ -295,6 +295,23 @@ def test_main_text(spark):
     assert sorted((r["page_id"], r["text"], r["n_chars"]) for r in found) == [(1, whole, len(whole))] * 2 + [(2, "", 0), (3, "", 0), (4, "only", 4)]
 
 
+def test_main_text_without_end_tags():
+    """Pages whose head, svg or math would hide what follows."""
+    p, own = "<p>One sentence of the text.</p><p>And another one.</p>", "One sentence of the text.\n\nAnd another one."
+    pages = {
+        f"<html><head><title>x</title>{p}": own,
+        f"<html><head><meta charset=utf-8><script>var a = '<p>';</script><article>{p}</article>": own,
+        "<head><title>x</title>Only words here": "Only words here",
+        f'<head><title>x</title></head><body><article><svg class="i" viewBox="0 0 1 1"/>{p}</article>': own,
+        f"<article><svg><g/><title/><path d='M0'/></svg>{p}<math/></article>": own,
+        "<article><p>The sum <math><mi>a</mi><mo>+</mo><mspace/><mi>b</mi></math> is small.</p><p>And another one.</p></article>":
+            "The sum a+b is small.\n\nAnd another one.",
+        f"<head><style>p {{}}</style><noscript><link></noscript></head><body>{p}": own,
+        "<head><title>Only a title</title>": "",
+    }
+    assert html_text.main_texts(list(pages), html_text.trained()) == list(pages.values())
+
+
 def test_main_text_of_unseen_layouts():
     trees, right, every = html_text.trained(), 0, 0
     for html in html_text.layouts(200, seed=99):
