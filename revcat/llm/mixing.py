@@ -3,9 +3,12 @@
 The texts of a source are packed, in pseudorandom order, into blocks of a fixed
 number of words; long sources are packed as many independent streams, so that no
 window holds a whole source. The mix is a list of output shards of equally many
-slots. For each shard the number of slots of each source is drawn (multinomial
-probabilities, systematic draw: one uniform number per shard, so a count differs
-from its expectation by less than one). The slots of a source are numbered through
+slots, give or take one. For each shard the number of slots of each source is drawn
+(multinomial probabilities, systematic draw: a count differs from its expectation
+by less than about one). The points of all shards come from one uniform number for
+the whole mix: point m, at m + u, goes to shard m mod shards (in permuted order), so
+what a shard rounds up another rounds down, and the slots of a source differ from
+its share by less than one in total. The slots of a source are numbered through
 all shards; slot number -> block is a pseudorandom permutation of the source's
 blocks in each pass, and the blocks are joined by that index. No block is taken
 more than twice.
@@ -98,12 +101,15 @@ def _taken_blocks(blocks: DataFrame, sources: DataFrame, seed: int) -> DataFrame
     upper = F.when(is_last, F.lit(1.0)).otherwise(F.col("to") / F.col("all_slots"))
     lower = F.coalesce(F.lag("upper").over(Window.orderBy("number_")), F.lit(0.0))
     rows = rows.withColumn("upper", upper).withColumn("lower", lower)
-    shards = rows.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("n_slots") - 1) / SHARD_SLOTS))).alias("shard"))
-    size = F.least(F.lit(SHARD_SLOTS), F.col("n_slots") - F.col("shard") * SHARD_SLOTS)
-    shards = shards.withColumn("size", size).withColumn("u", uniform(F.lit(seed), F.lit("shard"), F.col("shard")))
-    # Of the points (j + u) / size, j = 0..size-1, those in [lower, upper).
-    drawn = F.ceil(F.col("size") * F.col("upper") - F.col("u")) - F.ceil(F.col("size") * F.col("lower") - F.col("u"))
-    shards = shards.withColumn("drawn", F.greatest(drawn, F.lit(0)))
+    rows = rows.withColumn("n_shards", F.ceil(F.col("n_slots") / SHARD_SLOTS))
+    # Of the points m + u, m = 0..n_slots-1, those of the source are from .. to - 1.
+    u = uniform(F.lit(seed), F.lit("shard"), F.lit(0).cast("long"))
+    rows = rows.withColumn("from", F.ceil(F.col("n_slots") * F.col("lower") - u)).withColumn("to", F.ceil(F.col("n_slots") * F.col("upper") - u))
+    shards = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_shards") - 1)).alias("shard"))
+    shards = shards.withColumn("place", permuted(F.col("shard"), F.col("n_shards"), F.lit(seed), F.lit("shards")))
+    # Of these, the shard has those that leave its place when divided by the number of shards.
+    drawn = F.floor((F.col("to") - 1 - F.col("place")) / F.col("n_shards")) - F.floor((F.col("from") - 1 - F.col("place")) / F.col("n_shards"))
+    shards = shards.withColumn("drawn", drawn)
     earlier = Window.partitionBy("number_").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = shards.withColumn("first", F.coalesce(F.sum("drawn").over(earlier), F.lit(0))).where("drawn > 0")
     # Few rows here become all slots: spread them first, by number, which adaptive execution leaves alone.

@@ -196,6 +196,21 @@ def test_mix(docs):
         assert abs(taken[source] - target) <= 2 * mixing.BLOCK_WORDS + 0.05 * target
 
 
+def test_mix_of_many_shards_keeps_every_source(spark, monkeypatch):
+    """Sources of few blocks, at their cap and not, within a slot of their share however many shards there are."""
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 16)
+    sized = spark.createDataFrame([("a", 600), ("b", 60_000), ("c", 70), ("d", 900), ("e", 30_000), (None, 1500)], "source string, size long")
+    sources = mixing.targets(sized)
+    blocks = sized.selectExpr("source", "ceil(size / 128) AS n_blocks").join(sources.select("source", "number_"), "source")
+    blocks = blocks.unionByName(sources.where("source IS NULL").selectExpr("source", "ceil(source_size / 128) AS n_blocks", "number_"))
+    sizes = {r["number_"]: (r["n_blocks"], r["target"], r["source_size"]) for r in blocks.join(sources, "number_").collect()}
+    assert len(sizes) == 6
+    for seed in range(4):
+        taken = {r[0]: r[1] for r in mixing._taken_blocks(blocks, sources, seed).groupBy("number_").sum("times").collect()}
+        for number, (n_blocks, target, size) in sizes.items():
+            assert abs(taken.get(number, 0) - target * n_blocks / size) < 1.5
+
+
 def test_mix_does_not_broadcast_blocks(docs):
     plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
     blocks = [line for line in plan.splitlines() if "Join" in line and "block" in line]
