@@ -78,14 +78,19 @@ def uniform(*key: Column) -> Column:
 
 
 def _packed(sized: DataFrame, sources: DataFrame) -> DataFrame:
-    """Each row with its stream and its offset in it."""
+    """Each row with its stream and its offset in it; rows of size 0, which no block covers, are in no window.
+
+    Any other row has a word or more, so a stream has no more rows than words.
+    """
     of_source = sources.select(F.col("source").alias("source_"), "number_", "source_size", "target")
     rows = sized.join(of_source, F.col("source").eqNullSafe(F.col("source_")))
     streams = F.greatest(F.lit(1), F.ceil(F.col("source_size") / STREAM_WORDS))
     rows = rows.withColumn("stream", F.pmod(F.xxhash64(F.lit("stream"), "doc_id", "size"), streams))
     order = Window.partitionBy("number_", "stream").orderBy(F.xxhash64(F.lit("order"), F.col("doc_id")), "doc_id", "size")
     before = F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return rows.select("doc_id", "size", "source_size", "target", "number_", "stream", F.coalesce(before, F.lit(0)).alias("at"))
+    columns = ["doc_id", "size", "source_size", "target", "number_", "stream"]
+    packed = rows.where("size > 0").select(*columns, F.coalesce(before, F.lit(0)).alias("at"))
+    return packed.unionByName(rows.where("size = 0").select(*columns, F.lit(0).cast("long").alias("at")))
 
 
 def _taken_blocks(blocks: DataFrame, sources: DataFrame, seed: int) -> DataFrame:

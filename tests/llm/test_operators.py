@@ -211,6 +211,23 @@ def test_mix_of_many_shards_keeps_every_source(spark, monkeypatch):
             assert abs(taken.get(number, 0) - target * n_blocks / size) < 1.5
 
 
+def test_wordless_rows_are_in_no_window(spark):
+    """Else all rows without a word of a source would be sorted by one task."""
+    sized = spark.range(300).selectExpr("id AS doc_id", "'a' AS source", "IF(id < 5, id, 0L) AS size")
+    packed = mixing._packed(sized, mixing.targets(sized))
+    assert sorted((r["doc_id"], r["size"]) for r in packed.collect()) == [(i, i if i < 5 else 0) for i in range(300)]
+    assert all(r["at"] == 0 for r in packed.where("size = 0").collect())
+    plan = packed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    window = next(i for i, line in enumerate(plan) if "Window" in line and "size" in line)
+    depth = len(plan[window]) - len(plan[window].lstrip(" :+-"))
+    below = []
+    for line in plan[window + 1 :]:
+        if len(line) - len(line.lstrip(" :+-")) <= depth:
+            break
+        below.append(line)
+    assert any("Filter" in line and "> 0" in line for line in below)
+
+
 def test_mix_does_not_broadcast_blocks(docs):
     plan = mixing.mix(docs)._jdf.queryExecution().executedPlan().toString()
     blocks = [line for line in plan.splitlines() if "Join" in line and "block" in line]
