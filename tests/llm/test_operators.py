@@ -389,7 +389,7 @@ def test_empty_tables(spark, none):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "labels", "benchmark"):
         duck.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     frame, expected = QUERIES[name](spark, SF), duck.sql(ORACLES[name])
     rows = sorted(repr([r[c] for c in sorted(frame.columns)]) for r in frame.collect())
