@@ -5,9 +5,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import utc
-from revcat.plans.backfill import land_history, read_manifest
+from revcat.plans.backfill import land_history, read_landed, read_manifest
 from revcat.plans.ingest import decide, feed_snapshot, run_ingest, run_seed
 from revcat.sources.catalog import CatalogTable
+from revcat.sources.files import child_names, remove
 from revcat.sources.ledger import RunLedger, run_status
 from revcat.sources.tables import compact, compaction_bins, read_json_lines, read_parquet, write_json_lines, write_parquet
 
@@ -142,6 +143,38 @@ def test_resumable_landing(spark, tmp_path, table, ledger, event, events):
     assert sorted(r.id for r in table.scan().collect()) == sorted(r["id"] for r in rows)
 
 
+def test_landing_checks_what_is_listed(spark, tmp_path, event, events):
+    """The archive grows inside landed chunks, a folder is lost, a run stops before it lists anything."""
+
+    def some(k):
+        return [event(f"e{i}", f"{2020 + i % 3}-{1 + i % 12:02}-{1 + i % 28:02} {i % 24:02}:00:00") for i in range(300) if k(i)]
+
+    out, manifest = str(tmp_path / "raw"), str(tmp_path / "manifest")
+    land_history(events(some(lambda i: i % 5)), out, manifest, "2023-01-01", cap=20, years=[2020])
+    (first,) = child_names(spark, out)
+    land_history(events(some(lambda i: i % 5)), out, manifest, "2023-01-01", cap=20)
+    assert len(child_names(spark, out)) == 2  # one folder for all years that were left
+    assert len(read_landed(spark, out, manifest).collect()) == 240
+    grown = some(lambda i: True)
+    land_history(events(grown), out, manifest, "2023-01-01", cap=20)
+    before = read_manifest(spark, manifest)
+    assert sorted(r.id for r in read_landed(spark, out, manifest).collect()) == sorted(r["id"] for r in grown)
+    assert before.where("rows <> expected or rows > 20").count() == 0
+    lost = before.where(F.col("run") == first.removeprefix("run=")).count()
+    kept = {tuple(r) for r in before.where(F.col("run") != first.removeprefix("run=")).collect()}
+    remove(spark, f"{out}/{first}")
+    write_parquet(events(grown[:9]), f"{out}/run=unlisted")
+    after = land_history(events(grown), out, manifest, "2023-01-01", cap=20)
+    assert sorted(r.id for r in read_landed(spark, out, manifest).collect()) == sorted(r["id"] for r in grown)
+    assert kept <= {tuple(r) for r in after.collect()} and after.count() >= len(kept) + min(lost, 1)
+    # Chunks that still count never overlap.
+    ends = sorted((r.start, r.end) for r in after.collect())
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    assert land_history(events(grown), out, manifest, "2023-01-01", cap=20).count() == after.count()
+    late = land_history(events(grown), str(tmp_path / "late"), str(tmp_path / "m2"), "2023-01-01", cap=20, start="2022-02-01")
+    assert late.agg(F.sum("rows")).first()[0] == sum(r["event_time"] >= utc("2022-02-01") for r in grown)
+
+
 def test_compaction_keeps_every_row(spark, tmp_path, event, events):
     source, target = str(tmp_path / "small"), str(tmp_path / "large")
     write_parquet(events([event(f"e{i}") for i in range(90)]).repartition(15), source)
