@@ -252,14 +252,29 @@ oracle(
     """,
     **SIDES,
 )
-MERGED = (
-    "SELECT "
-    + ", ".join(
-        f"CASE WHEN t.id IS NULL OR b.updated > t.updated THEN b.{c} ELSE t.{c} END AS {c}"
+oracle(
+    "upsert_probe",
+    f"""
+    SELECT (SELECT count(*) FROM ({V.duck(V.BATCH)}) AS raw) AS fetched,
+      count(*) FILTER (WHERE t.id IS NULL) AS to_insert,
+      count(*) FILTER (WHERE b.updated > t.updated) AS to_update,
+      min(b.event_time) AS min_time, max(b.event_time) AS max_time
+    FROM b LEFT JOIN t ON b.id = t.id
+    """,
+    **SIDES,
+)
+
+
+def merged(batch: str, stored: str) -> str:
+    chosen = ", ".join(
+        f"CASE WHEN {stored}.id IS NULL OR {batch}.updated > {stored}.updated THEN {batch}.{c} ELSE {stored}.{c} END AS {c}"
         for c in (name.strip() for name in COLUMNS.split(","))
     )
-    + " FROM b FULL OUTER JOIN t ON b.id = t.id"
-)
+    return f"SELECT {chosen} FROM {batch} FULL OUTER JOIN {stored} ON {batch}.id = {stored}.id"
+
+
+MERGED = merged("b", "t")
+MOVED = SIDES | {"first_two": MERGED, "later": V.duck(V.MOVED), "c": merged("later", "first_two")}
 for merge in ("upsert_window", "upsert_by_id", "upsert_bulk", "upsert_twice", "stream_upsert"):
     oracle(merge, MERGED, **SIDES)
 
@@ -341,6 +356,39 @@ oracle(
     f'WITH {PLAN.strip()} SELECT chunk, "start", "end", events AS expected, events AS rows FROM plan',
     h=HISTORY,
 )
+oracle(
+    "resume_grown",
+    "SELECT id, event_time, updated, mag, status FROM h WHERE event_time < timestamp '2001-07-31'",
+    h=HISTORY,
+)
+oracle("chunk_reads", "SELECT id, event_time, chunk_start FROM f", f=V.duck(V.CHUNK_FILES))
+oracle(
+    "range_members",
+    """
+    SELECT span, count(*) AS events, CAST(sum(CAST(substring(id, 2) AS bigint)) AS bigint) AS numbers
+    FROM s JOIN h ON h.event_time BETWEEN s."start" AND s."end" GROUP BY span
+    """,
+    h=HISTORY,
+    s=V.duck(V.SPANS).replace(" AS start", ' AS "start"').replace(" AS end", ' AS "end"'),
+)
+oracle(
+    "range_difference",
+    """
+    WITH months AS (
+      SELECT DISTINCT date_trunc('month', "start") AS month FROM s
+    ), held AS (
+      SELECT "start", "end" FROM s WHERE span % 100 = 0 AND span % 1000 <> 0
+    ), cuts AS (
+      SELECT month AS cut FROM months UNION SELECT month + interval '1' month FROM months
+      UNION SELECT "start" FROM held UNION SELECT "end" FROM held
+    ), parts AS (
+      SELECT CAST(cut AS timestamp) AS "start", CAST(lead(cut) OVER (ORDER BY cut) AS timestamp) AS "end" FROM cuts
+    )
+    SELECT CAST(month AS timestamp) AS month, "start", "end" FROM parts JOIN months ON date_trunc('month', "start") = month
+    WHERE "end" IS NOT NULL AND NOT EXISTS (SELECT 1 FROM held WHERE held."start" <= parts."start" AND held."end" >= parts."end")
+    """,
+    s=V.duck(V.SPANS).replace(" AS start", ' AS "start"').replace(" AS end", ' AS "end"'),
+)
 DEEP_PLAN = PLAN.replace("2001-07-31", "2024-01-31").replace("n > 300", "n > 8").replace("1 AND 300", "1 AND 8")
 oracle(
     "chunk_assign",
@@ -363,25 +411,18 @@ oracle(
 
 # -- catalog analytics -------------------------------------------------------
 
-oracle(
-    "arrivals_per_hour",
-    f"""
+QUESTIONS = {}
+QUESTIONS["arrivals"] = f"""
     SELECT date_trunc('hour', ingested_at) AS ingest_hour, source, count(*) AS events_written,
       {rounded("max(mag)", 1)} AS biggest_mag
     FROM c WHERE ingested_at >= {NOW} - interval '3' day GROUP BY 1, 2
-    """,
-    c=CATALOG,
-)
-oracle(
-    "freshness",
-    f"""
+    """
+QUESTIONS["freshness"] = f"""
     SELECT max(ingested_at) AS last_write, date_sub('minute', max(ingested_at), {NOW}) AS minutes_since_write,
       max(event_time) AS newest_event, date_sub('minute', max(event_time), {NOW}) AS minutes_behind,
       count(*) AS total_events
     FROM c
-    """,
-    c=CATALOG,
-)
+    """
 oracle(
     "recent_pickup_lag",
     f"""
@@ -391,24 +432,15 @@ oracle(
     """,
     c=CATALOG,
 )
-oracle(
-    "arrivals_pivot",
-    f"""
+QUESTIONS["arrivals_pivot"] = f"""
     SELECT date_trunc('hour', ingested_at) AS ingest_hour, count(*) FILTER (WHERE source = 'seed') AS seed,
       count(*) FILTER (WHERE source = 'feed') AS feed, count(*) FILTER (WHERE source = 'backfill') AS backfill
     FROM c WHERE ingested_at >= {NOW} - interval '8' day GROUP BY 1
-    """,
-    c=CATALOG,
-)
-oracle(
-    "source_spans",
-    "SELECT source, count(*) AS events, min(event_time) AS first_event, max(event_time) AS last_event"
-    " FROM c GROUP BY source",
-    c=CATALOG,
-)
-oracle(
-    "seam_check",
     """
+QUESTIONS["source_spans"] = """
+    SELECT source, count(*) AS events, min(event_time) AS first_event, max(event_time) AS last_event FROM c GROUP BY source
+    """
+QUESTIONS["seam_check"] = """
     WITH ends AS (
       SELECT max(event_time) FILTER (WHERE source = 'seed') AS bulk_last,
         min(event_time) FILTER (WHERE source <> 'seed') AS later_first FROM c
@@ -422,9 +454,7 @@ oracle(
       (SELECT count(*) FROM near WHERE source = 'seed' AND event_time >= later_first) AS overlap_rows,
       (SELECT max(step) // 1000000 FROM near) AS longest_silence_seconds
     FROM ends
-    """,
-    c=CATALOG,
-)
+    """
 
 # -- ledger analytics --------------------------------------------------------
 
@@ -620,9 +650,7 @@ oracle(
     h=HISTORY,
 )
 
-oracle(
-    "health_verdict",
-    f"""
+QUESTIONS["health_verdict"] = f"""
     SELECT *, CASE WHEN stale THEN 'STALE' ELSE 'healthy' END
       || CASE WHEN runs_low THEN ' / RUNS BELOW EXPECTED' ELSE '' END AS verdict
     FROM (
@@ -636,10 +664,11 @@ oracle(
         FROM r WHERE started_at >= {NOW} - interval '24' hour
       ) AS recent
     ) AS judged
-    """,
-    c=CATALOG,
-    r=LEDGER,
-)
+    """
+# Asked of a DataFrame, and of a stored table after three deliveries.
+for question, text in QUESTIONS.items():
+    oracle("arrivals_per_hour" if question == "arrivals" else question, text, c=CATALOG, r=LEDGER)
+    oracle(f"{question}_table", text, **MOVED, r=LEDGER)
 
 # -- streams -----------------------------------------------------------------
 

@@ -16,14 +16,14 @@ from revcat.operators import ranges
 from revcat.operators.normalize import flatten, normalize
 from revcat.operators.revisions import integrity, latest_revision, latest_revision_window, merge_probe
 from revcat.plans import continuity, health, history, integrity as proofs, liveness
-from revcat.plans.backfill import land_history
+from revcat.plans.backfill import land_history, read_landed
 from revcat.plans.ingest import feed_snapshot
 from revcat.schema import EVENTS, as_nullable, conform, null_report
-from revcat.session import pin_utc, scratch_dir
+from revcat.session import pin_utc, scratch_dir, written
 from revcat.sources import tables
 from revcat.sources.catalog import CatalogTable
 from revcat.sources.documents import features, read_documents, stream_documents
-from revcat.sources.files import child_names
+from revcat.sources.files import child_names, remove
 from revcat.sources.ledger import RunLedger, run_status
 from revcat.streaming import feeds
 
@@ -283,6 +283,19 @@ def upsert_twice(spark, sf_dir):
     return upserted(spark, sf_dir, times=2)
 
 
+@query
+def upsert_probe(spark, sf_dir):
+    """What the batch did, counted by the passes that staged and wrote it."""
+    target, batch = target_and_batch(spark, sf_dir)
+    table = CatalogTable(spark, scratch_dir(spark, "catalog"), buckets=4).create()
+    table.upsert(target, bulk=True)
+    done = table.upsert(batch, then=("position",))
+    return spark.createDataFrame(
+        [(done.fetched, done.inserted, done.updated, done.first, done.last)],
+        "fetched long, to_insert long, to_update long, min_time timestamp, max_time timestamp",
+    )
+
+
 @query
 def high_water(spark, sf_dir):
     return ranges.high_water(catalog(spark, sf_dir))
@@ -356,6 +369,53 @@ def resume_backfill(spark, sf_dir):
     return listed.select("chunk", "start", "end", "expected", "rows")
 
 
+@query
+def resume_grown(spark, sf_dir):
+    """Two runs land an archive that lacks every seventh event, one run's folder is lost, the archive fills up."""
+    out, manifest = scratch_dir(spark, "raw"), scratch_dir(spark, "manifest")
+    archive = old_events(spark, sf_dir)
+    early = archive.where("cast(substring(id, 2) as bigint) % 7 <> 0 or event_time < timestamp'1996-01-01'")
+    land_history(early, out, manifest, PLAN_END, PLAN_CAP, years=[1995, 1996, 1997])
+    lost = child_names(spark, out)
+    land_history(early, out, manifest, PLAN_END, PLAN_CAP)
+    remove(spark, f"{out}/{lost[0]}")
+    land_history(archive, out, manifest, PLAN_END, PLAN_CAP)
+    return read_landed(spark, out, manifest).select("id", "event_time", "updated", "mag", "status")
+
+
+@query
+def chunk_reads(spark, sf_dir):
+    """Monthly reads that include both ends, so the first instant of a month is read twice."""
+    rows = V.view(spark, sf_dir, V.CHUNK_FILES).where("chunk_start = date_trunc('month', event_time)")
+    events = rows.select("id", "event_time")
+    first = F.date_trunc("MONTH", "event_time")
+    around = F.explode(F.array(first, first - F.expr("interval 1 month"))).alias("start")
+    months = events.select(around).distinct().select(
+        F.col("start").alias("chunk_start"), "start", (F.col("start") + F.expr("interval 1 month")).alias("end")
+    )
+    return ranges.in_ranges(events, written(months, "months"), "chunk_start")
+
+
+@query
+def range_members(spark, sf_dir):
+    """Events in closed ranges from an instant to a year long: how many, and which."""
+    spans = written(V.view(spark, sf_dir, V.SPANS), "spans")
+    met = ranges.in_ranges(old_events(spark, sf_dir).select("id", "event_time"), spans, "span")
+    number = F.substring("id", 2, 20).cast("bigint")
+    return met.groupBy("span").agg(F.count(F.lit(1)).alias("events"), F.sum(number).alias("numbers"))
+
+
+@query
+def range_difference(spark, sf_dir):
+    """What is left of each month beside the spans of every hundredth order."""
+    spans = V.view(spark, sf_dir, V.SPANS)
+    month = F.date_trunc("MONTH", "start")
+    months = spans.select(month.alias("month")).distinct().select(
+        "month", F.col("month").alias("start"), (F.col("month") + F.expr("interval 1 month")).alias("end")
+    )
+    return ranges.uncovered(written(months, "months"), spans.where("span % 100 = 0 and span % 1000 <> 0"), "month")
+
+
 @query
 def chunk_assign(spark, sf_dir):
     """Each event with the chunk that holds it; a small cap, so that plans go deep."""
@@ -402,6 +462,48 @@ def source_spans(spark, sf_dir):
     return liveness.source_spans(catalog(spark, sf_dir))
 
 
+def moved_table(spark, sf_dir) -> CatalogTable:
+    """A stored table whose events came in three deliveries; the last moves them between hours and sources."""
+    target, batch = target_and_batch(spark, sf_dir)
+    table = CatalogTable(spark, scratch_dir(spark, "catalog"), buckets=4).create()
+    table.upsert(target, bulk=True)
+    table.upsert(batch, then=("position",))
+    table.upsert(V.view(spark, sf_dir, V.MOVED))
+    return table
+
+
+@query
+def arrivals_table(spark, sf_dir):
+    """Asked of the stored table, which answers from its sums."""
+    return liveness.arrivals_per_hour(moved_table(spark, sf_dir), CATALOG_AS_OF)
+
+
+@query
+def freshness_table(spark, sf_dir):
+    return liveness.freshness(moved_table(spark, sf_dir), CATALOG_AS_OF)
+
+
+@query
+def arrivals_pivot_table(spark, sf_dir):
+    return liveness.arrivals_pivot(moved_table(spark, sf_dir), CATALOG_AS_OF, SOURCES, days=8)
+
+
+@query
+def health_verdict_table(spark, sf_dir):
+    return health.health_verdict(moved_table(spark, sf_dir), runs(spark, sf_dir), CATALOG_AS_OF)
+
+
+@query
+def source_spans_table(spark, sf_dir):
+    return liveness.source_spans(moved_table(spark, sf_dir))
+
+
+@query
+def seam_check_table(spark, sf_dir):
+    """The ends from the sums, the silence from the months around them."""
+    return liveness.seam_check(moved_table(spark, sf_dir))
+
+
 @query
 def run_gaps(spark, sf_dir):
     return continuity.run_gaps(runs(spark, sf_dir), CATALOG_AS_OF)

@@ -130,6 +130,17 @@ TARGET = f"SELECT {EVENT_COLUMNS} FROM ({CATALOG}) AS c WHERE event_id % 5 <> 0"
 
 _SAME = EVENT_COLUMNS.replace("id, event_time, updated, mag, ", "").replace("source, ingested_at", "")
 
+# Ranges of very unequal length: an instant, an hour, ten days, a year.
+SPANS = """
+SELECT o_orderkey AS span, event_time AS start, event_time
+  + CASE WHEN o_orderkey % 1000 = 0 THEN interval '365' day WHEN o_orderkey % 100 = 0 THEN interval '10' day
+      WHEN o_orderkey % 3 = 0 THEN interval '1' hour ELSE interval '0' hour END AS end
+FROM (
+  SELECT o_orderkey, CAST(o_orderdate AS timestamp) + (o_orderkey * 7919 % 86400) * interval '1' second AS event_time
+  FROM {orders}
+) AS o
+"""
+
 # Later delivery of the second half of the month: newer, equal, older, NULL and
 # moved revisions, and a stale copy of every seventh row.
 _CHANGED = f"""
@@ -157,6 +168,16 @@ SELECT id, event_time, updated - interval '1' hour AS updated, mag + 1 AS mag, {
 FROM ({_CHANGED}) AS stale WHERE event_id % 7 = 0
 """
 
+# A still later delivery that moves events to other hours of arrival, another source and
+# earlier times, the newest of them too.
+MOVED = f"""
+SELECT id, event_time - interval '10' day AS event_time, event_time + interval '60' day AS updated,
+  mag / 2 AS mag, {_SAME}
+  'backfill' AS source, timestamp '2024-01-30 06:00:00' - (event_id % 50) * interval '1' hour AS ingested_at, event_id
+FROM ({CATALOG}) AS c
+WHERE event_time >= timestamp '2024-01-15 00:00:00' AND event_id % 3 <> 0
+"""
+
 # History cut in monthly files whose ranges include both ends, so an order on
 # the first instant of a month is in two files.
 CHUNK_FILES = """

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revcat.functions.times import instant, whole
+from revcat.plans.liveness import arrived
+from revcat.sources.catalog import CatalogTable
 
 # Thresholds and verdict texts.
 MAX_AGE_MINUTES = 90
@@ -14,7 +16,7 @@ HEALTHY, STALE, LOW_SUFFIX = "healthy", "STALE", " / RUNS BELOW EXPECTED"
 
 
 def health_verdict(
-    catalog: DataFrame,
+    catalog: CatalogTable | DataFrame,
     runs: DataFrame,
     as_of,
     max_age_minutes: int = MAX_AGE_MINUTES,
@@ -22,10 +24,10 @@ def health_verdict(
 ) -> DataFrame:
     """One row: age of the last write, runs of the last 24 hours by outcome, verdict."""
     now = instant(as_of)
-    fresh = catalog.agg(
+    fresh = arrived(catalog).agg(
         F.max("ingested_at").alias("last_write"),
         whole("MINUTE", F.max("ingested_at"), now).alias("age_minutes"),
-        F.count(F.lit(1)).alias("total_events"),
+        F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"),
     )
     recent = runs.where(F.col("started_at") >= now - F.expr("interval 24 hours")).agg(
         F.struct(

@@ -2,38 +2,46 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revcat.functions.numbers import round_half_away
 from revcat.functions.times import days_before, instant, whole
+from revcat.operators.arrivals import each_event
 from revcat.operators.instants import previous_instant
 from revcat.session import written
 from revcat.sources.catalog import CatalogTable, opened
 
 
-def arrivals_per_hour(catalog: DataFrame, as_of, days: int = 3) -> DataFrame:
+def arrived(catalog: CatalogTable | DataFrame) -> DataFrame:
+    """What came when: of a stored table its sums, of a DataFrame its events."""
+    return catalog.arrivals() if isinstance(catalog, CatalogTable) else each_event(catalog)
+
+
+def arrivals_per_hour(catalog: CatalogTable | DataFrame, as_of, days: int = 3) -> DataFrame:
     """Rows written and biggest magnitude per hour of arrival and source."""
-    recent = catalog.where(F.col("ingested_at") >= instant(as_of) - F.expr(f"interval {days} days"))
+    recent = arrived(catalog).where(F.col("ingested_at") >= instant(as_of) - F.expr(f"interval {days} days"))
     return (
         recent.groupBy(F.date_trunc("HOUR", "ingested_at").alias("ingest_hour"), "source")
         .agg(
-            F.count(F.lit(1)).alias("events_written"),
-            round_half_away(F.max("mag"), 1).alias("biggest_mag"),
+            F.sum("events").alias("events_written"),
+            round_half_away(F.max("biggest_mag"), 1).alias("biggest_mag"),
         )
         .orderBy(F.col("ingest_hour").desc(), "source")
     )
 
 
-def freshness(catalog: DataFrame, as_of) -> DataFrame:
+def freshness(catalog: CatalogTable | DataFrame, as_of) -> DataFrame:
     """One row: last write, newest event, how many minutes each lies back, total."""
     now = instant(as_of)
-    return catalog.agg(
+    return arrived(catalog).agg(
         F.max("ingested_at").alias("last_write"),
         whole("MINUTE", F.max("ingested_at"), now).alias("minutes_since_write"),
-        F.max("event_time").alias("newest_event"),
-        whole("MINUTE", F.max("event_time"), now).alias("minutes_behind"),
-        F.count(F.lit(1)).alias("total_events"),
+        F.max("newest_event").alias("newest_event"),
+        whole("MINUTE", F.max("newest_event"), now).alias("minutes_behind"),
+        F.coalesce(F.sum("events"), F.lit(0)).alias("total_events"),
     )
 
 
@@ -55,41 +63,47 @@ def recent_pickup_lag(catalog: CatalogTable | DataFrame, as_of, days: int = 2, t
     )
 
 
-def arrivals_pivot(catalog: DataFrame, as_of, sources: list[str], days: int = 3) -> DataFrame:
+def arrivals_pivot(catalog: CatalogTable | DataFrame, as_of, sources: list[str], days: int = 3) -> DataFrame:
     """Rows written per hour of arrival, one column per source."""
-    recent = catalog.where(F.col("ingested_at") >= instant(as_of) - F.expr(f"interval {days} days"))
+    recent = arrived(catalog).where(F.col("ingested_at") >= instant(as_of) - F.expr(f"interval {days} days"))
+    of_source = [F.coalesce(F.sum(F.when(F.col("source") == s, F.col("events"))), F.lit(0)).alias(s) for s in sources]
     return (
         recent.groupBy(F.date_trunc("HOUR", "ingested_at").alias("ingest_hour"))
-        .agg(*[F.count_if(F.col("source") == s).alias(s) for s in sources])
+        .agg(*of_source)
         .orderBy(F.col("ingest_hour").desc())
     )
 
 
-def source_spans(catalog: DataFrame) -> DataFrame:
+def source_spans(catalog: CatalogTable | DataFrame) -> DataFrame:
     """Rows and time span per source."""
-    return catalog.groupBy("source").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.min("event_time").alias("first_event"),
-        F.max("event_time").alias("last_event"),
+    return arrived(catalog).groupBy("source").agg(
+        F.sum("events").alias("events"),
+        F.min("oldest_event").alias("first_event"),
+        F.max("newest_event").alias("last_event"),
     )
 
 
-def seam_check(catalog: DataFrame, bulk: str = "seed", days: int = 1) -> DataFrame:
+def seam_check(catalog: CatalogTable | DataFrame, bulk: str = "seed", days: int = 1) -> DataFrame:
     """One row on the joint between bulk history and later arrivals.
 
     ``seam_minutes`` between the last bulk and the first later event,
     ``overlap_rows`` of bulk at or after that first later event, and the
-    longest silence between neighbouring events within ``days`` of the seam.
+    longest silence between neighbouring events within ``days`` of the seam. A
+    stored table gives the ends from its sums and opens the months around the seam.
     """
     later = F.col("source") != bulk
-    ends = catalog.agg(
-        F.max(F.when(~later, F.col("event_time"))).alias("bulk_last"),
-        F.min(F.when(later, F.col("event_time"))).alias("later_first"),
+    ends = arrived(catalog).agg(
+        F.max(F.when(~later, F.col("newest_event"))).alias("bulk_last"),
+        F.min(F.when(later, F.col("oldest_event"))).alias("later_first"),
     )
-    # Two instants come to the driver, so the second scan is a plain pushed-down range.
+    # Two instants come to the driver, so the events are a plain pushed-down range.
     found = ends.select(*[F.unix_micros(c).alias(c) for c in ends.columns]).first()
     bulk_last, later_first = (F.timestamp_micros(F.lit(t).cast("bigint")) for t in found)
     margin = F.expr(f"interval {days} days")
+    if isinstance(catalog, CatalogTable):
+        known = [dt.datetime.fromtimestamp(t / 1e6, dt.timezone.utc) for t in found if t is not None]
+        day = dt.timedelta(days=days + 1)
+        catalog = catalog.scan(min(known) - day, max(known) + day) if known else catalog.scan()
     near = catalog.where(
         (F.col("event_time") >= F.least(bulk_last, later_first) - margin)
         & (F.col("event_time") <= F.greatest(bulk_last, later_first) + margin)

@@ -3,6 +3,7 @@
 Layout below ``root``::
 
     data/v=<attempt>/event_month=2024-01/id_bucket=3/*.parquet
+    arrivals/v=<attempt>/*.parquet the slices that attempt wrote, summed by instant of arrival
     snapshots/000000000007.json    which attempt holds each live (month, bucket)
     staging/<attempt>/             private to one running upsert
 
@@ -15,6 +16,12 @@ leaves only unlisted files, and repeating a batch changes nothing.
 Months follow from the data's time span (57 years: 681 months). ``buckets``
 splits each month by a hash of id: choose it so that the largest month's
 slice is what you are willing to rewrite for one changed row.
+
+Every upsert also sums the slices it wrote, so questions by time of arrival never
+open the events. Sums belong to a slice as one attempt wrote it; when the slice is
+written again, the new sums take the place of the old ones. So a row that changes its
+hour or source leaves its old sum and joins its new one, and maxima stay exact, which
+signed differences could not keep when a maximum moves away.
 """
 
 from __future__ import annotations
@@ -22,13 +29,15 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from revcat.functions.times import instant, month_key
+from revcat.operators.arrivals import ARRIVALS, each_event, summed
 from revcat.operators.revisions import latest_revision, outcome
 from revcat.schema import EVENTS, as_nullable, conform, enforce_required
 from revcat.sources import files
@@ -36,14 +45,20 @@ from revcat.sources import files
 SLICE = ["event_month", "id_bucket"]
 BROADCAST_BYTES = 32 << 20  # largest set of batch ids sent to every executor
 PUSHED_IDS = 1_000  # largest set of batch ids pushed into the scan as a filter
+ARRIVAL_FOLDERS = 32  # folders of sums a snapshot lists before they are joined into one
 
 
 @dataclass(frozen=True)
 class Upserted:
+    """What an upsert did; ``fetched`` rows came, ``first`` to ``last`` is the time span of the batch."""
+
     inserted: int = 0
     updated: int = 0
     slices_written: int = 0
     snapshot: int = 0
+    fetched: int = field(default=0, compare=False)
+    first: dt.datetime | None = field(default=None, compare=False)
+    last: dt.datetime | None = field(default=None, compare=False)
 
 
 class CatalogTable:
@@ -57,7 +72,7 @@ class CatalogTable:
     def create(self) -> "CatalogTable":
         """Publish an empty table unless there is one."""
         if not self.versions():
-            self._publish(0, {})
+            self._publish(0, {}, [])
         return self
 
     def versions(self) -> list[int]:
@@ -78,9 +93,9 @@ class CatalogTable:
             return {}
         return {(m, b): attempt for m, b, attempt in self._load(version)["slices"]}
 
-    def _publish(self, version: int, slices: dict) -> int:
+    def _publish(self, version: int, slices: dict, arrivals: list[str]) -> int:
         listed = sorted([m, b, attempt] for (m, b), attempt in slices.items())
-        text = json.dumps({"buckets": self.buckets, "slices": listed})
+        text = json.dumps({"buckets": self.buckets, "slices": listed, "arrivals": arrivals})
         files.publish_text(self.spark, self._snapshot(version), text)
         return version
 
@@ -146,6 +161,29 @@ class CatalogTable:
         rows = self._read({k: v for k, v in live.items() if k[0] == newest})
         return _utc(rows.agg(F.unix_micros(F.max("event_time"))).first()[0])
 
+    def arrivals(self) -> DataFrame:
+        """Sums per slice, instant of arrival and source; the events are not opened."""
+        version = max(self.versions(), default=None)
+        if version is None:
+            return self.spark.createDataFrame([], ARRIVALS)
+        return self._arrivals(self._arrival_folders(version), self.slices(version)).select(*ARRIVALS.names)
+
+    def _arrival_folders(self, version: int) -> list[str] | None:
+        """Folders that hold the sums of all live slices; None if an older release wrote the snapshot."""
+        return self._load(version).get("arrivals")
+
+    def _arrivals(self, folders: list[str] | None, slices: dict) -> DataFrame:
+        """Sums of the given slices as the given attempts wrote them; without folders from the events."""
+        # At most months times buckets rows.
+        live = self.spark.createDataFrame([(*k, v) for k, v in sorted(slices.items())], "event_month string, id_bucket long, attempt string")
+        if folders is None:
+            return summed(each_event(self._read(slices), *SLICE), *SLICE).join(F.broadcast(live), SLICE)
+        layout = T.StructType([*live.schema, *ARRIVALS])
+        if not folders:
+            return self.spark.createDataFrame([], layout)
+        sums = self.spark.read.schema(layout).parquet(*[f"{self.root}/arrivals/v={f}" for f in folders])
+        return sums.join(F.broadcast(live), [*SLICE, "attempt"], "left_semi")
+
     def register(self, name: str) -> None:
         """Make the current snapshot a temporary view for SQL."""
         self.scan().createOrReplaceTempView(name)
@@ -160,6 +198,9 @@ class CatalogTable:
         unused = {item for v in gone for item in self.slices(v).items()} - used
         for (month, bucket), attempt in sorted(unused):
             files.remove(self.spark, self._path(month, bucket, attempt))
+        summed_in = [{f for v in vs for f in self._arrival_folders(v) or []} for vs in (gone, kept)]
+        for folder in summed_in[0] - summed_in[1]:
+            files.remove(self.spark, f"{self.root}/arrivals/v={folder}")
         for version in gone:
             files.remove(self.spark, self._snapshot(version))
         return len(unused)
@@ -169,9 +210,10 @@ class CatalogTable:
 
         The age must exceed the longest upsert, whose files are not listed yet.
         """
-        used = {attempt for v in self.versions() for attempt in self.slices(v).values()}
+        versions = self.versions()
+        used = {attempt for v in versions for attempt in [*self.slices(v).values(), *(self._arrival_folders(v) or [])]}
         gone = 0
-        for folder, prefix in (("data", "v="), ("staging", "")):
+        for folder, prefix in (("data", "v="), ("arrivals", "v="), ("staging", "")):
             for name, hours in files.child_ages(self.spark, f"{self.root}/{folder}").items():
                 if name.startswith(prefix) and name[len(prefix):] not in used and hours > older_than_hours:
                     gone += files.remove(self.spark, f"{self.root}/{folder}/{name}")
@@ -208,35 +250,58 @@ class CatalogTable:
     def _upsert_once(self, batch, within, bulk, null_is_oldest, then) -> Upserted:
         version = max(self.versions(), default=-1)
         live = self.slices(version) if version >= 0 else {}
+        folders = self._arrival_folders(version) if version >= 0 else []
         attempt = uuid.uuid4().hex
         staging = f"{self.root}/staging/{attempt}"
-        newest = self._placed(latest_revision(batch, then=then))
+        came, kept_newest = Observation(), Observation()
+        newest = latest_revision(batch.observe(came, F.count(F.lit(1)).alias("fetched")), then=then)
+        newest = self._placed(newest).observe(kept_newest, *_batch())
         try:
             if not live:
                 written = self._write(newest, attempt)
-                snapshot = self._publish(version + 1, written)
-                return Upserted(self._read(written).count(), 0, len(written), snapshot)
+                folders, inserted = self._sum_arrivals(written, {}, [], attempt)
+                snapshot = self._publish(version + 1, written, folders)
+                return Upserted(inserted, 0, len(written), snapshot, **_measured(came, kept_newest))
+            measured = None
             if not bulk:
                 newest = self._staged(newest, f"{staging}/batch")
-            changes = self._changes(newest, live, within, null_is_oldest, bulk)
-            changes = self._staged(changes, f"{staging}/changes")
-            touched, inserted, updated = self._extent(changes)
+                measured = _counted(kept_newest)
+            effect = Observation()
+            changes = self._changes(newest, live, within, null_is_oldest, bulk, measured)
+            changes = self._staged(changes.observe(effect, *_effect()), f"{staging}/changes")
+            touched, inserted, updated = _extent(_counted(effect))
             if not touched:
-                return Upserted(snapshot=version)
+                return Upserted(snapshot=version, **_measured(came, kept_newest))
             old = {k: v for k, v in live.items() if k in touched}
             columns = [*self.schema.names, *SLICE]
             kept = self._read(old).select(*columns).join(changes.select("id"), "id", "left_anti")
             content = kept.unionByName(changes.select(*columns))
             written = self._write(content, attempt)
             untouched = {k: v for k, v in live.items() if k not in touched}
-            snapshot = self._publish(version + 1, {**untouched, **written})
-            return Upserted(inserted, updated, len(written), snapshot)
+            folders, _ = self._sum_arrivals(written, untouched, folders, attempt)
+            snapshot = self._publish(version + 1, {**untouched, **written}, folders)
+            return Upserted(inserted, updated, len(written), snapshot, **_measured(came, kept_newest))
         except FileExistsError:
             files.remove(self.spark, f"{self.root}/data/v={attempt}")
+            files.remove(self.spark, f"{self.root}/arrivals/v={attempt}")
             raise
         finally:
             files.remove(self.spark, staging)
 
+    def _sum_arrivals(self, written: dict, untouched: dict, folders: list[str] | None, attempt: str) -> tuple[list[str], int]:
+        """Sum the slices just written; returns the folders that hold all live sums, and the events summed.
+
+        Old folders stay as they are until there are many, and then join the new one.
+        """
+        sums = self._arrivals(None, written)
+        if folders is None or len(folders) >= ARRIVAL_FOLDERS:
+            sums, folders = sums.unionByName(self._arrivals(folders, untouched)), []
+        total = Observation()
+        sums = sums.observe(total, F.sum("events").alias("events"))
+        path = f"{self.root}/arrivals/v={attempt}"
+        sums.sortWithinPartitions("ingested_at").write.option("compression", "zstd").parquet(path)
+        return [*folders, attempt], _counted(total).get("events") or 0
+
     def _placed(self, rows: DataFrame) -> DataFrame:
         placed = enforce_required(conform(rows, self.schema), self.schema)
         return placed.withColumn("event_month", month_key(F.col("event_time"))).withColumn(
@@ -247,15 +312,17 @@ class CatalogTable:
         rows.write.parquet(path)
         return self.spark.read.schema(as_nullable(rows.schema)).parquet(path)
 
-    def _changes(self, newest, live, within, null_is_oldest, bulk) -> DataFrame:
+    def _changes(self, newest, live, within, null_is_oldest, bulk, measured: dict | None = None) -> DataFrame:
         """Batch rows that insert or update, with the month they leave."""
         near = F.lit(True)
         if within is not None:
-            margin = F.expr(f"interval {within}")
-            low, high = newest.agg(
-                F.unix_micros(F.min("event_time") - margin), F.unix_micros(F.max("event_time") + margin)
-            ).first()
-            if low is not None:
+            ends = measured or newest.agg(*_batch()).first().asDict()
+            if ends.get("first") is not None:
+                margin = F.expr(f"interval {within}")
+                low, high = self.spark.range(1).select(
+                    F.unix_micros(F.timestamp_micros(F.lit(ends["first"])) - margin),
+                    F.unix_micros(F.timestamp_micros(F.lit(ends["last"])) + margin),
+                ).first()
                 first, last = _month_of(_utc(low)), _month_of(_utc(high))
                 # Whole months: a slice is rewritten whole, so all its rows must be matched.
                 live = {k: v for k, v in live.items() if first <= k[0] <= last}
@@ -268,43 +335,25 @@ class CatalogTable:
             F.col("event_month").alias("old_month"),
         )
         if not bulk:
-            stored = self._only_ids(stored, newest.select("id"))
+            stored = self._only_ids(stored, newest.select("id"), measured)
         verdict = outcome(F.col("stored_id"), F.col("updated"), F.col("stored_updated"), null_is_oldest)
         joined = newest.join(stored, "id", "left").withColumn("outcome", verdict)
         return joined.where("outcome <> 'keep'").drop("stored_id", "stored_updated")
 
-    def _only_ids(self, stored: DataFrame, ids: DataFrame) -> DataFrame:
+    def _only_ids(self, stored: DataFrame, ids: DataFrame, measured: dict | None = None) -> DataFrame:
         """Cut the stored rows to the batch's ids without shuffling the table.
 
         A few ids go into the scan as a filter: files are ordered by id, so
         Parquet skips the pages that cannot hold them. More are broadcast, if
         their measured size allows; otherwise the join that follows does it.
         """
-        few = ids.take(PUSHED_IDS + 1)
-        if len(few) <= PUSHED_IDS:
-            return stored.where(F.col("id").isin([r.id for r in few]))
-        size = ids.agg(F.sum(F.octet_length("id") + F.lit(64))).first()[0]
-        if size <= BROADCAST_BYTES:
+        measured = measured if measured is not None else ids.agg(F.count(F.lit(1)).alias("ids"), _id_bytes()).first().asDict()
+        if measured.get("ids", 0) <= PUSHED_IDS:
+            return stored.where(F.col("id").isin([r.id for r in ids.collect()]))
+        if measured["id_bytes"] <= BROADCAST_BYTES:
             return stored.join(F.broadcast(ids), "id", "left_semi")
         return stored
 
-    def _extent(self, changes: DataFrame) -> tuple[set, int, int]:
-        """Slices the changes enter or leave (at most months times buckets rows), and counts."""
-        months = F.posexplode(F.array("event_month", "old_month")).alias("leaves", "month")
-        entered = F.col("leaves") == 0
-        rows = (
-            changes.select("outcome", "id_bucket", months)
-            .where("month is not null")
-            .groupBy("month", "id_bucket")
-            .agg(
-                F.count_if(entered & (F.col("outcome") == "insert")).alias("inserted"),
-                F.count_if(entered & (F.col("outcome") == "update")).alias("updated"),
-            )
-            .collect()
-        )
-        touched = {(r.month, r.id_bucket) for r in rows}
-        return touched, sum(r.inserted for r in rows), sum(r.updated for r in rows)
-
     def _write(self, content: DataFrame, attempt: str) -> dict:
         """Write whole slices; returns those that have rows.
 
@@ -334,6 +383,48 @@ def opened(catalog: CatalogTable | DataFrame, start=None, calendar_months: set[i
     return catalog.scan(start, calendar_months=calendar_months) if isinstance(catalog, CatalogTable) else catalog
 
 
+def _id_bytes():
+    return F.sum(F.octet_length("id") + F.lit(64)).alias("id_bytes")
+
+
+def _batch() -> list:
+    """What the pass that stages a batch counts on the way."""
+    return [
+        F.count(F.lit(1)).alias("ids"),
+        _id_bytes(),
+        F.min(F.unix_micros("event_time")).alias("first"),
+        F.max(F.unix_micros("event_time")).alias("last"),
+    ]
+
+
+def _effect() -> list:
+    """What the pass that stages the changes counts: outcomes, and slices entered or left (months times buckets)."""
+    return [
+        F.count_if(F.col("outcome") == "insert").alias("inserted"),
+        F.count_if(F.col("outcome") == "update").alias("updated"),
+        F.collect_set(F.struct("event_month", "id_bucket")).alias("entered"),
+        F.collect_set(F.when(F.col("old_month").isNotNull(), F.struct("old_month", "id_bucket"))).alias("left"),
+    ]
+
+
+def _counted(observation: Observation) -> dict:
+    """What was counted; nothing where the optimizer found the counted branch empty and cut it off."""
+    try:
+        return observation.get
+    except Py4JJavaError:
+        return {}
+
+
+def _measured(came: Observation, newest: Observation) -> dict:
+    ends = _counted(newest)
+    return {"fetched": _counted(came).get("fetched", 0), "first": _utc(ends.get("first")), "last": _utc(ends.get("last"))}
+
+
+def _extent(effect: dict) -> tuple[set, int, int]:
+    touched = {tuple(s) for s in [*effect.get("entered", []), *effect.get("left", [])]}
+    return touched, effect.get("inserted", 0), effect.get("updated", 0)
+
+
 def _utc(micros: int | None) -> dt.datetime | None:
     if micros is None:
         return None

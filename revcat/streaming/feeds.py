@@ -70,15 +70,10 @@ def stream_upsert(
         if ledger is None:
             table.upsert(batch, then=then)
             return
-        batch = batch.persist()
-        try:
-            with ledger.run(f"{trigger}-{batch_id}", trigger, started_at=begun) as run:
-                run["mode"] = "feed"
-                run["rows_fetched"] = batch.count()
-                done = table.upsert(batch, then=then)
-                run["rows_inserted"], run["rows_updated"] = done.inserted, done.updated
-        finally:
-            batch.unpersist()
+        with ledger.run(f"{trigger}-{batch_id}", trigger, started_at=begun) as run:
+            run["mode"] = "feed"
+            done = table.upsert(batch, then=then)  # the pass that stages the batch also counts it
+            run["rows_fetched"], run["rows_inserted"], run["rows_updated"] = done.fetched, done.inserted, done.updated
 
     writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     pace = {"processingTime": interval} if interval else {"availableNow": True}

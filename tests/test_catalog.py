@@ -1,12 +1,17 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import utc
 from revcat.functions.times import days_before
-from revcat.plans import history, liveness
+from revcat.operators.arrivals import each_event, summed
+from revcat.plans import health, history, liveness
 from revcat.schema import EVENTS
 from revcat.sources import files
+from revcat.sources import catalog
 from revcat.sources.catalog import CatalogTable, Upserted, opened
+from revcat.sources.ledger import RunLedger
 
 
 @pytest.fixture
@@ -212,7 +217,7 @@ def test_crash_before_publishing_changes_nothing(table, event, events, monkeypat
             table.upsert(batch)
     assert content(table) == before
     assert table.drop_orphans() == 0  # too young
-    assert table.drop_orphans(older_than_hours=-1) == 1
+    assert table.drop_orphans(older_than_hours=-1) == 2  # its slices and their sums
     done = table.upsert(batch)
     assert (done.inserted, done.updated) == (1, 1) and ids(table) == ["a", "b"]
 
@@ -265,3 +270,71 @@ def test_stale_revision_in_an_opened_month_is_ignored(table, event, events, stor
     again = table.upsert(events([stale, event("y", "2024-01-20 00:00:00", "2024-01-22 00:00:00", mag=3.0)]), within="1 day")
     assert (again.inserted, again.updated) == (0, 1)
     assert sorted((r.id, r.mag) for r in table.scan().collect()) == [("x", 9.0), ("y", 3.0)]
+
+
+def total(sums):
+    return sorted(repr(tuple(r)) for r in summed(sums).collect())
+
+
+def test_sums_follow_every_upsert(table, event, events, monkeypatch):
+    """Rows that change hour, source, month and magnitude, and maxima that move away."""
+    monkeypatch.setattr(catalog, "ARRIVAL_FOLDERS", 3)
+    r, stored = random.Random(7), 0
+    for round_ in range(8):
+        rows = [
+            event(
+                f"e{r.randrange(40)}", f"2024-{r.randint(1, 4):02}-10 00:00:00", f"2024-05-{round_ + r.randint(1, 3):02} 00:00:00",
+                mag=r.choice([None, 1.0, 2.5, float("nan")]), source=r.choice(["seed", "feed", None]),
+                ingested_at=utc(f"2024-06-{r.randint(1, 28):02} {r.randint(0, 3):02}:30:00"),
+            )
+            for _ in range(r.choice([0, 6, 25]))
+        ]
+        done = table.upsert(events(rows))
+        stored += done.inserted
+        assert done.fetched == len(rows)
+        assert total(table.arrivals()) == total(each_event(table.scan()))
+        assert len(table._arrival_folders(max(table.versions())) or []) <= 3
+    assert table.arrivals().agg(F.sum("events")).first()[0] == stored == table.scan().count()
+
+
+def test_sums_of_a_snapshot_without_any(spark, table, event, events, monkeypatch):
+    table.upsert(events([event("a", source="seed"), event("b", "2024-03-01 00:00:00")]))
+    monkeypatch.setattr(CatalogTable, "_arrival_folders", lambda self, version: None)
+    assert total(table.arrivals()) == total(each_event(table.scan()))
+    table.upsert(events([event("c")]))
+    monkeypatch.undo()
+    assert total(table.arrivals()) == total(each_event(table.scan())) and table.arrivals().count() >= 2
+
+
+def test_questions_about_arrivals_do_not_open_events(spark, table, event, events, tmp_path):
+    table.upsert(events([event(f"e{m}", f"2024-{m:02}-10 00:00:00") for m in range(1, 13)]))
+    table.upsert(events([event("e3", "2024-03-11 00:00:00", updated="2024-09-01 00:00:00", source="backfill")]))
+    now = "2024-02-01 00:30:00"
+    runs = RunLedger(spark, str(tmp_path / "runs")).read()
+    asked = [
+        liveness.arrivals_per_hour(table, now), liveness.freshness(table, now), liveness.arrivals_pivot(table, now, ["feed", "backfill"]),
+        liveness.source_spans(table), health.health_verdict(table, runs, now),
+    ]
+    for question in asked:
+        opened_files = question.inputFiles()
+        assert opened_files and all("/arrivals/v=" in f for f in opened_files)
+    hours = {r.source: r.events_written for r in asked[0].collect()}
+    assert hours == {"feed": 11, "backfill": 1}
+    assert asked[1].first().total_events == 12
+
+
+def test_expire_removes_unused_sums(spark, table, event, events):
+    for day in range(1, 6):
+        table.upsert(events([event("a", updated=f"2024-05-0{day} 00:00:00")]))
+    before = files.child_names(spark, f"{table.root}/arrivals")
+    assert table.drop_orphans(older_than_hours=-1) == 0 and files.child_names(spark, f"{table.root}/arrivals") == before
+    table.expire(keep=1)
+    assert total(table.arrivals()) == total(each_event(table.scan()))
+
+
+def test_upsert_reports_its_batch(table, event, events):
+    assert table.upsert(events([])).fetched == 0
+    table.upsert(events([event("a", "2024-01-01 00:00:00")]))
+    batch = [event("a", "2024-01-02 00:00:00"), event("b", "2024-03-01 00:00:00"), event("b", "2024-04-01 00:00:00", updated=None)]
+    done = table.upsert(events(batch))
+    assert (done.fetched, done.first, done.last) == (3, utc("2024-01-02 00:00:00"), utc("2024-03-01 00:00:00"))
