@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from revcat.llm.common import whole_text
 from revcat.llm.term_matrix import matrix, row_statistics
+from revcat.session import written
 
 FILTERS = "ABCDE"
 MIN_WORDS, MIN_DISTINCT_PERCENT, MAX_CAPITALS_PERCENT, SYMBOLS = 50, 65, 5, "[#$%&*|]"
@@ -57,7 +58,8 @@ def _mask(fails: dict[str, Column]) -> Column:
 def masks(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source") -> DataFrame:
     """(part, mask, docs, good, toxic): documents by the filters they fail (bit 0 is the first), and labels among them."""
     # Rows alike in all that matters are one from here on, so no key of a join below is hot.
-    facts = _measured(docs, id_col, text_col, part_col).groupBy("id", "part", "digest", "mask").agg(F.count("*").alias("docs"))
+    measured = _measured(docs, id_col, text_col, part_col)
+    facts = written(measured.groupBy("id", "part", "digest", "mask").agg(F.count("*").alias("docs")), "facts")
     first = facts.groupBy("digest").agg(F.min("id").alias("id")).where("id IS NOT NULL").withColumn("is_first", F.lit(True))
     copies = F.col("id").isNotNull() & F.col("is_first").isNull()
     facts = facts.join(first, ["digest", "id"], "left").select("id", "part", "docs", (F.col("mask") + _mask({"E": copies})).alias("mask"))

@@ -2,12 +2,13 @@
 
 A map task cuts its documents into blocks of bounded bytes and counts each
 document's words against the vocabulary of its block. The vocabularies, not the
-texts, meet in the shuffle that numbers each distinct word once, and go back to
-their blocks, whose column numbers are then replaced by the global ones.
+texts, are dealt by hash to tasks of bounded size, each word once per block and
+many words to a row. Such a task numbers its distinct words, and the numbers go
+back to the blocks, whose column numbers are then replaced by the global ones.
 
 A shard is one block: ``rows`` (the kept columns of its documents), ``indptr``
 (where each document's entries start), ``indices`` (global word numbers, ascending
-within a document) and ``counts``.
+within a document) and ``counts``. Word numbers are unique, with few gaps.
 
 Words are runs of anything but the six ASCII white spaces. Null text counts as
 empty; a document without words is a row without entries. An empty table gives no
@@ -21,7 +22,9 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +38,8 @@ from revcat.session import written
 BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 16
 #: Bytes of a text whose words are held as objects at once.
 PIECE_BYTES = 1 << 20
+#: Words of block vocabularies, repeats between blocks included, that one task numbers.
+WORDS_PER_PART = 1 << 19
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -62,14 +67,17 @@ def _one_list(values: pa.Array) -> pa.ListArray:
 
 
 def _blocks(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """One row per block: its documents' kept columns, their counts, and the words they are counted by."""
+    """One row per block: its documents' kept columns, their counts, and the words they are counted by.
+
+    Words are in the order of their hashes, parted by spaces.
+    """
     row = F.struct(*[F.col(f"`{c}`") for c in keep])
     given = docs.select(row.alias("row"), whole_text(f"`{text_col}`").alias("text"))
     ints, longs = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
     schema = T.StructType([
         T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(given.schema["row"].dataType)),
         T.StructField("indptr", longs), T.StructField("indices", ints), T.StructField("counts", ints),
-        T.StructField("words", T.ArrayType(T.BinaryType())),
+        T.StructField("n_words", T.LongType()), T.StructField("words", T.BinaryType()),
     ])
     arrow = to_arrow_schema(schema)
 
@@ -79,10 +87,15 @@ def _blocks(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             indptr = np.concatenate([[0], np.cumsum([len(i) for i, _ in entries])]).astype(np.int64)
-            indices, counts = (np.concatenate([e[k] for e in entries]).astype(np.int32) for k in (0, 1))
+            indices, counts = (np.concatenate([e[k] for e in entries]) for k in (0, 1))
+            named = list(words)
+            order = np.argsort(_hashes(named))
+            place = np.empty(len(order), np.int32)
+            place[order] = np.arange(len(order), dtype=np.int32)
             columns = [
                 pa.array([block], pa.int64()), _one_list(pa.concat_arrays(rows)), _one_list(pa.array(indptr)),
-                _one_list(pa.array(indices)), _one_list(pa.array(counts)), _one_list(pa.array(list(words), pa.binary())),
+                _one_list(pa.array(place[indices])), _one_list(pa.array(counts.astype(np.int32))),
+                pa.array([len(named)], pa.int64()), pa.array([b" ".join([named[i] for i in order.tolist()])], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
 
@@ -109,19 +122,38 @@ def _blocks(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     return given.mapInArrow(count, schema)
 
 
-def _numbered(words: DataFrame) -> DataFrame:
-    """(word, term) with term from 0 without gaps: place in the partition, plus what earlier partitions hold."""
-    place = F.monotonically_increasing_id()
-    placed = words.select("word", F.shiftright(place, 33).cast("int").alias("part"), place.bitwiseAND((1 << 33) - 1).alias("at"))
-    placed = written(placed, "words")
-    # One row per partition of the shuffle, however many words there are.
-    sizes = placed.groupBy("part").agg(F.count("*").alias("size"))
-    sizes = sizes.agg(F.array_sort(F.collect_list(F.struct("part", "size"))).alias("sizes"))
-    before = sizes.select(F.posexplode("sizes").alias("i", "own"), "sizes").select(
-        F.col("own.part").alias("part"),
-        F.aggregate(F.slice("sizes", F.lit(1), F.col("i")), F.lit(0).cast("long"), lambda n, x: n + x["size"]).alias("before"),
-    )
-    return placed.join(F.broadcast(before), "part").select("word", (F.col("before") + F.col("at")).alias("term"))
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def _numbered(blocks: DataFrame, parts: int) -> DataFrame:
+    """(part, block, numbers) for every block, and (part, null, null, words) with the words so numbered in a part."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+                words = blob.as_py().split()
+                part = ((_hashes(words) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+                starts = np.flatnonzero(np.diff(part, prepend=part[0] + np.uint64(1))).tolist()
+                ends = [*starts[1:], len(words)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part[starts].astype(np.int64)), pa.array([block] * len(starts), pa.int64()),
+                    pa.array([b" ".join(words[a:b]) for a, b in zip(starts, ends)], pa.binary()),
+                ], ["part", "block", "words"])
+
+    def number(rows: pd.DataFrame) -> pd.DataFrame:
+        place = _Vocabulary()
+        numbers = []
+        for blob in rows["words"]:
+            words = blob.split()
+            numbers.append(np.fromiter(map(place.__getitem__, words), np.int32, len(words)).tobytes())
+        own = pd.DataFrame({"part": rows["part"], "block": rows["block"].astype("Int64"), "numbers": numbers, "words": None})
+        named = pd.DataFrame({"part": own["part"][:1], "block": pd.array([None], "Int64"), "numbers": None, "words": [b" ".join(place)]})
+        return pd.concat([own, named], ignore_index=True)
+
+    dealt = blocks.where("n_words > 0").select("block", "words").mapInArrow(deal, "part long, block long, words binary")
+    numbered = dealt.groupBy("part").applyInPandas(number, "part long, block long, numbers binary, words binary")
+    return written(numbered, "dictionary")
 
 
 def matrix(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -132,12 +164,14 @@ def matrix(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
     """
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
     blocks = written(_blocks(docs, text_col, keep), "blocks")
-    dictionary = written(_numbered(blocks.select(F.explode("words").alias("word")).distinct()), "dictionary")
-    # A word has one entry per block that holds it; the dictionary side of the join is unique.
-    entries = blocks.select("block", F.posexplode("words").alias("local", "word")).join(dictionary, "word")
-    numbers = entries.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("local", "term"))).alias("terms"))
-    numbers = numbers.select("block", F.transform("terms", lambda x: x["term"]).alias("terms"))
-    local = blocks.drop("words").join(numbers, "block", "left").drop("block")
+    words = blocks.agg(F.sum("n_words")).first()[0] or 0
+    parts = 1 + words // WORDS_PER_PART
+    numbered = _numbered(blocks, parts)
+    dictionary = numbered.where("block IS NULL").select("part", F.posexplode(F.split(F.decode("words", "UTF-8"), " ")).alias("at", "word"))
+    dictionary = dictionary.select("word", (F.col("at").cast("long") * parts + F.col("part")).alias("term"))
+    of_block = F.array_sort(F.collect_list(F.struct("part", "numbers")))
+    numbers = numbered.where("block IS NOT NULL").groupBy("block").agg(of_block.alias("numbers"))
+    local = blocks.drop("words", "n_words").join(numbers, "block", "left").drop("block")
     schema = T.StructType([
         local.schema["rows"], local.schema["indptr"], T.StructField("indices", T.ArrayType(T.LongType())), local.schema["counts"],
     ])
@@ -149,8 +183,12 @@ def matrix(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
                 one = batch.slice(k, 1)
                 indptr, indices, counts = (one[c][0].values.to_numpy() for c in ("indptr", "indices", "counts"))
                 if len(indices):
-                    terms = one["terms"][0].values.to_numpy()[indices]
-                    order = np.lexsort((terms, np.repeat(np.arange(len(indptr) - 1), np.diff(indptr))))
+                    own = one["numbers"][0].values
+                    of_part = [np.frombuffer(n, np.int32) for n in own.field("numbers").to_pylist()]
+                    part = np.repeat(own.field("part").to_numpy(), [len(n) for n in of_part])
+                    terms = (np.concatenate(of_part).astype(np.int64) * parts + part)[indices]
+                    # A block has at most BLOCK_DOCS rows, 16 bits; words have 47.
+                    order = np.argsort((np.repeat(np.arange(len(indptr) - 1), np.diff(indptr)) << 47) | terms)
                     indices, counts = terms[order], counts[order]
                 columns = [one["rows"], one["indptr"], _one_list(pa.array(indices, pa.int64())), _one_list(pa.array(counts, pa.int32()))]
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
