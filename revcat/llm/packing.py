@@ -18,6 +18,7 @@ so they may have any name. An empty table gives no pieces.
 from __future__ import annotations
 
 import heapq
+import re
 from array import array
 from collections.abc import Iterator
 from pathlib import Path
@@ -42,11 +43,34 @@ REMEMBERED = 16 << 20
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
 
+# Words of ASCII and of Latin letters that have one code point: their normal form is themselves in lower case.
+_PLAIN = re.compile("[\\x00-\\x7F\\u00C0-\\u00D6\\u00D8-\\u00F6\\u00F8-\\u012F\\u0131-\\u017E]+")
+# Fixed value: how the tokenizer splits a word, for such words.
+_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\\u00DF-\\u00F6\\u00F8-\\u017E]+|[0-9]|[^a-z0-9\\u00DF-\\u00F6\\u00F8-\\u017E]+")
+# Byte-level models spell bytes as characters: printable ones as they are, the others from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLED = {b: b for b in _SHOWN} | {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_SHOWN)))}
+
+
+class _Parts(dict):
+    """Ids of the parts into which words are split; many words differ only in their case and punctuation."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, part: str) -> list[int]:
+        spelled = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(_SPELLED)
+        ids = self[part] = [token.id for token in self.model.tokenize(spelled)]
+        return ids
+
+
 class WordEncoder(dict):
     """Ids of texts, each distinct word encoded once.
 
     The tokenizer never joins across white space, and treats all of it alike, so
-    words are encoded one by one. ``self`` maps a word to its number in the store.
+    words are encoded one by one: plain ones part by part, others by the tokenizer
+    as they are. ``self`` maps a word to its number in the store.
     """
 
     def __init__(self, tokenizer: str):
@@ -55,14 +79,20 @@ class WordEncoder(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.parts = _Parts(self.tokenizer.model)
         self.forget()
 
     def forget(self) -> None:
         self.clear()
+        self.parts.clear()
         self.store, self.starts, self.lengths, self.held = array("I"), array("q"), array("q"), 0
 
     def __missing__(self, word: bytes) -> int:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
+        text = word.decode()
+        if _PLAIN.fullmatch(text):
+            ids = [i for part in _SPLIT.findall(text.lower()) for i in self.parts[part]]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         number = self[word] = len(self.starts)
         self.starts.append(len(self.store))
         self.lengths.append(len(ids))
