@@ -15,12 +15,14 @@ segments than that difference, so two linked sets agree on some segments in full
 
 Equal signatures meet in one shuffle, as arrays of 8 bytes per signature. Each set
 is first compared with one other, the one that comes first under most of its
-signatures; after that, members of a signature that are still in different
-components are all compared. A sketch filters the pairs without loss (a parity bit
-per slot that shingles are hashed to: it never differs in more bits than the sets
-do in shingles), and what remains is verified on the whole sets. So every link
-between different components is found, while a group of copies is not expanded
-into its pairs. Sets that are equal are one node.
+signatures. A sketch filters pairs without loss (a parity bit per slot that shingles
+are hashed to: it never differs in more bits than the sets do in shingles), and what
+remains is verified on the whole sets. Of a signature whose members are still in
+different components, the shortest forest that joins these is verified next, nearest
+sketches first: one pair less than components, however many pairs there are. Only
+members that are in different components even then are all compared. So every link
+between different components is found, while a group of near copies is not expanded
+into its pairs, with or without a text in its middle. Sets that are equal are one node.
 
 Null and empty texts, and texts without words, have an empty set and link with
 nothing. Fewer words than a shingle make one shingle of all words. Rows that repeat
@@ -333,23 +335,64 @@ class _Sketches:
         return out
 
 
-def _compare(rows: pd.DataFrame) -> pd.DataFrame:
-    """Of the members of each signature, the pairs in different components that may link."""
-    rows = rows.sort_values("sig", kind="stable")
+def _forest(sketches: _Sketches, n: np.ndarray, root: np.ndarray) -> Iterator[tuple[int, int]]:
+    """The pairs that join the components of a group by the nearest sketches, where such pairs may link.
+
+    Components enter one after the other, each by its nearest member; memory is in
+    proportion to the members.
+    """
+    _, label, sizes = np.unique(root, return_inverse=True, return_counts=True)
+    far = np.iinfo(np.int64).max
+    near, via = np.full(len(n), far), np.full(len(n), -1)
+    out, left, entering = np.arange(len(n)), sizes.copy(), int(np.argmax(sizes))
+    while True:
+        own, out = out[label[out] == entering], out[label[out] != entering]
+        left[entering] = 0
+        if not len(out):
+            return
+        for i in own.tolist():
+            rest = out[_may_link(n[i], n[out], 0)]
+            differ = sketches.differ(i, rest)
+            closer = _may_link(n[i], n[rest], differ) & (differ < near[rest])
+            near[rest[closer]], via[rest[closer]] = differ[closer], i
+        nearest = out[np.argmin(near[out])]
+        if near[nearest] < far:
+            yield int(via[nearest]), int(nearest)
+            entering = int(label[nearest])
+        else:  # nothing left may link with what has entered
+            entering = int(np.argmax(left))
+
+
+def _all_near(sketches: _Sketches, n: np.ndarray, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of a group that are in different components and may link."""
+    for i in range(len(n) - 1):
+        rest = np.arange(i + 1, len(n))
+        rest = rest[(root[rest] != root[i]) & _may_link(n[i], n[rest], 0)]
+        if len(rest):
+            rest = rest[_may_link(n[i], n[rest], sketches.differ(i, rest))]
+            yield np.full(len(rest), i), rest
+
+
+def _compare(rows: pd.DataFrame, every: bool) -> pd.DataFrame:
+    """Of the members of each signature, pairs in different components that may link: all, or a forest."""
+    rows = rows.sort_values(["sig", "node"], kind="stable")
     sig, n, root, node = (rows[c].to_numpy() for c in ("sig", "n", "root", "node"))
+    number, names = pd.factorize(node)
     bits = rows["bits"].tolist()
     starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])).tolist()
-    found: set[tuple[int, int]] = set()
+    found = [np.zeros(0, np.int64)]
     for a, b in zip(starts, [*starts[1:], len(sig)]):
-        sketches, own_n, own_root = _Sketches(bits[a:b]), n[a:b], root[a:b]
-        for i in range(b - a - 1):
-            rest = np.arange(i + 1, b - a)
-            rest = rest[(own_root[rest] != own_root[i]) & _may_link(own_n[i], own_n[rest], 0)]
-            if len(rest):
-                rest = rest[_may_link(own_n[i], own_n[rest], sketches.differ(i, rest))]
-                found.update((a + i, a + k) for k in rest.tolist())
-    pairs = {tuple(sorted(((node[i], n[i]), (node[k], n[k])))) for i, k in found}
-    return pd.DataFrame([(u, v, n_u, n_v) for (u, n_u), (v, n_v) in pairs], columns=["u", "v", "n_u", "n_v"])
+        sketches, own, own_n, own_root = _Sketches(bits[a:b]), number[a:b], n[a:b], root[a:b]
+        pairs = _all_near(sketches, own_n, own_root) if every else ([np.array(p) for p in zip(*_forest(sketches, own_n, own_root))],)
+        for u, v in filter(len, pairs):
+            u, v = own[u], own[v]
+            found.append(np.minimum(u, v) * len(names) + np.maximum(u, v))
+    u, v = np.divmod(np.unique(np.concatenate(found)), max(1, len(names)))
+    size = np.zeros(len(names), np.int64)
+    size[number] = n
+    swap = names[u] > names[v] if len(u) else np.zeros(0, bool)
+    u, v = np.where(swap, v, u), np.where(swap, u, v)
+    return pd.DataFrame({"u": names[u], "v": names[v], "n_u": size[u], "n_v": size[v]})
 
 
 def _with_sketches(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -360,8 +403,11 @@ def _with_sketches(pairs: DataFrame, known: DataFrame) -> DataFrame:
     return pairs
 
 
-def _apart(members: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs that share a signature, are in different components and may link, as (u, v, n_u, n_v)."""
+def _apart(members: DataFrame, known: DataFrame, roots: DataFrame, every: bool) -> tuple[DataFrame, DataFrame]:
+    """Pairs that share a signature, are in different components and may link, as (u, v, n_u, n_v): all, or a forest.
+
+    Also the members of signatures that more than one component has.
+    """
     of = known.select("key", "node").join(roots, "node", "left")
     of = of.select("key", F.xxhash64(F.coalesce("root", "node")).alias("root"))
     members = members.select("sig", "key").join(of, "key")
@@ -374,9 +420,11 @@ def _apart(members: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
     two = _near(_with_sketches(groups.where("size = 2").select("key", "other").distinct(), known))
     # Signatures with the same members are compared once.
     more = groups.where("size > 2").groupBy("size", "key", "other", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
-    open_ = members.join(more, "sig").join(known.select("key", "node", "n", "bits"), "key")
+    apart = written(members.join(more, "sig"), "apart")
+    open_ = apart.join(known.select("key", "node", "n", "bits"), "key")
     open_ = open_.select(F.shiftright("sig", 32).alias("part"), "sig", "root", "node", "n", "bits")
-    return two.union(open_.groupBy("part").applyInPandas(_compare, "u binary, v binary, n_u long, n_v long")).distinct()
+    compared = open_.groupBy("part").applyInPandas(lambda rows: _compare(rows, every), "u binary, v binary, n_u long, n_v long")
+    return two.union(compared).distinct(), apart
 
 
 def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -398,9 +446,14 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     links = _linked(compared, docs, known)
     roots = written(components(links), "roots")
 
-    left = _apart(members, known, roots).join(compared.select("u", "v"), ["u", "v"], "left_anti")
-    more = _linked(left, docs, known)
-    roots = written(components(links.union(more)), "roots")
+    for every in (False, True):
+        left, members = _apart(members, known, roots, every)
+        left = written(left.join(compared.select("u", "v"), ["u", "v"], "left_anti"), "left")
+        if left.isEmpty():
+            continue
+        compared = compared.select("u", "v").union(left.select("u", "v"))
+        links = links.union(_linked(left, docs, known))
+        roots = written(components(links), "roots")
 
     least = known.groupBy("node").agg(F.min("doc_id").alias("least"))
     grouped = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -99,6 +99,72 @@ def test_jaccard_groups(docs):
     assert collections.Counter(map(tuple, jaccard.link_groups(docs).collect())) == expected
 
 
+def grouped(rows):
+    """Brute force: doc to the smallest doc reachable by links."""
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 100 * len(a & sets[j]) >= 75 * len(a | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        least[find(i)] = min(doc, least.get(find(i), doc))
+    return {doc: least[find(i)] for i, (doc, _) in enumerate(rows)}
+
+
+@pytest.mark.parametrize("centre", ["first", "last", "absent"])
+@pytest.mark.parametrize("changes", [1, 2, 3])
+def test_jaccard_ball_of_near_copies(spark, monkeypatch, centre, changes):
+    """Each text a few words from one text: the work and the links must not hang on that text being there."""
+    r = random.Random(changes)
+    base = [f"w{r.randrange(10_000)}" for _ in range(150)]
+    texts = []
+    for _ in range(90):
+        words = list(base)
+        for at in r.sample(range(150), changes):
+            words[at] = f"x{r.randrange(10_000)}"
+        texts.append(" ".join(words))
+    texts = {"first": [" ".join(base), *texts], "last": [*texts, " ".join(base)], "absent": texts}[centre]
+    rows = list(enumerate(texts))
+    emitted, linked = [], jaccard._linked
+    monkeypatch.setattr(jaccard, "_linked", lambda pairs, *rest: (emitted.append(pairs.count()), linked(pairs, *rest))[1])
+    found = jaccard.link_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {x["doc_id"]: x["component_id"] for x in found} == grouped(rows)
+    if changes < 3:  # all of one component: a forest is enough
+        assert sum(emitted) < 6 * len(rows)
+
+
+def test_forest_joins_what_all_pairs_join():
+    r = np.random.default_rng(5)
+    for _ in range(60):
+        m = int(r.integers(2, 25))
+        sets = [np.unique(r.integers(0, 40, int(r.integers(8, 20))).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(m)]
+        sketches, n = jaccard._Sketches([jaccard._sketch(s) for s in sets]), np.array([len(s) for s in sets])
+        root = r.integers(0, m, m)
+        pairs = [(int(u), int(v)) for us, vs in jaccard._all_near(sketches, n, root) for u, v in zip(us, vs)]
+        forest = list(jaccard._forest(sketches, n, root))
+        assert {tuple(sorted(p)) for p in forest} <= set(pairs)
+
+        def closed(edges):
+            label = {x: x for x in range(m)} | {}
+            for u, v in [*edges, *((i, j) for i in range(m) for j in range(i) if root[i] == root[j])]:
+                a, b = label[u], label[v]
+                label = {x: (a if y == b else y) for x, y in label.items()}
+            return label
+
+        assert {frozenset(x for x in range(m) if c[x] == y) for c in (closed(forest),) for y in c.values()} == {
+            frozenset(x for x in range(m) if c[x] == y) for c in (closed(pairs),) for y in c.values()
+        }
+        assert len(forest) < len(np.unique(root))
+
+
 @pytest.mark.parametrize("low,high", [(1, 1), (2, 2), (3, 3), (4, 5), (9, 12), (40, 59), (300, 449)])
 def test_linked_sets_share_a_signature(low, high):
     rng, band = np.random.default_rng(low), jaccard.Band(low, high)
