@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from html.parser import HTMLParser
@@ -54,6 +55,8 @@ _SCOPE = set("table ul ol dl div section article main body td th".split())
 _SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 _SAME_SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}}
 _TOKEN = re.compile(r"[a-z]+")
+#: What a page may end in the middle of: a comment or declaration, or a tag.
+_UNFINISHED = re.compile(r"<(?:([!?])|/?[a-zA-Z])")
 
 
 class Page(HTMLParser):
@@ -65,12 +68,27 @@ class Page(HTMLParser):
         self.blocks: list[tuple[int, str, int]] = []
         self.links = [0]  # elements in links, by element
         self._open = [("html", 0)]  # inline elements have the number of the block they are in
+        self._count = Counter({"html": 1})  # of open elements, by tag
         self._text: list[str] = []
         self._linked = self._hidden = self._in_link = 0
         self.feed(html)
+        while unfinished := _UNFINISHED.match(self.rawdata):
+            # As in a browser, a comment without end reaches to the end; a tag's quote without end, to the next bracket.
+            end = -1 if unfinished[1] else self.rawdata.find(">")
+            self.rawdata = self.rawdata[end + 1 :] if end >= 0 else ""
+            self.goahead(0)
         self.close()
         self._end_block()
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """``<![name[`` is a comment up to the next bracket, in pages that are not XML."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
+    def _enter(self, tag: str, node: int) -> None:
+        self._open.append((tag, node))
+        self._count[tag] += 1
+
     def updatepos(self, i: int, j: int) -> int:
         return j  # line numbers are not asked for
 
@@ -87,9 +105,12 @@ class Page(HTMLParser):
         for tag, _ in self._open[depth:]:
             self._hidden -= tag in HIDDEN
             self._in_link -= tag == "a"
+            self._count[tag] -= 1
         del self._open[depth:]
 
     def _close_open(self, wanted: set[str], scope: set[str]) -> None:
+        if not any(self._count[tag] for tag in wanted):
+            return
         for depth in range(len(self._open) - 1, 0, -1):
             tag = self._open[depth][0]
             if tag in wanted:
@@ -102,7 +123,7 @@ class Page(HTMLParser):
             self._pop_to(len(self._open) - 1)
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        if tag in ("html", "body") and any(t == tag for t, _ in self._open):
+        if tag in ("html", "body") and self._count[tag]:
             return
         if tag not in HEAD:
             self._end_head()
@@ -121,7 +142,7 @@ class Page(HTMLParser):
         if tag == "a":
             self._close_open({"a"}, _SCOPE)
         if tag in INLINE:
-            self._open.append((tag, self._open[-1][1]))
+            self._enter(tag, self._open[-1][1])
             self._in_link += tag == "a"
             self.links[self._open[-1][1]] += tag == "a"
             return
@@ -133,12 +154,12 @@ class Page(HTMLParser):
         spaced = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", values)
         self.tokens.append(_TOKEN.findall(spaced.lower()))
         self.links.append(0)
-        self._open.append((tag, len(self.tags) - 1))
+        self._enter(tag, len(self.tags) - 1)
         self._hidden += tag in HIDDEN
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         # The slash means nothing in HTML; svg, math and what is in them end with it.
-        ends = tag in FOREIGN or any(t in FOREIGN for t, _ in self._open)
+        ends = tag in FOREIGN or any(self._count[t] for t in FOREIGN)
         self.handle_starttag(tag, attrs)
         if ends and tag not in VOID and self._open[-1][0] == tag:
             self._pop_to(len(self._open) - 1)
@@ -148,6 +169,8 @@ class Page(HTMLParser):
             return
         if tag == "br":
             self._text.append(" ")
+        if not self._count[tag]:
+            return
         for depth in range(len(self._open) - 1, 0, -1):
             if self._open[depth][0] == tag:
                 return self._pop_to(depth)

@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revcat.llm.common import small_batches, whole_text
+from revcat.llm.common import small_batches, unused, whole_text
 from revcat.llm.components import components
 from revcat.session import written
 
@@ -470,6 +470,7 @@ def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows that repeat a staying identifier stay too; so do rows without words or identifier.
     """
     groups = link_groups(docs, id_col, text_col)
-    stays = written(groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("stays_")).distinct(), "stays")
+    name = unused("stays_", docs.columns)
+    stays = written(groups.where("doc_id <=> component_id").select(F.col("doc_id").alias(name)).distinct(), "stays")
     stays = F.broadcast(stays) if stays.count() <= BROADCAST_IDS else stays
-    return docs.join(stays, F.col(id_col).cast("long").eqNullSafe(F.col("stays_")), "left_semi")
+    return docs.join(stays, F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col(name)), "left_semi")

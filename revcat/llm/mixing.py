@@ -128,8 +128,8 @@ def _taken_blocks(blocks: DataFrame, sources: DataFrame, seed: int) -> DataFrame
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 1) -> DataFrame:
     """One row per document: doc_id, size, source_size, target (of its source), taken (words)."""
-    size = F.regexp_count(whole_text(text_col), F.lit(WORD)).cast("long")
-    sized = written(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size.alias("size")), "mix")
+    size = F.regexp_count(whole_text(f"`{text_col}`"), F.lit(WORD)).cast("long")
+    sized = written(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size")), "mix")
     sources = written(targets(sized), "mix-sources")
     packed = written(_packed(sized, sources), "mix-packed")
     streams = packed.groupBy("number_", "stream").agg(F.ceil(F.sum("size") / BLOCK_WORDS).alias("n_blocks"))
@@ -157,10 +157,12 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
 
     A document that is taken x times its size appears floor(x) times, and once
     more with probability x - floor(x), by a hash of its identifier. Rows that
-    repeat an identifier share one x; a null identifier counts as one.
+    repeat an identifier share one x; a null identifier counts as one. Columns may
+    have any name.
     """
     parts = mix(docs, id_col, text_col, source_col, seed).groupBy("doc_id").agg((F.sum("taken") / F.sum(F.greatest("size", F.lit(1)))).alias("x"))
     copies = F.floor(F.col("x") + uniform(F.lit(seed), F.lit("copies"), F.col("doc_id"))).cast("int")
-    chosen = parts.select(F.col("doc_id").alias("id_"), copies.alias("copies_")).where("copies_ > 0")
-    rows = docs.join(chosen, F.col(id_col).eqNullSafe(F.col("id_")))
-    return rows.select(*[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("copies_"))).alias("copy_")).drop("copy_")
+    chosen = parts.select(F.col("doc_id").alias("chosen"), copies.alias("copies")).where("copies > 0")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(f"`{id_col}`").alias("id"))
+    rows = rows.join(chosen, F.col("id").eqNullSafe(F.col("chosen")))
+    return rows.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

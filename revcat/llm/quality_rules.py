@@ -249,12 +249,22 @@ def _best(at: dict, cuts: dict) -> Condition | None:
 
 
 def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
-    """``docs`` with ``quality_`` (features and base_failed), ``rule_`` (first that fits) and ``kept_``."""
-    judged = bind(with_features(docs, text_col), rule_=rejects(rules))
+    """``docs`` with ``quality_`` (features and base_failed), ``rule_`` (first that fits) and ``kept_``.
+
+    Only these three names may not be among the columns of ``docs``.
+    """
+    if taken := {"quality_", "rule_", "kept_"} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"columns have names of the result: {sorted(taken)}")
+    return _judged(docs, rules, text_col).select("row.*", "quality_", "rule_", "kept_")
+
+
+def _judged(docs: DataFrame, rules: list[Rule], text_col: str) -> DataFrame:
+    """``row`` (all columns, which may have any name, as a struct), quality_, rule_ and kept_."""
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), whole_text(f"`{text_col}`").alias("text"))
+    judged = bind(with_features(packed), rule_=rejects(rules))
     return judged.withColumn("kept_", ~F.col("quality_.base_failed") & F.col("rule_").isNull())
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the base rule and the learned rules keep, with their own columns."""
-    kept = judge(docs, learn(docs, labels, id_col, text_col), text_col)
-    return kept.where("kept_").drop("quality_", "rule_", "kept_")
+    """The rows of ``docs`` that the base rule and the learned rules keep, with their own columns, whatever their names."""
+    return _judged(docs, learn(docs, labels, id_col, text_col), text_col).where("kept_").select("row.*")

@@ -452,6 +452,78 @@ def test_empty_tables(spark, none):
     assert [r.count() for r in results] == [0] * len(results)
 
 
+INTERNAL = "quality_ words_ lines_ counts_ rule_ kept_ copy_ copies_ id_ stays_ id row text_ at block node a.b".split()
+
+
+@pytest.mark.parametrize("stage", ["quality", "exact", "jaccard", "mixing"])
+def test_stages_with_clashing_names(spark, stage):
+    """Every column comes out of a stage as it went in, whatever its name."""
+    plain = [(i, t, s) for i, t, s, *_ in corpus()[:60]]
+    extra = ", ".join(f"`{c}` string" for c in INTERNAL)
+    docs = spark.createDataFrame([(*row, *(f"{c}{row[0]}" for c in INTERNAL)) for row in plain], f"doc_id long, text string, source string, {extra}")
+    labels = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, quality int")
+    run = {
+        "quality": lambda: quality_rules.quality_filter(docs, labels), "exact": lambda: exact_dedup.exact_dedup(docs),
+        "jaccard": lambda: jaccard.one_of_each_group(docs), "mixing": lambda: mixing.mixture(docs),
+    }[stage]
+    kept = run()
+    assert kept.columns == docs.columns
+    rows = kept.collect()
+    assert rows and all([r[c] for c in INTERNAL] == [f"{c}{r['doc_id']}" for c in INTERNAL] for r in rows)
+
+
+def test_judge_refuses_names_of_its_result(spark):
+    with pytest.raises(ValueError):
+        quality_rules.judge(spark.createDataFrame([("a", 1)], "text string, Kept_ int"), [])
+
+
+def test_tag_soup_never_fails():
+    r = random.Random(9)
+    parts = ["<p>", "</p>", "<div class='x'>", "</div>", "<![foo[ y ]]>", "<![CDATA[z]]>", "<![", "<!--", "-->", "<!", "<!doctype", "<?", "<a href=\"",
+             "\"", "'", ">", "<", "</", "<b", "&amp;", "&#x", "&#99999999;", "text ", "\x00", "<svg/>", "</svg>", "<script>", "</script>", "<td>", "<li>",
+             "</nope>", "<math>", "<head>", "<body>", "</html>", "<title>", "]]>", "<p/", "é"]
+    for _ in range(4000):
+        html = "".join(r.choice(parts) for _ in range(r.randint(0, 25)))
+        page = html_text.Page(html)
+        assert len(page.parents) == len(page.tags) and all(text for _, text, _ in page.blocks), html
+
+
+@pytest.mark.parametrize("html, text", [
+    ("<p>x</p><![foo[ y ]]><p>z</p>", "x z"), ("<p>x</p><!-- a <p>y</p>", "x"), ("<p>x</p><a href='y", "x"),
+    ("<p>x</p><a href=\"y>t</a><p>z</p>", "x t z"), ("<p>x</p></p", "x"), ("<p>1 < 2</p> <", "1 < 2 <"),
+])
+def test_unfinished_markup_is_no_text(html, text):
+    assert " ".join(t for _, t, _ in html_text.Page(html).blocks) == text
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    def seconds(n):
+        start = time.process_time()
+        html_text.Page("<div>" * n + "</nope>" * n + "<p>a" * n + "</td>" * n)
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(16_000) < 12 * max(seconds(4_000), 0.02)
+
+
+def test_kept_nodes_is_the_best_labelling():
+    r = np.random.default_rng(2)
+    for _ in range(200):
+        n = int(r.integers(1, 9))
+        parents = [-1, *(int(r.integers(0, i)) for i in range(1, n))]
+        odds = r.normal(size=n) * 2
+        keep, drop = -np.logaddexp(0, -odds), -np.logaddexp(0, odds)
+
+        def worth(kept):
+            return sum(keep[i] if kept[i] else drop[i] for i in range(1, n))
+
+        every = [[bool(bits >> i & 1) or i == 0 for i in range(n)] for bits in range(1 << n)]
+        valid = [k for k in every if all(k[parents[i]] or not k[i] for i in range(1, n))]
+        assert abs(worth(html_text.kept_nodes(parents, odds)) - max(map(worth, valid))) < 1e-9
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_same_rows_as_sql(spark, name):
     duck = duckdb.connect()
