@@ -5,8 +5,9 @@ to the mean embedding of its character trigrams. Both directions read windows of
 WINDOW words that overlap by WINDOW - STRIDE; attention pools the states of a
 window, and a text scores as its worst window, so every word of a whole text
 counts. Training takes at most MAX_POSITIVE and MAX_NEGATIVE labelled rows, by a
-hash of their identifier, and learns from one window a text and pass: a random one
-at first, then the worst. The first number of a word's embedding starts as its
+hash of their identifier, of texts of at most LONGEST characters, until they have
+MAX_CHARS. It learns from one window a text and pass: a random one at first, then the
+worst of all windows of the whole text. The first number of a word's embedding starts as its
 smoothed log-odds between toxic and other training texts, and embeddings move
 slowly, so that few labels do not teach single words by heart.
 
@@ -24,15 +25,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from revcat.llm.common import small_batches, whole_text
 
 WINDOW, STRIDE = 32, 24
 MAX_POSITIVE, MAX_NEGATIVE = 1500, 2500
-#: Training windows of one text, evenly spread; scoring reads all windows.
-TRAIN_WINDOWS = 40
+#: Bounds of the training sample in characters: of one text, and of all that are collected.
+LONGEST, MAX_CHARS = 500_000, 40_000_000
 WORD_DIM, CHAR_DIM, HIDDEN = 12, 12, 8
 CHAR_ROWS = 1 << 13
 MIN_TEXTS = 3
@@ -216,10 +217,7 @@ def train(texts: list[str], labels: list[int], seed: int = 7) -> Model | None:
     model = Model(vocabulary, w)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
     grams = {x: trigrams(x) for x in {x for words in split for x in words}}
-    starts = []
-    for words in split:
-        at = _windows(len(words))
-        starts.append(at[np.linspace(0, len(at) - 1, min(len(at), TRAIN_WINDOWS)).astype(int)])
+    starts = [_windows(len(words)) for words in split]
     y = np.array(labels, np.float32)
     step, passes = 0, max(PASSES, -(-STEPS * BATCH // len(split)))
     for turn in range(passes):
@@ -310,9 +308,11 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.where(~is_held_out("doc_id")).withColumn("order_", F.xxhash64(F.lit("toxic"), F.col("doc_id")))
     some = [known.where(c).orderBy("order_", "doc_id").limit(n) for c, n in (("toxic = 1", MAX_POSITIVE), ("toxic = 0", MAX_NEGATIVE))]
     sample = some[0].union(some[1]).select(F.col("doc_id").alias("id_"), "toxic")
-    one = docs.select(F.col(id_col).alias("id_"), whole_text(text_col).alias("text_"))
+    one = docs.select(F.col(f"`{id_col}`").alias("id_"), whole_text(f"`{text_col}`").alias("text_")).where(F.length("text_") <= LONGEST)
     # At most MAX_POSITIVE + MAX_NEGATIVE rows are broadcast, and their texts trained on.
     rows = one.join(F.broadcast(sample), "id_").groupBy("id_").agg(F.max("toxic").alias("toxic"), F.min("text_").alias("text_"))
+    in_turn = Window.orderBy(F.xxhash64("id_"), "id_").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("chars_", F.sum(F.length("text_")).over(in_turn)).where(F.col("chars_") <= MAX_CHARS)
     rows = rows.orderBy("id_").limit(MAX_POSITIVE + MAX_NEGATIVE).collect()
     return train([r["text_"] for r in rows], [r["toxic"] for r in rows])
 

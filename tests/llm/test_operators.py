@@ -433,6 +433,38 @@ def test_toxicity_is_learned():
     assert len(toxicity.score_texts(["", " "], toxicity._Inputs(model))) == 2
 
 
+def test_toxicity_reads_all_windows_of_a_training_text():
+    """The one toxic word lies anywhere in texts of thousands of words."""
+    r = random.Random(6)
+    words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(150)]
+    texts = [[r.choice(words) for _ in range(2500)] for _ in range(40)]
+    labels = [i % 2 for i in range(40)]
+    for text, label in zip(texts, labels):
+        if label:
+            text[r.randrange(len(text))] = "vile"
+    model = toxicity.train([" ".join(t) for t in texts], labels)
+    held = [" ".join(r.choice(words) for _ in range(600)) for _ in range(20)]
+    scores = toxicity.score_texts([t + " vile" if i % 2 else t for i, t in enumerate(held)], toxicity._Inputs(model))
+    assert np.mean((scores >= 0.3) == np.array([i % 2 for i in range(20)], bool)) > 0.9
+
+
+def test_trained_model_in_spark(spark):
+    r = random.Random(5)
+    words = ["".join(r.choice("abcdefgh") for _ in range(5)) for _ in range(150)]
+    texts = [" ".join(r.choice(words) for _ in range(r.randint(1, 60))) + (" vile" if i % 4 == 0 else "") for i in range(300)]
+    rows = [(i, t, "e") for i, t in enumerate(texts)]
+    odd = [(300, None, "e"), (301, "", "e"), (302, " \n", "e"), (303, "vile " * 20_000, "e"), (304, texts[4], "e"), (304, texts[4], "e"), (None, texts[4], "e")]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string, id_ string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(300)], "doc_id long, toxic int")
+    found = {}
+    for x in toxicity.score(docs, toxicity.learn(docs.drop("id_"), labels)).collect():
+        assert x["predicted"] == (x["score"] >= 0.3) and 0 <= x["score"] <= 1
+        assert found.setdefault(x["doc_id"], x["score"]) == x["score"]
+    assert len(found) == 306 and found[300] == found[301] == found[302] < 0.3 < found[303]
+    assert abs(found[304] - found[4]) < 1e-6 and abs(found[None] - found[4]) < 1e-6
+    assert np.mean([(found[i] >= 0.3) == (i % 4 == 0) for i in range(300)]) > 0.95
+
+
 def test_toxicity_without_labels(spark, docs):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     rows = toxicity.score(docs, toxicity.learn(docs, labels)).collect()
