@@ -231,7 +231,7 @@ oracle(
     newest("v", "updated DESC NULLS LAST, position DESC", "id, updated, position, mag"),
     v=V.duck(V.TIED_REVISIONS),
 )
-for rank in ("latest_revision_window", "stream_latest"):
+for rank in ("latest_revision_window", "stream_latest", "stream_changes"):
     oracle(
         rank,
         newest("v", "updated DESC NULLS LAST, ingested_at DESC, position DESC", REVISED),
@@ -278,7 +278,6 @@ MOVED = SIDES | {"first_two": MERGED, "later": V.duck(V.MOVED), "c": merged("lat
 for merge in ("upsert_window", "upsert_by_id", "upsert_bulk", "upsert_twice", "stream_upsert"):
     oracle(merge, MERGED, **SIDES)
 
-oracle("high_water", "SELECT max(event_time) AS latest FROM c", c=CATALOG)
 MARKS = f"SELECT place, max(event_time) AS latest FROM ({CATALOG}) AS c GROUP BY place"
 oracle(
     "ingest_mode",
@@ -437,6 +436,7 @@ QUESTIONS["arrivals_pivot"] = f"""
       count(*) FILTER (WHERE source = 'feed') AS feed, count(*) FILTER (WHERE source = 'backfill') AS backfill
     FROM c WHERE ingested_at >= {NOW} - interval '8' day GROUP BY 1
     """
+QUESTIONS["high_water"] = "SELECT max(event_time) AS latest FROM c"
 QUESTIONS["source_spans"] = """
     SELECT source, count(*) AS events, min(event_time) AS first_event, max(event_time) AS last_event FROM c GROUP BY source
     """
@@ -557,7 +557,8 @@ def sessions(by: str) -> str:
 
 
 oracle("uptime_sessions", sessions(""), r=LEDGER)
-oracle("stream_sessions", sessions("trigger,"), r=LEDGER)
+for name in ("stream_sessions", "sessions_by_trigger"):
+    oracle(name, sessions("trigger,"), r=LEDGER)
 
 # -- integrity ---------------------------------------------------------------
 
@@ -687,7 +688,11 @@ oracle(
     """,
     c=CATALOG,
 )
-oracle("stream_dedupe", "SELECT id, updated FROM c", c=CATALOG)
+oracle(
+    "stream_dedupe",
+    "SELECT id, updated, status FROM c UNION ALL SELECT id, updated, 'other' AS status FROM c WHERE sig % 10 = 3",
+    c=CATALOG,
+)
 oracle(
     "stream_ledger",
     "SELECT 'stream' AS trigger, 'ok' AS status, CAST(2 AS bigint) AS runs, count(*) AS fetched,"

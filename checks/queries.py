@@ -26,6 +26,7 @@ from revcat.sources.documents import features, read_documents, stream_documents
 from revcat.sources.files import child_names, remove
 from revcat.sources.ledger import RunLedger, run_status
 from revcat.streaming import feeds
+from revcat.streaming.newest import newest_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -493,6 +494,12 @@ def health_verdict_table(spark, sf_dir):
     return health.health_verdict(moved_table(spark, sf_dir), runs(spark, sf_dir), CATALOG_AS_OF)
 
 
+@query
+def high_water_table(spark, sf_dir):
+    """The newest events moved back, so the mark falls."""
+    return liveness.high_water(moved_table(spark, sf_dir))
+
+
 @query
 def source_spans_table(spark, sf_dir):
     return liveness.source_spans(moved_table(spark, sf_dir))
@@ -552,6 +559,13 @@ def delivery_ratio(spark, sf_dir):
     return continuity.delivery_ratio(runs(spark, sf_dir), CATALOG_AS_OF, [*TRIGGERS, "sched-c"])
 
 
+@query
+def sessions_by_trigger(spark, sf_dir):
+    """The stream's sessions, put together from days."""
+    found = continuity.uptime_sessions(runs(spark, sf_dir), by=["trigger"])
+    return found.select("trigger", "session_start", "session_end", "runs")
+
+
 @query
 def uptime_sessions(spark, sf_dir):
     return continuity.uptime_sessions(runs(spark, sf_dir))
@@ -682,6 +696,16 @@ def stream_latest(spark, sf_dir):
     return feeds.drain_complete(newest, scratch_dir(spark, "out"), scratch_dir(spark, "cp"))
 
 
+@query
+def stream_changes(spark, sf_dir):
+    """What keyed state that expires lets through in three micro-batches; the newest of it per id."""
+    rows = V.view(spark, sf_dir, V.REVISIONS)
+    stream = landed(spark, rows, "ingested_at", "position", batches=3)
+    changes = newest_changes(stream, then=("ingested_at", "position"))
+    changes = feeds.drain_changes(changes, scratch_dir(spark, "out"), scratch_dir(spark, "cp"))
+    return latest_revision(changes.drop("batch"), then=["ingested_at", "position"])
+
+
 @query
 def stream_arrivals(spark, sf_dir):
     stream = landed(spark, catalog(spark, sf_dir), "ingested_at", "event_id")
@@ -709,9 +733,11 @@ def stream_late(spark, sf_dir):
 
 @query
 def stream_dedupe(spark, sf_dir):
-    """Every row delivered twice, half an hour apart; repeats dropped on the way."""
+    """Every row delivered twice, half an hour apart, and some equal revisions with other content; repeats dropped."""
     rows = conform(catalog(spark, sf_dir))
+    other = rows.where("sig % 10 = 3").withColumn("status", F.lit("other"))
+    rows = rows.unionByName(other)
     again = rows.withColumn("ingested_at", F.col("ingested_at") + F.expr("interval 30 minutes"))
-    stream = landed(spark, rows.unionByName(again), "ingested_at", "id", batches=1)
-    kept = feeds.suppress_repeats(stream).select("id", "updated")
+    stream = landed(spark, rows.unionByName(again), "ingested_at", "id", batches=3)
+    kept = feeds.suppress_repeats(stream).select("id", "updated", "status")
     return feeds.drain_append(kept, scratch_dir(spark, "out"), scratch_dir(spark, "cp"))

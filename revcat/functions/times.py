@@ -17,6 +17,11 @@ def instant(value: dt.datetime | str) -> Column:
     return F.lit(f"{value}").cast("timestamp")
 
 
+def utc(micros: int | None) -> dt.datetime | None:
+    """The instant so many microseconds after 1970, as Python has it."""
+    return None if micros is None else dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
+
+
 def days_before(as_of: dt.datetime | str, days: int) -> dt.datetime:
     day = dt.datetime.fromisoformat(as_of) if isinstance(as_of, str) else as_of
     return day - dt.timedelta(days=days)

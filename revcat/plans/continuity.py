@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -169,7 +171,10 @@ def delivery_ratio(
     )
 
 
-def uptime_sessions(runs: DataFrame, max_gap: str = "20 minutes") -> DataFrame:
-    """Unbroken stretches of runs: (session_start, session_end, runs)."""
-    ticks = runs.groupBy("started_at").agg(F.count(F.lit(1)).alias("n"))
-    return runs_of(written(ticks, "ticks"), "started_at", max_gap, "n").withColumnRenamed("rows", "runs")
+def uptime_sessions(runs: DataFrame, max_gap: str = "20 minutes", by: Sequence[str] = ()) -> DataFrame:
+    """Unbroken stretches of runs, per key (of the same scheduler, for example): (*by, session_start, session_end, runs).
+
+    The rule of the stream's sessions: a run at most ``max_gap`` after the one before it belongs to its session.
+    """
+    ticks = runs.groupBy(*by, "started_at").agg(F.count(F.lit(1)).alias("n"))
+    return runs_of(written(ticks, "ticks"), "started_at", max_gap, "n", by).withColumnRenamed("rows", "runs")

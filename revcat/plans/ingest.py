@@ -8,10 +8,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revcat.functions.times import instant
+from revcat.functions.times import instant, utc
 from revcat.operators import ranges
 from revcat.operators.normalize import normalize
 from revcat.operators.revisions import integrity
+from revcat.plans.liveness import high_water
 from revcat.schema import conform, split_required
 from revcat.sources.catalog import CatalogTable
 from revcat.sources.documents import broken_documents, read_documents
@@ -33,14 +34,10 @@ def feed_snapshot(events: DataFrame, as_of, window: str = "all_day") -> DataFram
 
 
 def decide(table: CatalogTable, as_of: dt.datetime, **limits) -> tuple[str, dt.datetime | None, dt.datetime | None]:
-    """(mode, window_start, window_end) of the run that starts at ``as_of``."""
-    latest = table.high_water()
-    hours = limits.get("threshold_hours", ranges.BACKFILL_AFTER_HOURS)
-    if latest is None or as_of - latest <= dt.timedelta(hours=hours):
-        return "feed", None, None
-    start = latest - dt.timedelta(hours=limits.get("overlap_hours", ranges.OVERLAP_HOURS))
-    longest = dt.timedelta(days=limits.get("max_days", ranges.MAX_BACKFILL_DAYS))
-    return "backfill", start, min(as_of, start + longest)
+    """(mode, window_start, window_end) of the run that starts at ``as_of``: the first of the windows that catch up."""
+    windows = ranges.catchup_windows(high_water(table), as_of, **limits).where("window_no = 0")
+    first = windows.select("mode", F.unix_micros("window_start"), F.unix_micros("window_end")).first()
+    return (first[0], utc(first[1]), utc(first[2])) if first else ("feed", None, None)
 
 
 def _set_aside(bad: DataFrame, path: str, run_id: str) -> None:

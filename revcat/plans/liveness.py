@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revcat.functions.numbers import round_half_away
-from revcat.functions.times import days_before, instant, whole
+from revcat.functions.times import days_before, instant, utc, whole
 from revcat.operators.arrivals import each_event
 from revcat.operators.instants import previous_instant
 from revcat.session import written
@@ -45,6 +45,11 @@ def freshness(catalog: CatalogTable | DataFrame, as_of) -> DataFrame:
     )
 
 
+def high_water(catalog: CatalogTable | DataFrame) -> DataFrame:
+    """One row: the newest event time held, NULL when there is none."""
+    return arrived(catalog).agg(F.max("newest_event").alias("latest"))
+
+
 def recent_pickup_lag(catalog: CatalogTable | DataFrame, as_of, days: int = 2, top: int = 10) -> DataFrame:
     """The newest events and the minutes it took to pick each up; a stored table opens those months only."""
     recent = opened(catalog, days_before(as_of, days)).where(F.col("event_time") >= instant(as_of) - F.expr(f"interval {days} days"))
@@ -101,7 +106,7 @@ def seam_check(catalog: CatalogTable | DataFrame, bulk: str = "seed", days: int
     bulk_last, later_first = (F.timestamp_micros(F.lit(t).cast("bigint")) for t in found)
     margin = F.expr(f"interval {days} days")
     if isinstance(catalog, CatalogTable):
-        known = [dt.datetime.fromtimestamp(t / 1e6, dt.timezone.utc) for t in found if t is not None]
+        known = [utc(t) for t in found if t is not None]
         day = dt.timedelta(days=days + 1)
         catalog = catalog.scan(min(known) - day, max(known) + day) if known else catalog.scan()
     near = catalog.where(

@@ -29,6 +29,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from revcat.functions.times import instant, month_key
+from revcat.functions.times import instant, month_key, utc
 from revcat.operators.arrivals import ARRIVALS, each_event, summed
 from revcat.operators.revisions import latest_revision, outcome
 from revcat.schema import EVENTS, as_nullable, conform, enforce_required
@@ -45,6 +46,7 @@ from revcat.sources import files
 SLICE = ["event_month", "id_bucket"]
 BROADCAST_BYTES = 32 << 20  # largest set of batch ids sent to every executor
 PUSHED_IDS = 1_000  # largest set of batch ids pushed into the scan as a filter
+FILTERED_IDS = 64_000_000  # most batch ids that a Bloom filter is made of
 ARRIVAL_FOLDERS = 32  # folders of sums a snapshot lists before they are joined into one
 
 
@@ -159,7 +161,7 @@ class CatalogTable:
         live = self.slices()
         newest = max((month for month, _ in live), default=None)
         rows = self._read({k: v for k, v in live.items() if k[0] == newest})
-        return _utc(rows.agg(F.unix_micros(F.max("event_time"))).first()[0])
+        return utc(rows.agg(F.unix_micros(F.max("event_time"))).first()[0])
 
     def arrivals(self) -> DataFrame:
         """Sums per slice, instant of arrival and source; the events are not opened."""
@@ -268,7 +270,8 @@ class CatalogTable:
                 measured = _counted(kept_newest)
             effect = Observation()
             changes = self._changes(newest, live, within, null_is_oldest, bulk, measured)
-            changes = self._staged(changes.observe(effect, *_effect()), f"{staging}/changes")
+            with filtered_scans(self.spark, measured):
+                changes = self._staged(changes.observe(effect, *_effect()), f"{staging}/changes")
             touched, inserted, updated = _extent(_counted(effect))
             if not touched:
                 return Upserted(snapshot=version, **_measured(came, kept_newest))
@@ -323,7 +326,7 @@ class CatalogTable:
                     F.unix_micros(F.timestamp_micros(F.lit(ends["first"])) - margin),
                     F.unix_micros(F.timestamp_micros(F.lit(ends["last"])) + margin),
                 ).first()
-                first, last = _month_of(_utc(low)), _month_of(_utc(high))
+                first, last = _month_of(utc(low)), _month_of(utc(high))
                 # Whole months: a slice is rewritten whole, so all its rows must be matched.
                 live = {k: v for k, v in live.items() if first <= k[0] <= last}
                 months = [F.date_trunc("MONTH", F.timestamp_micros(F.lit(t))) for t in (low, high)]
@@ -345,13 +348,17 @@ class CatalogTable:
 
         A few ids go into the scan as a filter: files are ordered by id, so
         Parquet skips the pages that cannot hold them. More are broadcast, if
-        their measured size allows; otherwise the join that follows does it.
+        their measured size allows. Still more meet in a shuffle, of which a Bloom filter
+        of the ids (``filtered_scans``) spares the rows that cannot match; the bound on the
+        ids, which leaves none out, is what makes the optimizer consider one.
         """
-        measured = measured if measured is not None else ids.agg(F.count(F.lit(1)).alias("ids"), _id_bytes()).first().asDict()
+        measured = measured if measured is not None else ids.agg(*_ids()).first().asDict()
         if measured.get("ids", 0) <= PUSHED_IDS:
             return stored.where(F.col("id").isin([r.id for r in ids.collect()]))
         if measured["id_bytes"] <= BROADCAST_BYTES:
             return stored.join(F.broadcast(ids), "id", "left_semi")
+        if measured["ids"] <= FILTERED_IDS:
+            return stored.join(ids.where(F.col("id") >= F.lit(measured["least"])), "id", "left_semi")
         return stored
 
     def _write(self, content: DataFrame, attempt: str) -> dict:
@@ -383,15 +390,43 @@ def opened(catalog: CatalogTable | DataFrame, start=None, calendar_months: set[i
     return catalog.scan(start, calendar_months=calendar_months) if isinstance(catalog, CatalogTable) else catalog
 
 
-def _id_bytes():
-    return F.sum(F.octet_length("id") + F.lit(64)).alias("id_bytes")
+def _ids() -> list:
+    return [
+        F.count(F.lit(1)).alias("ids"),
+        F.min("id").alias("least"),
+        F.sum(F.octet_length("id") + F.lit(64)).alias("id_bytes"),
+    ]
+
+
+@contextmanager
+def filtered_scans(spark: SparkSession, measured: dict | None):
+    """Lets a scan be filtered by the ids of a batch too large to broadcast, for queries planned inside."""
+    ids = (measured or {}).get("ids", 0)
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    wanted = {
+        f"{prefix}.enabled": "true",
+        f"{prefix}.applicationSideScanSizeThreshold": "0",
+        f"{prefix}.creationSideThreshold": str(64 * FILTERED_IDS),
+        f"{prefix}.expectedNumItems": str(max(1, ids)),
+        f"{prefix}.maxNumItems": str(FILTERED_IDS),
+        f"{prefix}.maxNumBits": str(8 * FILTERED_IDS),
+    }
+    if not 0 < ids <= FILTERED_IDS or measured["id_bytes"] <= BROADCAST_BYTES:
+        wanted = {}
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def _batch() -> list:
     """What the pass that stages a batch counts on the way."""
     return [
-        F.count(F.lit(1)).alias("ids"),
-        _id_bytes(),
+        *_ids(),
         F.min(F.unix_micros("event_time")).alias("first"),
         F.max(F.unix_micros("event_time")).alias("last"),
     ]
@@ -417,7 +452,7 @@ def _counted(observation: Observation) -> dict:
 
 def _measured(came: Observation, newest: Observation) -> dict:
     ends = _counted(newest)
-    return {"fetched": _counted(came).get("fetched", 0), "first": _utc(ends.get("first")), "last": _utc(ends.get("last"))}
+    return {"fetched": _counted(came).get("fetched", 0), "first": utc(ends.get("first")), "last": utc(ends.get("last"))}
 
 
 def _extent(effect: dict) -> tuple[set, int, int]:
@@ -425,12 +460,6 @@ def _extent(effect: dict) -> tuple[set, int, int]:
     return touched, effect.get("inserted", 0), effect.get("updated", 0)
 
 
-def _utc(micros: int | None) -> dt.datetime | None:
-    if micros is None:
-        return None
-    return dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(microseconds=micros)
-
-
 def _month_of(value) -> str | None:
     if value is None:
         return None

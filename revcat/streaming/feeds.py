@@ -8,11 +8,13 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from revcat.operators.normalize import normalize
 from revcat.operators.revisions import latest_revision_state
 from revcat.schema import split_required
+from revcat.sources import files
 from revcat.sources.catalog import CatalogTable
 from revcat.sources.ledger import RunLedger, utc_now
 
@@ -20,13 +22,13 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 @contextmanager
-def state_settings(spark: SparkSession, partitions: int | None = None):
+def state_settings(spark: SparkSession, partitions: int | None = None, **more: str):
     """Settings for a stateful query started inside: state in RocksDB, a partition per core.
 
     A stream's shuffles do not adapt to their size, and their number stays
-    fixed for the life of a checkpoint.
+    fixed for the life of a checkpoint. ``more`` keys use ``_`` for ``.``.
     """
-    wanted = {
+    wanted = {key.replace("_", "."): value for key, value in more.items()} | {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
         "spark.sql.shuffle.partitions": str(partitions or spark.sparkContext.defaultParallelism),
     }
@@ -115,15 +117,17 @@ class IdleRecorder(StreamingQueryListener):
         self.followed.discard(str(event.runId))
 
 
-def suppress_repeats(rows: DataFrame, delay: str = "24 hours") -> DataFrame:
-    """Drop exact re-deliveries of a revision seen within ``delay``.
+def suppress_repeats(rows: DataFrame, delay: str = "24 hours", arrival: str = "ingested_at") -> DataFrame:
+    """Drop exact re-deliveries of a row seen within ``delay``: equal in every column but the time of ``arrival``.
 
-    The watermark is on the time of the micro-batch, which no row is ever behind:
+    Equal revisions that differ in content both come through, so the upsert can take the later
+    one. The watermark is on the time of the micro-batch, which no row is ever behind:
     on a time that rows carry it would drop the late ones, though they are new. A
     repeat after ``delay`` comes through, and the upsert ignores it.
     """
-    timed = rows.withColumn("seen_at_", F.current_timestamp()).withWatermark("seen_at_", delay)
-    return timed.dropDuplicatesWithinWatermark(["id", "updated"]).drop("seen_at_")
+    content = F.sha2(F.to_json(F.struct(*[c for c in rows.columns if c != arrival]), {"ignoreNullFields": "false"}), 256)
+    timed = rows.withColumns({"seen_at_": F.current_timestamp(), "content_": content}).withWatermark("seen_at_", delay)
+    return timed.dropDuplicatesWithinWatermark(["content_"]).drop("seen_at_", "content_")
 
 
 def latest_state(rows: DataFrame, then: tuple[str, ...] = ()) -> DataFrame:
@@ -186,3 +190,23 @@ def drain_append(result: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run a stream over what has landed in append mode; its output as a table."""
     _drained(result, result.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint)
     return result.sparkSession.read.schema(result.schema).parquet(path)
+
+
+def drain_changes(result: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Run a stream that puts out changes over what has landed; all changes as a table.
+
+    Batches without data would go on for ever, as state that expires by the clock waits for them.
+    """
+
+    def save(changes: DataFrame, batch_id: int) -> None:
+        changes.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    spark = result.sparkSession
+    writer = result.writeStream.outputMode("update").foreachBatch(save).option("checkpointLocation", checkpoint)
+    with state_settings(spark, spark_sql_streaming_noDataMicroBatches_enabled="false"):
+        query = writer.trigger(availableNow=True).start()
+    query.awaitTermination()
+    layout = T.StructType([*result.schema, T.StructField("batch", T.LongType())])
+    if not files.child_names(spark, path):
+        return spark.createDataFrame([], layout)
+    return spark.read.schema(layout).parquet(path)

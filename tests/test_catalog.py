@@ -338,3 +338,26 @@ def test_upsert_reports_its_batch(table, event, events):
     batch = [event("a", "2024-01-02 00:00:00"), event("b", "2024-03-01 00:00:00"), event("b", "2024-04-01 00:00:00", updated=None)]
     done = table.upsert(events(batch))
     assert (done.fetched, done.first, done.last) == (3, utc("2024-01-02 00:00:00"), utc("2024-03-01 00:00:00"))
+
+
+def test_mid_size_batch_filters_the_scan(spark, table, event, events, monkeypatch):
+    """Ids too many to broadcast: only rows that a Bloom filter of them lets pass are shuffled."""
+    monkeypatch.setattr(catalog, "PUSHED_IDS", 0)
+    monkeypatch.setattr(catalog, "BROADCAST_BYTES", 0)
+    table.upsert(events([event(f"e{i}", mag=1.0) for i in range(300)]))
+    batch = events([event(f"e{i}", updated="2024-03-01 00:00:00", mag=2.0) for i in range(290, 310)])
+    measured = {"ids": 20, "least": "e290", "id_bytes": 20 * 68}
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staged = table._staged(table._placed(batch), f"{table.root}/staging/x")
+        with catalog.filtered_scans(spark, measured):
+            changes = table._changes(staged, table.slices(), None, False, False, measured)
+            plan = changes._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan
+        done = table.upsert(batch)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before["spark.sql.autoBroadcastJoinThreshold"])
+    assert (done.inserted, done.updated) == (10, 10)
+    assert table.scan().where("mag = 2.0").count() == 20 and table.scan().count() == 310
+    assert {k: spark.conf.get(k) for k in before} == before

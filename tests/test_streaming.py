@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 
@@ -8,6 +9,7 @@ from revcat.sources.catalog import CatalogTable
 from revcat.sources.documents import stream_documents
 from revcat.sources.ledger import RunLedger
 from revcat.streaming import feeds
+from revcat.streaming.newest import newest_changes
 
 
 @pytest.fixture
@@ -134,3 +136,35 @@ def test_idle_triggers_are_recorded(spark, tmp_path, table, landing, event):
         spark.streams.removeListener(listener)
     states = {r.status: r["count"] for r in ledger.read().groupBy("status").count().collect()}
     assert states["ok"] == 1 and states["no_new_data"] >= 1
+
+
+def test_changes_only(spark, tmp_path):
+    """Newer revisions come through once per micro-batch; equal, older and missing ones do not."""
+    schema = "id string, updated timestamp, n int, `_odd` string"
+    day = [utc(f"2024-01-0{k} 00:00:00") for k in range(1, 8)]
+    batches = [
+        [("a", day[2], 1, "x"), ("a", day[1], 2, "x"), ("b", None, 3, None), (None, day[1], 4, "x")],
+        [("a", day[2], 5, "x"), ("a", day[0], 6, "x"), ("b", None, 7, "x"), ("c", day[1], 8, "x")],
+        [("a", day[4], 9, "x"), ("a", day[5], 10, "x"), ("b", day[0], 11, "y"), ("c", None, 12, "x")],
+    ]
+    seen = []
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        out = feeds.drain_changes(newest_changes(stream), str(tmp_path / "out"), str(tmp_path / "cp"))
+        found = sorted((r.id, r.n, r._odd) for r in out.collect())
+        seen.append([r for r in found if r not in sum(seen, [])])
+    assert seen == [[("a", 1, "x"), ("b", 3, None)], [("c", 8, "x")], [("a", 10, "x"), ("b", 11, "y")]]
+
+
+def test_state_expires(spark, tmp_path):
+    """After its time to live an id counts as new again."""
+    rows = spark.createDataFrame([("a", utc("2024-01-01 00:00:00"))], "id string, updated timestamp").coalesce(1)
+    emitted = []
+    for pause in (0, 0, 4):
+        time.sleep(pause)
+        rows.write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        changes = newest_changes(stream, ttl="3 seconds")
+        emitted.append(feeds.drain_changes(changes, str(tmp_path / "out"), str(tmp_path / "cp")).count())
+    assert emitted[0] == 1 and emitted[-1] > emitted[0]
