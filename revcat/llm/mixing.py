@@ -2,16 +2,14 @@
 
 The texts of a source are packed, in pseudorandom order, into blocks of a fixed
 number of words; long sources are packed as many independent streams, so that no
-window holds a whole source. The mix is a list of output shards of equally many
-slots, give or take one. For each shard the number of slots of each source is drawn
-(multinomial probabilities, systematic draw: a count differs from its expectation
-by less than about one). The points of all shards come from one uniform number for
-the whole mix: point m, at m + u, goes to shard m mod shards (in permuted order), so
-what a shard rounds up another rounds down, and the slots of a source differ from
-its share by less than one in total. The slots of a source are numbered through
-all shards; slot number -> block is a pseudorandom permutation of the source's
-blocks in each pass, and the blocks are joined by that index. No block is taken
-more than twice.
+window holds a whole source. The mix is a list of output shards of SHARD_SLOTS slots
+(the last one of fewer). The slots of each source in the whole mix follow from its
+share, by one uniform number for all sources, to within one slot. Which shards they
+fall into is drawn: all slots are dealt by one pseudorandom permutation, so the
+counts of the sources in a shard are multinomial counts, given their totals, and differ
+from shard to shard. The slots of a source are numbered through all shards; slot number
+-> block is a pseudorandom permutation of the source's blocks in each pass, and the
+blocks are joined by that index. No block is taken more than twice.
 
 A null source is a source of its own, the last one. A null, empty or wordless text
 has size 0 and is never taken. Repeated rows are mixed one by one. An empty table
@@ -93,8 +91,8 @@ def _packed(sized: DataFrame, sources: DataFrame) -> DataFrame:
     return packed.unionByName(rows.where("size = 0").select(*columns, F.lit(0).cast("long").alias("at")))
 
 
-def _taken_blocks(blocks: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
-    """(number_, block, times): how often the mix takes each block."""
+def _slots(blocks: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
+    """(shard, place, number_, slot, block): each slot of the mix, by its source's number and its own number in it."""
     totals = blocks.groupBy("number_").agg(F.sum("n_blocks").alias("n_blocks"))
     rows = sources.join(totals, "number_").where("n_blocks > 0 AND source_size > 0")
     # Slots that give the target on average: the last block of a stream is shorter.
@@ -106,35 +104,53 @@ def _taken_blocks(blocks: DataFrame, sources: DataFrame, seed: int) -> DataFrame
     upper = F.when(is_last, F.lit(1.0)).otherwise(F.col("to") / F.col("all_slots"))
     lower = F.coalesce(F.lag("upper").over(Window.orderBy("number_")), F.lit(0.0))
     rows = rows.withColumn("upper", upper).withColumn("lower", lower)
-    rows = rows.withColumn("n_shards", F.ceil(F.col("n_slots") / SHARD_SLOTS))
     # Of the points m + u, m = 0..n_slots-1, those of the source are from .. to - 1.
     u = uniform(F.lit(seed), F.lit("shard"), F.lit(0).cast("long"))
     rows = rows.withColumn("from", F.ceil(F.col("n_slots") * F.col("lower") - u)).withColumn("to", F.ceil(F.col("n_slots") * F.col("upper") - u))
-    shards = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_shards") - 1)).alias("shard"))
-    shards = shards.withColumn("place", permuted(F.col("shard"), F.col("n_shards"), F.lit(seed), F.lit("shards")))
-    # Of these, the shard has those that leave its place when divided by the number of shards.
-    drawn = F.floor((F.col("to") - 1 - F.col("place")) / F.col("n_shards")) - F.floor((F.col("from") - 1 - F.col("place")) / F.col("n_shards"))
-    shards = shards.withColumn("drawn", drawn)
-    earlier = Window.partitionBy("number_").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    shards = shards.withColumn("first", F.coalesce(F.sum("drawn").over(earlier), F.lit(0))).where("drawn > 0")
     # Few rows here become all slots: spread them first, by number, which adaptive execution leaves alone.
-    shards = shards.repartition(int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    slots = shards.select("number_", "n_blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("drawn") - 1)).alias("slot"))
-    slots = slots.where(F.col("slot") < MAX_PASSES * F.col("n_blocks"))
-    turn = F.expr("slot div n_blocks")
-    block = permuted(F.col("slot") % F.col("n_blocks"), F.col("n_blocks"), F.lit(seed), F.col("number_"), turn)
-    return slots.select("number_", block.alias("block")).groupBy("number_", "block").agg(F.count("*").alias("times"))
+    step = F.lit(SHARD_SLOTS).cast("long")
+    runs = rows.where(F.col("from") < F.col("to")).select("*", F.explode(F.sequence(F.col("from"), F.col("to") - 1, step)).alias("first"))
+    runs = runs.repartition(int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    last = F.least(F.col("first") + step, F.col("to")) - 1
+    slots = runs.select("number_", "n_blocks", "n_slots", "from", F.explode(F.sequence(F.col("first"), last)).alias("point"))
+    slots = slots.withColumn("slot", F.col("point") - F.col("from")).where(F.col("slot") < MAX_PASSES * F.col("n_blocks"))
+    dealt = permuted(F.col("point"), F.col("n_slots"), F.lit(seed), F.lit("places"))
+    block = permuted(F.col("slot") % F.col("n_blocks"), F.col("n_blocks"), F.lit(seed), F.col("number_"), F.expr("slot div n_blocks"))
+    slots = slots.select("number_", "slot", block.alias("block"), dealt.alias("dealt"))
+    return slots.select(
+        F.expr(f"dealt div {SHARD_SLOTS}").alias("shard"), (F.col("dealt") % SHARD_SLOTS).alias("place"), "number_", "slot", "block"
+    )
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 1) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target (of its source), taken (words)."""
+def _taken_blocks(blocks: DataFrame, sources: DataFrame, seed: int) -> DataFrame:
+    """(number_, block, times): how often the mix takes each block, in all shards."""
+    return _slots(blocks, sources, seed).groupBy("number_", "block").agg(F.count("*").alias("times"))
+
+
+def _blocks(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sources with targets, packed rows, and streams with the number of their first block."""
     size = F.regexp_count(whole_text(f"`{text_col}`"), F.lit(WORD)).cast("long")
     sized = written(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), size.alias("size")), "mix")
     sources = written(targets(sized), "mix-sources")
     packed = written(_packed(sized, sources), "mix-packed")
     streams = packed.groupBy("number_", "stream").agg(F.ceil(F.sum("size") / BLOCK_WORDS).alias("n_blocks"))
     earlier = Window.partitionBy("number_").orderBy("stream").rowsBetween(Window.unboundedPreceding, -1)
-    streams = streams.withColumn("first_block", F.coalesce(F.sum("n_blocks").over(earlier), F.lit(0)))
+    return sources, packed, streams.withColumn("first_block", F.coalesce(F.sum("n_blocks").over(earlier), F.lit(0)))
+
+
+def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 1) -> DataFrame:
+    """The mix as written out: shard, place in it, source, and the block that fills the place.
+
+    A block is BLOCK_WORDS words of its source (the last of a stream fewer).
+    """
+    sources, _, streams = _blocks(docs, id_col, text_col, source_col)
+    named = sources.select("number_", "source")
+    return _slots(streams, sources, seed).join(named, "number_").select("shard", "place", "source", "block")
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 1) -> DataFrame:
+    """One row per document: doc_id, size, source_size, target (of its source), taken (words)."""
+    sources, packed, streams = _blocks(docs, id_col, text_col, source_col)
     taken = _taken_blocks(streams, sources, seed)
     covers = packed.where("size > 0").join(streams.select("number_", "stream", "first_block"), ["number_", "stream"])
     inside = F.explode(F.sequence(F.expr(f"at div {BLOCK_WORDS}"), F.expr(f"(at + size - 1) div {BLOCK_WORDS}")))

@@ -61,7 +61,8 @@ def op2_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
     return url_filter.judge(table(spark, sf_dir, "pages"), rules)
 
 

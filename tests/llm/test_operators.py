@@ -484,6 +484,26 @@ def test_empty_tables(spark, none):
     assert [r.count() for r in results] == [0] * len(results)
 
 
+def test_shards_are_drawn(spark, monkeypatch):
+    """Counts of a source differ from shard to shard as multinomial counts do, and add up to its share."""
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 100)
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", 4)
+    rows = [(i, "w " * 40, "abc"[min(i % 10, 2)]) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mixing.shards(docs).collect()
+    assert len({(r["shard"], r["place"]) for r in found}) == len(found)
+    counts = {s: collections.Counter(r["shard"] for r in found if r["source"] == s) for s in "abc"}
+    n = max(r["shard"] for r in found)  # the last one may be short
+    targets = {r["source"]: r["target"] for r in mixing.mix(docs).select("source_size", "target", "doc_id").join(docs, "doc_id").collect()}
+    for source, of_shard in counts.items():
+        total, share = sum(of_shard.values()), sum(of_shard.values()) / len(found)
+        assert abs(total - targets[source] / 4) <= 1
+        spread = np.var([of_shard[k] for k in range(n)]) / (100 * share * (1 - share))
+        assert 0.6 < spread < 1.5
+    taken = collections.Counter((r["source"], r["block"]) for r in found)
+    assert max(taken.values()) <= mixing.MAX_PASSES
+
+
 INTERNAL = "quality_ words_ lines_ counts_ rule_ kept_ copy_ copies_ id_ stays_ id row text_ at block node a.b".split()
 
 
