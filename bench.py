@@ -1,6 +1,6 @@
 """Headline queries, timed warm; prints one JSON line.
 
-    python bench.py            # every headline query, median of three
+    python bench.py            # every headline query, median of three; one bulk upsert, and questions to its table
     python bench.py --bulk     # 4.8M-row upsert onto 681 months, and trickle upserts onto it
 
 BENCH_SF_DIR (default /root/testdata/sf0.1) and BENCH_CPUS (default all) set the scale.
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from checks import views as V
 from checks.queries import QUERIES
 from revcat.operators.revisions import latest_revision, latest_revision_state
+from revcat.plans import liveness
 from revcat.session import scratch_dir, session, written
 from revcat.sources.catalog import CatalogTable
 
@@ -30,7 +31,7 @@ HEADLINE = [
     "arrivals_per_hour", "freshness", "recent_pickup_lag", "run_gaps", "daily_runs", "runs_by_trigger",
     "duplicate_ids", "duplicate_totals", "revision_lag", "today_vs_history", "magnitude_bands",
     "hourly_vs_baseline", "health_verdict", "latest_revision", "latest_revision_window", "merge_probe",
-    "normalize", "chunk_plan", "range_counts", "seam_check", "uptime_sessions", "range_scan",
+    "normalize", "chunk_plan", "range_counts", "range_members", "range_difference", "seam_check", "uptime_sessions", "sessions_by_trigger", "range_scan",
     "upsert_window", "upsert_bulk", "upsert_twice", "stream_upsert", "stream_arrivals",
 ]
 
@@ -70,6 +71,24 @@ def headline(spark: SparkSession) -> dict[str, float]:
     return seconds
 
 
+def stored(spark: SparkSession) -> dict[str, float]:
+    """The bulk upsert of 4.8M rows (at sf0.1), and questions to the table it makes, without making it."""
+    rows = written(V.view(spark, SF_DIR, BULK).repartition(64), "bulk")
+    CatalogTable(spark, scratch_dir(spark, "warm")).create().upsert(rows.where("sig % 20 = 0"), bulk=True)
+    table = CatalogTable(spark, scratch_dir(spark, "catalog")).create()
+    now = "2026-09-11"
+    seconds = {"bulk_upsert": round(timed(lambda: table.upsert(rows, bulk=True)), 3)}
+    questions = {
+        "table_arrivals_per_hour": lambda: run_whole(liveness.arrivals_per_hour(table, now)),
+        "table_freshness": lambda: run_whole(liveness.freshness(table, now)),
+        "table_scan_one_day": lambda: run_whole(table.scan("2026-01-01", "2026-01-02")),
+    }
+    for name, ask in questions.items():
+        ask()  # warm
+        seconds[name] = round(statistics.median(timed(ask) for _ in range(3)), 3)
+    return seconds
+
+
 def bulk(spark: SparkSession) -> dict[str, float]:
     rows = written(V.view(spark, SF_DIR, BULK).repartition(64), "bulk")
     table = CatalogTable(spark, scratch_dir(spark, "catalog")).create()
@@ -112,7 +131,7 @@ def main() -> None:
         spark_ui_enabled="false",
     )
     spark.sparkContext.setLogLevel("ERROR")
-    seconds = bulk(spark) if arguments.bulk else headline(spark)
+    seconds = bulk(spark) if arguments.bulk else headline(spark) | stored(spark)
     total = round(sum(v for k, v in seconds.items() if k != "rows"), 3)
     metric = "bulk_upsert_seconds" if arguments.bulk else "headline_queries_total_seconds"
     print(json.dumps({"metric": metric, "value": total, "unit": "sec", "queries": seconds, "sf": os.path.basename(SF_DIR)}))
