@@ -93,19 +93,25 @@ class IdleRecorder(StreamingQueryListener):
     """Ledger rows for triggers that found nothing, so that quiet and dead look different.
 
     Spark reports an idle query about every ten seconds
-    (``spark.sql.streaming.noDataProgressEventInterval``).
+    (``spark.sql.streaming.noDataProgressEventInterval``); one row is written per
+    ``every``, the pace of the scheduled runs, so that a day of silence has no more
+    runs than are expected of a day.
     """
 
-    def __init__(self, ledger: RunLedger, trigger: str = "stream"):
-        self.ledger, self.trigger, self.followed = ledger, trigger, set()
+    def __init__(self, ledger: RunLedger, trigger: str = "stream", every: dt.timedelta = dt.timedelta(minutes=15)):
+        self.ledger, self.trigger, self.every, self.followed = ledger, trigger, every, set()
+        self.recorded: dict[str, dt.datetime] = {}
 
     def follow(self, query: StreamingQuery) -> None:
         self.followed.add(str(query.runId))
 
     def onQueryIdle(self, event) -> None:
-        if str(event.runId) in self.followed:
-            with self.ledger.run(f"{self.trigger}-idle-{event.timestamp}", self.trigger) as run:
-                run["mode"] = "feed"
+        run, now = str(event.runId), dt.datetime.fromisoformat(event.timestamp)
+        if run not in self.followed or (run in self.recorded and now - self.recorded[run] < self.every):
+            return
+        self.recorded[run] = now
+        with self.ledger.run(f"{self.trigger}-idle-{event.timestamp}", self.trigger) as row:
+            row["mode"] = "feed"
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -115,6 +121,7 @@ class IdleRecorder(StreamingQueryListener):
 
     def onQueryTerminated(self, event) -> None:
         self.followed.discard(str(event.runId))
+        self.recorded.pop(str(event.runId), None)
 
 
 def suppress_repeats(rows: DataFrame, delay: str = "24 hours", arrival: str = "ingested_at") -> DataFrame:

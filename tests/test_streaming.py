@@ -1,5 +1,6 @@
 import json
 import time
+import types
 
 import pytest
 
@@ -138,6 +139,19 @@ def test_idle_triggers_are_recorded(spark, tmp_path, table, landing, event):
     assert states["ok"] == 1 and states["no_new_data"] >= 1
 
 
+def test_idle_rows_keep_the_pace_of_runs(spark, tmp_path):
+    """One row per quarter of an hour, though the query says that it is idle every ten seconds."""
+    ledger = RunLedger(spark, str(tmp_path / "runs"))
+    listener = feeds.IdleRecorder(ledger)
+    listener.follow(types.SimpleNamespace(runId="q"))
+    for query in ("q", "other"):
+        for second in range(0, 1900, 300):
+            stamp = f"2024-01-01T10:{second // 60:02}:00.000Z"
+            listener.onQueryIdle(types.SimpleNamespace(runId=query, timestamp=stamp))
+    rows = sorted(r.run_id for r in ledger.read().collect())
+    assert rows == [f"stream-idle-2024-01-01T10:{m}:00.000Z" for m in ("00", "15", "30")]
+
+
 def test_changes_only(spark, tmp_path):
     """Newer revisions come through once per micro-batch; equal, older and missing ones do not."""
     schema = "id string, updated timestamp, n int, `_odd` string"
