@@ -443,8 +443,7 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     best = F.max(F.struct("shared", "other"))["other"].alias("other")
     pairs = members.where("key <> first").groupBy("key", F.col("first").alias("other")).agg(F.count("*").alias("shared"))
     compared = written(_near(_with_sketches(pairs.groupBy("key").agg(best), known)), "near")
-    links = _linked(compared, docs, known)
-    roots = written(components(links), "roots")
+    roots = written(components(_linked(compared, docs, known)), "roots")
 
     for every in (False, True):
         left, members = _apart(members, known, roots, every)
@@ -452,8 +451,10 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         if left.isEmpty():
             continue
         compared = compared.select("u", "v").union(left.select("u", "v"))
-        links = links.union(_linked(left, docs, known))
-        roots = written(components(links), "roots")
+        fresh = _linked(left, docs, known)
+        if not fresh.isEmpty():
+            # What is joined already is one link per member, so few rounds are left.
+            roots = written(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(fresh)), "roots")
 
     least = known.groupBy("node").agg(F.min("doc_id").alias("least"))
     grouped = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
