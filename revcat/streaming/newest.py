@@ -17,43 +17,61 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: Micros of a version that is missing: older than any.
 MISSING = -(1 << 63)
+#: Groups of ids; a micro-batch of a hundred million rows gives each some ten thousand.
+BUCKETS = 4096
 
 
 class _Newest(StatefulProcessor):
-    """Lets a row through if its version is greater than the one last let through."""
+    """Lets a row through if its version is greater than the one last let through for its id.
 
-    def __init__(self, columns: list[str], versions: list[str], ttl_ms: int):
-        self.columns, self.versions, self.ttl_ms = columns, versions, ttl_ms
+    A group is a bucket of ids, and the version is kept per id: what a group costs (frames,
+    batches, its place in the state) is paid per bucket, and an id costs one look and one
+    update. Memory is in proportion to a bucket's ids in one micro-batch.
+    """
+
+    def __init__(self, columns: list[str], key: T.StructField, versions: list[str], ttl_ms: int):
+        self.columns, self.key, self.versions, self.ttl_ms = columns, key, versions, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         layout = T.StructType([T.StructField(v, T.LongType()) for v in self.versions])
-        self.seen = handle.getValueState("seen", layout, ttlDurationMs=self.ttl_ms)
+        of = T.StructType([T.StructField("id", self.key.dataType)])
+        self.seen = handle.getMapState("seen", of, layout, ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        seen = tuple(self.seen.get()) if self.seen.exists() else None
-        best, newest = None, seen
+        # By place: names that start with an underscore do not arrive.
+        at, n, end = self.columns.index(self.key.name), len(self.columns), len(self.columns) + len(self.versions)
+        best: dict[object, tuple] = {}
         for some in rows:
-            # By place: names that start with an underscore do not arrive.
-            versions = list(map(tuple, some.iloc[:, len(self.columns) :].to_numpy().tolist()))
-            at = max(range(len(versions)), key=versions.__getitem__)
-            if newest is None or versions[at] > newest:
-                best, newest = some.iloc[[at]], versions[at]
-        if best is not None:
-            self.seen.update(newest)
-            yield best.iloc[:, : len(self.columns)].set_axis(self.columns, axis=1)
+            for row in some.itertuples(index=False, name=None):
+                if (held := best.get(row[at])) is None or row[n:end] > held[n:end]:
+                    best[row[at]] = row
+        fresh = []
+        for one, row in best.items():
+            seen = self.seen.getValue((one,))
+            if seen is None or row[n:end] > tuple(seen):
+                self.seen.updateValue((one,), row[n:end])
+                fresh.append(row[:n])
+        if fresh:
+            yield pd.DataFrame(fresh, columns=self.columns)
 
     def close(self) -> None:
         pass
 
 
 def newest_changes(
-    rows: DataFrame, key: str = "id", version: str = "updated", then: Sequence[str] = (), ttl: str = "30 days"
+    rows: DataFrame,
+    key: str = "id",
+    version: str = "updated",
+    then: Sequence[str] = (),
+    ttl: str = "30 days",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Rows of a stream that are newer than all that came for their id within ``ttl``; one per id and micro-batch.
 
     Newer by (version, *then), instants or whole numbers; a missing one is oldest.
     Equal versions are no change. After ``ttl`` without a change an id counts as new, and
     the upsert that follows ignores what is stored already. Rows without a key are dropped.
+    ``buckets`` of ids are the groups of the state, so their number is fixed for the life of a checkpoint.
     """
     names = [f"_version_{i}" for i in range(1 + len(then))]
     versions = {
@@ -65,6 +83,7 @@ def newest_changes(
     }
     days, unit = ttl.split()
     ttl_ms = int(days) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")] * 1000
-    processor = _Newest(rows.columns, names, ttl_ms)
-    keyed = rows.where(F.col(key).isNotNull()).withColumns(versions).groupBy(key)
+    processor = _Newest(rows.columns, rows.schema[key], names, ttl_ms)
+    keyed = rows.where(F.col(key).isNotNull()).withColumns(versions)
+    keyed = keyed.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets))).groupBy("_bucket")
     return keyed.transformWithStateInPandas(processor, rows.schema, outputMode="Update", timeMode="ProcessingTime")

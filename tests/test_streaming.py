@@ -2,7 +2,9 @@ import json
 import time
 import types
 
+import pandas as pd
 import pytest
+from pyspark.sql import types as T
 
 from conftest import utc
 from revcat.schema import EVENTS, as_nullable
@@ -10,7 +12,7 @@ from revcat.sources.catalog import CatalogTable
 from revcat.sources.documents import stream_documents
 from revcat.sources.ledger import RunLedger
 from revcat.streaming import feeds
-from revcat.streaming.newest import newest_changes
+from revcat.streaming.newest import _Newest, newest_changes
 
 
 @pytest.fixture
@@ -182,3 +184,29 @@ def test_state_expires(spark, tmp_path):
         changes = newest_changes(stream, ttl="3 seconds")
         emitted.append(feeds.drain_changes(changes, str(tmp_path / "out"), str(tmp_path / "cp")).count())
     assert emitted[0] == 1 and emitted[-1] > emitted[0]
+
+
+def test_state_is_kept_for_buckets_of_ids():
+    """A bucket's ids come in one group and leave in one frame; an id costs one look and at most one update."""
+    looked, state = [], {}
+
+    class Seen:
+        def getValue(self, key):
+            looked.append(key)
+            return state.get(key)
+
+        def updateValue(self, key, value):
+            state[key] = value
+
+    handle = types.SimpleNamespace(getMapState=lambda name, key, value, ttlDurationMs: Seen())
+    newest = _Newest(["id", "n"], T.StructField("id", T.StringType()), ["v0", "v1"], 1000)
+    newest.init(handle)
+
+    def handled(*parts):
+        frames = [pd.DataFrame(p, columns=["id", "n", "_version_0", "_version_1", "_bucket"]) for p in parts]
+        return [f.values.tolist() for f in newest.handleInputRows((0,), iter(frames), None)]
+
+    assert handled([("a", 1, 5, 0, 0), ("b", 2, 5, 0, 0)], [("a", 3, 5, 1, 0), ("b", 4, 4, 9, 0), ("c", 5, -1, 0, 0)]) == [[["a", 3], ["b", 2], ["c", 5]]]
+    assert len(looked) == 3
+    assert handled([("a", 6, 5, 1, 0), ("b", 7, 4, 0, 0)]) == []
+    assert handled([("a", 8, 6, 0, 0), ("c", 9, -1, 0, 0)]) == [[["a", 8]]]
