@@ -57,7 +57,9 @@ SKETCH_BITS = 256
 #: Characters of text whose signatures one task of the shuffle holds.
 CHARS_PER_PART = 2 << 20
 #: Documents and signatures that a map task packs together; the first is the range of a 16-bit number.
-FLUSH_DOCS, FLUSH_SIGNATURES = 1 << 16, 2 << 20
+FLUSH_DOCS, FLUSH_SIGNATURES = 1 << 16, 1 << 20
+#: Words whose hashes a task keeps; most words are common ones, and rare ones would only fill the memory.
+KEPT_WORDS = 50_000
 #: Identifiers (8 bytes each) that may be broadcast; beyond, the same join shuffles.
 BROADCAST_IDS = 1_000_000
 #: The cost model: share of sets that have a given common shingle, and sets in a band.
@@ -75,7 +77,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) >= KEPT_WORDS:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -191,13 +193,19 @@ def _index(docs: DataFrame, parts: int) -> DataFrame:
             meta = dict(zip(("ids", "ns", "nodes", "bits"), map(list, zip(*docs))))
             yield pa.RecordBatch.from_pylist([{"part": -1 - flush % parts, "flush": flush, "sigs": None, **meta}], packed)
             if sigs:
-                every = np.concatenate([s for s, _ in sigs])
-                at = np.repeat(np.array([i for _, i in sigs], np.uint64), [len(s) for s, _ in sigs])
-                part = every % np.uint64(parts)
-                entry = ((every // np.uint64(parts)) << np.uint64(16)) | at
+                # In place where it can be: a worker keeps the memory of its largest moment.
+                at = np.repeat(np.array([i for _, i in sigs], np.uint16), [len(s) for s, _ in sigs])
+                entry = np.concatenate([s for s, _ in sigs])
+                sigs.clear()
+                part = (entry % np.uint64(parts)).astype(np.int32)
+                entry //= np.uint64(parts)
+                entry <<= np.uint64(16)
+                entry |= at
+                del at
                 order = np.argsort(part, kind="stable")
                 part, entry = part[order], entry[order]
-                starts = np.flatnonzero(np.diff(part, prepend=part[0] + np.uint64(1)))
+                del order
+                starts = np.flatnonzero(np.diff(part, prepend=part[0] + 1))
                 rows = [
                     {"part": int(part[a]), "flush": flush, "sigs": entry[a:b].tobytes(), **empty}
                     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(part)])

@@ -165,6 +165,19 @@ def test_forest_joins_what_all_pairs_join():
         assert len(forest) < len(np.unique(root))
 
 
+def test_jaccard_keeps_few_words(monkeypatch):
+    """What a worker holds is bounded, however many different words come; the sets are the same."""
+    assert jaccard.KEPT_WORDS <= 100_000 and jaccard.FLUSH_SIGNATURES <= 1 << 20
+    texts = [" ".join(f"w{k % 700}" for k in range(i, i * 3 + 9)) for i in range(0, 900, 7)]
+    many = jaccard._WordHashes()
+    expected = [jaccard.shingle_set(t, many).tolist() for t in texts]
+    monkeypatch.setattr(jaccard, "KEPT_WORDS", 20)
+    few = jaccard._WordHashes()
+    for text, shingles in zip(texts, expected):
+        assert jaccard.shingle_set(text, few).tolist() == shingles and len(few) <= 20
+    assert len(many) == 700
+
+
 @pytest.mark.parametrize("low,high", [(1, 1), (2, 2), (3, 3), (4, 5), (9, 12), (40, 59), (300, 449)])
 def test_linked_sets_share_a_signature(low, high):
     rng, band = np.random.default_rng(low), jaccard.Band(low, high)
