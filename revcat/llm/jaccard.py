@@ -60,6 +60,10 @@ CHARS_PER_PART = 2 << 20
 FLUSH_DOCS, FLUSH_SIGNATURES = 1 << 16, 1 << 20
 #: Words whose hashes a task keeps; most words are common ones, and rare ones would only fill the memory.
 KEPT_WORDS = 50_000
+#: Members of open signatures that one task compares, more only where one signature has them; pairs at once.
+MEMBERS_PER_PART, PAIRS_AT_ONCE = 1 << 14, 1 << 16
+#: Signatures with up to so many members are compared many at a time, larger ones one at a time.
+SMALL_GROUP = 128
 #: Identifiers (8 bytes each) that may be broadcast; beyond, the same join shuffles.
 BROADCAST_IDS = 1_000_000
 #: The cost model: share of sets that have a given common shingle, and sets in a band.
@@ -67,6 +71,8 @@ COMMON, SETS_IN_BAND = 0.02, 1e6
 
 _FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+#: A factor for each place of a word in its shingle.
+_PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -92,8 +98,9 @@ def shingle_set(text: str, hashes: dict[bytes, int]) -> np.ndarray:
     of = np.fromiter(map(hashes.__getitem__, words), np.uint64, n)
     rolled = np.full(n - k + 1, k, np.uint64)
     for i in range(k):
-        rolled = _mix(rolled + _A) + of[i : n - k + 1 + i]
-    return np.unique(_mix(rolled))
+        rolled += of[i : n - k + 1 + i] * _PLACES[i]
+    rolled = np.sort(_mix(rolled))
+    return rolled[np.concatenate([[True], rolled[1:] != rolled[:-1]])]
 
 
 def most_different(a: int, b: int) -> int:
@@ -116,21 +123,19 @@ class Band:
         if self.delete:
             self.segments, self.slack = halves, 0
 
+        self.base = _mix(np.arange(self.segments, dtype=np.uint64) + (np.uint64(low) << np.uint64(32)))
+
     def signatures(self, shingles: np.ndarray) -> np.ndarray:
-        number = np.uint64(self.low)
-        segment = ((_mix(shingles ^ number) >> np.uint64(32)) * np.uint64(self.segments)) >> np.uint64(32)
-        order = np.argsort(segment, kind="stable")
-        segment, weight = segment[order].astype(np.int64), _mix(shingles[order] + _B)
-        sizes = np.bincount(segment, minlength=self.segments)
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(weight)])
-        ends = np.cumsum(sizes)
-        totals = sums[ends] - sums[ends - sizes]
-        base = _mix(np.arange(self.segments, dtype=np.uint64) + (number << np.uint64(32)))
-        whole = _mix(totals ^ base)
+        segment = ((_mix(shingles ^ np.uint64(self.low)) >> np.uint64(32)) * np.uint64(self.segments)) >> np.uint64(32)
+        segment, weight = segment.astype(np.int64), _mix(shingles + _B)
+        totals = np.zeros(self.segments, np.uint64)
+        np.add.at(totals, segment, weight)
+        whole = _mix(totals ^ self.base)
         if self.delete:
-            return np.concatenate([whole, _mix((totals[segment] - weight) ^ base[segment])])
+            return np.concatenate([whole, _mix((totals[segment] - weight) ^ self.base[segment])])
         if not self.slack:
             return whole
+        sizes = np.bincount(segment, minlength=self.segments)
         rank = (np.minimum(sizes, 255).astype(np.uint64) << np.uint64(56)) | (whole >> np.uint64(8))
         return whole[np.argpartition(rank, self.slack)[self.slack :]]
 
@@ -191,7 +196,7 @@ def _index(docs: DataFrame, parts: int) -> DataFrame:
         def out() -> Iterator[pa.RecordBatch]:
             empty = dict.fromkeys(("ids", "ns", "nodes", "bits"))
             meta = dict(zip(("ids", "ns", "nodes", "bits"), map(list, zip(*docs))))
-            yield pa.RecordBatch.from_pylist([{"part": -1 - flush % parts, "flush": flush, "sigs": None, **meta}], packed)
+            yield pa.RecordBatch.from_pylist([{"part": -1 - ((flush >> 24) + flush) % parts, "flush": flush, "sigs": None, **meta}], packed)
             if sigs:
                 # In place where it can be: a worker keeps the memory of its largest moment.
                 at = np.repeat(np.array([i for _, i in sigs], np.uint16), [len(s) for s, _ in sigs])
@@ -330,6 +335,21 @@ class _Sketches:
             self.row[at] = np.arange(len(at))
             self.own[size] = np.frombuffer(b"".join(bits[i] for i in at.tolist()), np.uint64).reshape(len(at), -1)
 
+    def differ_each(self, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Bits in which each of u differs from its v, whose sketches are of half to twice the size of its own."""
+        out = np.zeros(len(u), np.int64)
+        swap = self.size[u] > self.size[v]
+        u, v = np.where(swap, v, u), np.where(swap, u, v)
+        for size in np.unique(self.size[u]).tolist():
+            for other in np.unique(self.size[v[self.size[u] == size]]).tolist():
+                at = np.flatnonzero((self.size[u] == size) & (self.size[v] == other))
+                step = max(1, PAIRS_AT_ONCE * SKETCH_BITS // 8 // other)
+                for some in (at[k : k + step] for k in range(0, len(at), step)):
+                    a, b = self.own[size][self.row[u[some]]], self.own[other][self.row[v[some]]]
+                    b = _folded(b) if other > size else b
+                    out[some] = np.bitwise_count(a ^ b).sum(axis=1)
+        return out
+
     def differ(self, i: int, others: np.ndarray) -> np.ndarray:
         """Bits in which i differs from others, whose sketches are of half to twice the size of its own."""
         size, out = int(self.size[i]), np.zeros(len(others), np.int64)
@@ -381,26 +401,83 @@ def _all_near(sketches: _Sketches, n: np.ndarray, root: np.ndarray) -> Iterator[
             yield np.full(len(rest), i), rest
 
 
+def _candidates(sketches: _Sketches, number: np.ndarray, n: np.ndarray, root: np.ndarray, starts: np.ndarray, size: int):
+    """The pairs of groups of one size that are in different components and may link, as (start of the group, pair).
+
+    Rows have the members ``number``, whose sketches, sizes and components are given; a pair is
+    the smaller number times the members, and the larger. One that many groups have is compared once per batch.
+    """
+    first, second = np.triu_indices(size, 1)
+    step = max(1, PAIRS_AT_ONCE // len(first))
+    for some in (starts[k : k + step] for k in range(0, len(starts), step)):
+        u, v = (number[(some[:, None] + side).ravel()] for side in (first, second))
+        may = np.flatnonzero((root[u] != root[v]) & _may_link(n[u], n[v], 0))
+        u, v = u[may], v[may]
+        pairs, which = np.unique(np.minimum(u, v) * len(n) + np.maximum(u, v), return_inverse=True)
+        u, v = np.divmod(pairs, len(n))
+        near = _may_link(n[u], n[v], sketches.differ_each(u, v))[which]
+        yield some[may[near] // len(first)], pairs[which[near]]
+
+
+def _spanning(u: np.ndarray, v: np.ndarray, differ: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Which of the pairs join the components that all of them join, the nearest first."""
+    _, label = np.unique(root, return_inverse=True)
+    above, chosen = list(range(len(label))), []
+
+    def top(x: int) -> int:
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    order = np.lexsort((v, u, differ))
+    for at, a, b in zip(order.tolist(), label[u[order]].tolist(), label[v[order]].tolist()):
+        a, b = top(a), top(b)
+        if a != b:
+            above[a] = b
+            chosen.append(at)
+    return np.array(chosen, np.int64)
+
+
 def _compare(rows: pd.DataFrame, every: bool) -> pd.DataFrame:
-    """Of the members of each signature, pairs in different components that may link: all, or a forest."""
-    rows = rows.sort_values(["sig", "node"], kind="stable")
-    sig, n, root, node = (rows[c].to_numpy() for c in ("sig", "n", "root", "node"))
-    number, names = pd.factorize(node)
-    bits = rows["bits"].tolist()
-    starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])).tolist()
-    found = [np.zeros(0, np.int64)]
-    for a, b in zip(starts, [*starts[1:], len(sig)]):
-        sketches, own, own_n, own_root = _Sketches(bits[a:b]), number[a:b], n[a:b], root[a:b]
-        pairs = _all_near(sketches, own_n, own_root) if every else ([np.array(p) for p in zip(*_forest(sketches, own_n, own_root))],)
-        for u, v in filter(len, pairs):
-            u, v = own[u], own[v]
-            found.append(np.minimum(u, v) * len(names) + np.maximum(u, v))
-    u, v = np.divmod(np.unique(np.concatenate(found)), max(1, len(names)))
-    size = np.zeros(len(names), np.int64)
-    size[number] = n
-    swap = names[u] > names[v] if len(u) else np.zeros(0, bool)
+    """Of the members of each signature, pairs in different components that may link: all, or a forest.
+
+    Small signatures have one forest together, or all their pairs if these are no more than their
+    members. With a forest also the signatures (``open``) that have further such pairs.
+    """
+    sig, key = rows["sig"].to_numpy(), rows["key"].to_numpy()
+    order = np.lexsort((key, sig))
+    sig = sig[order]
+    _, at, number = np.unique(key[order], return_index=True, return_inverse=True)
+    node, bits, n, root = (rows[c].to_numpy()[order[at]] for c in ("node", "bits", "n", "root"))
+    starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    sizes = np.diff(np.append(starts, len(sig)))
+    sketches, none = _Sketches(bits.tolist()), np.zeros(0, np.int64)
+    groups, codes, found, open_ = [none], [none], [none], []
+    for size in np.unique(sizes[(sizes > 1) & (sizes <= SMALL_GROUP)]).tolist():
+        for group, pairs in _candidates(sketches, number, n, root, starts[sizes == size], size):
+            groups.append(group)
+            codes.append(pairs)
+    groups, codes = np.concatenate(groups), np.concatenate(codes)
+    pairs = np.unique(codes)
+    if not every and len(pairs) > len(n):
+        u, v = np.divmod(pairs, len(n))
+        pairs = pairs[np.sort(_spanning(u, v, sketches.differ_each(u, v), root))]
+        open_ += sig[np.unique(groups[~np.isin(codes, pairs)])].tolist()
+    found.append(pairs)
+    for a, size in zip(starts[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist()):
+        own = number[a : a + size]
+        group = _Sketches(bits[own].tolist()), n[own], root[own]
+        near = _all_near(*group) if every else [np.array(list(_forest(*group)), np.int64).reshape(-1, 2).T]
+        for u, v in near:
+            found.append(np.minimum(own[u], own[v]) * len(n) + np.maximum(own[u], own[v]))
+        if not every and len(found[-1]):
+            open_.append(int(sig[a]))
+    u, v = np.divmod(np.unique(np.concatenate(found)), max(1, len(n)))
+    swap = node[u] > node[v] if len(u) else np.zeros(0, bool)
     u, v = np.where(swap, v, u), np.where(swap, u, v)
-    return pd.DataFrame({"u": names[u], "v": names[v], "n_u": size[u], "n_v": size[v]})
+    out = pd.DataFrame({"u": node[u], "v": node[v], "n_u": n[u], "n_v": n[v], "open": pd.array([None] * len(u), "Int64")})
+    more = pd.DataFrame({"u": None, "v": None, "n_u": 0, "n_v": 0, "open": pd.array(open_, "Int64")})
+    return pd.concat([out, more.astype({"u": object, "v": object})]) if open_ else out
 
 
 def _with_sketches(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -414,7 +491,7 @@ def _with_sketches(pairs: DataFrame, known: DataFrame) -> DataFrame:
 def _apart(members: DataFrame, known: DataFrame, roots: DataFrame, every: bool) -> tuple[DataFrame, DataFrame]:
     """Pairs that share a signature, are in different components and may link, as (u, v, n_u, n_v): all, or a forest.
 
-    Also the members of signatures that more than one component has.
+    Also the members of the signatures that have further such pairs.
     """
     of = known.select("key", "node").join(roots, "node", "left")
     of = of.select("key", F.xxhash64(F.coalesce("root", "node")).alias("root"))
@@ -429,10 +506,15 @@ def _apart(members: DataFrame, known: DataFrame, roots: DataFrame, every: bool)
     # Signatures with the same members are compared once.
     more = groups.where("size > 2").groupBy("size", "key", "other", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
     apart = written(members.join(more, "sig"), "apart")
-    open_ = apart.join(known.select("key", "node", "n", "bits"), "key")
-    open_ = open_.select(F.shiftright("sig", 32).alias("part"), "sig", "root", "node", "n", "bits")
-    compared = open_.groupBy("part").applyInPandas(lambda rows: _compare(rows, every), "u binary, v binary, n_u long, n_v long")
-    return two.union(compared).distinct(), apart
+    parts = -(-apart.count() // MEMBERS_PER_PART)
+    together = apart.join(known.select("key", "node", "n", "bits"), "key")
+    together = together.withColumn("part", F.pmod(F.xxhash64("sig"), F.lit(max(1, parts))))
+    found = together.select("part", "sig", "key", "root", "node", "n", "bits").groupBy("part").applyInPandas(
+        lambda rows: _compare(rows, every), "u binary, v binary, n_u long, n_v long, open long"
+    )
+    found = written(found, "found")
+    pairs = two.union(found.where("open IS NULL").select("u", "v", "n_u", "n_v")).distinct()
+    return pairs, apart.join(found.where("open IS NOT NULL").select(F.col("open").alias("sig")), "sig", "left_semi")
 
 
 def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -8,6 +8,7 @@ import re
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -165,6 +166,77 @@ def test_forest_joins_what_all_pairs_join():
         assert len(forest) < len(np.unique(root))
 
 
+def member_rows(r, groups, members, size):
+    """Rows of signatures as _compare gets them, and what all their pairs are."""
+    base = np.unique(r.integers(0, 2**63, 40, dtype=np.uint64))
+    sets = [np.unique(np.concatenate([base[: int(r.integers(25, 41))], r.integers(0, 2**63, int(r.integers(0, 9)), dtype=np.uint64)])) for _ in range(members)]
+    root = r.integers(0, members // 3 + 1, members)
+    rows = [
+        {"part": 0, "sig": g, "key": int(k), "root": int(root[k]), "node": jaccard._node(sets[k]), "n": len(sets[k]), "bits": jaccard._sketch(sets[k])}
+        for g in range(groups) for k in r.choice(members, int(r.integers(2, size + 1)), replace=False)
+    ]
+    rows = pd.DataFrame(rows)
+    pairs = {}
+    for g, own in rows.groupby("sig"):
+        own, pairs[g] = own.sort_values("key"), set()
+        for us, vs in jaccard._all_near(jaccard._Sketches(own["bits"].tolist()), own["n"].to_numpy(), own["root"].to_numpy()):
+            pairs[g] |= {tuple(sorted((own["node"].iloc[u], own["node"].iloc[v]))) for u, v in zip(us, vs)}
+    return rows, pairs
+
+
+@pytest.mark.parametrize("small", [128, 4])
+def test_compared_signatures(monkeypatch, small):
+    """All pairs, or some that join as much; a signature is open if it has a pair that was not given."""
+    monkeypatch.setattr(jaccard, "SMALL_GROUP", small)
+    monkeypatch.setattr(jaccard, "PAIRS_AT_ONCE", 50)
+    r = np.random.default_rng(3)
+    for _ in range(25):
+        rows, pairs = member_rows(r, int(r.integers(1, 12)), int(r.integers(9, 40)), int(r.integers(2, 9)))
+        found = jaccard._compare(rows.sample(frac=1, random_state=1), True)
+        assert set(zip(found["u"], found["v"])) == set().union(*pairs.values()) and found["open"].isna().all()
+        found = jaccard._compare(rows.sample(frac=1, random_state=2), False)
+        some = found[found["open"].isna()]
+        given, open_ = set(zip(some["u"], some["v"])), set(found["open"].dropna())
+        assert given <= set().union(*pairs.values()) and {g for g in pairs if pairs[g] - given} <= open_
+        assert all(pairs[g] for g in open_)
+        root = dict(zip(rows["node"], rows["root"]))
+
+        def joined(edges):
+            label = {x: x for x in root.values()}
+            for u, v in edges:
+                a, b = label[root[u]], label[root[v]]
+                label = {x: (a if y == b else y) for x, y in label.items()}
+            return {frozenset(x for x in label if label[x] == y) for y in label.values()}
+
+        assert joined(given) == joined(set().union(*pairs.values()))
+
+
+def test_small_signatures_are_compared_together(monkeypatch):
+    """Not member by member, and no signature is left open that has no pair to give."""
+    rows, pairs = member_rows(np.random.default_rng(4), 300, 200, 8)
+    calls, differ = [], jaccard._Sketches.differ
+    monkeypatch.setattr(jaccard._Sketches, "differ", lambda self, *args: (calls.append(1), differ(self, *args))[1])
+    found = jaccard._compare(rows, False)
+    assert len(calls) == 0 and len(found)
+
+
+def test_jaccard_deals_members_evenly(spark, monkeypatch):
+    """A task compares so many members, more only where one signature has them."""
+    monkeypatch.setattr(jaccard, "MEMBERS_PER_PART", 50)
+    known = spark.range(400).selectExpr("id AS key", "cast(cast(id AS string) AS binary) AS node", "20L AS n", "cast('x' AS binary) AS bits")
+    members = known.selectExpr("key div 4 AS sig", "key").union(known.selectExpr("(key + 2) div 4 + 1000 AS sig", "key"))
+    sizes = []
+
+    def seen(frame, name):
+        return frame if name != "found" else sizes.append(frame.rdd.map(lambda x: x["n_u"]).collect()) or frame.where("n_u < 0")
+
+    monkeypatch.setattr(jaccard, "written", seen)
+    monkeypatch.setattr(jaccard, "_compare", lambda rows, every: pd.DataFrame(
+        {"u": [b""], "v": [b""], "n_u": [len(rows)], "n_v": [0], "open": pd.array([None], "Int64")}))
+    jaccard._apart(members, known, known.selectExpr("node", "node AS root").limit(0), False)
+    assert sum(sizes[0]) == 796 and max(sizes[0]) < 250
+
+
 def test_jaccard_keeps_few_words(monkeypatch):
     """What a worker holds is bounded, however many different words come; the sets are the same."""
     assert jaccard.KEPT_WORDS <= 100_000 and jaccard.FLUSH_SIGNATURES <= 1 << 20
