@@ -24,7 +24,7 @@ import sys
 import unicodedata
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -303,30 +303,49 @@ def _assemble(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"id": pd.array(out[0], "Int64"), "n_tokens": out[1], "tokens": out[2]})
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, n_tokens, tokens (ids as little-endian unsigned 32-bit integers)."""
+def encode(
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
+    """One row per document: id, n_tokens, tokens (ids as little-endian unsigned 32-bit integers).
+
+    With ``decoded`` also what ``decode`` gives, in the same Python worker: one per task, not two.
+    """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(vocabulary))
     chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = _blocks(docs, id_col, text_col, pattern).repartition(parts, "block")
     encoded = _encoded_words(blocks, ranks, max(1, -(-chars // CHARS_PER_PART)))
-    return blocks.groupBy("block").cogroup(encoded.groupBy("block")).applyInPandas(
-        _assemble, "id long, n_tokens long, tokens binary"
-    )
+    both = blocks.groupBy("block").cogroup(encoded.groupBy("block"))
+    schema = "id long, n_tokens long, tokens binary"
+    if not decoded:
+        return both.applyInPandas(_assemble, schema)
+    pieces = _pieces(spark, vocabulary)
+
+    def assemble(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = _assemble(left, right)
+        return out.assign(decoded=_decoded(out["tokens"], pieces.value))
+
+    return both.applyInPandas(assemble, schema + ", decoded binary")
+
+
+def _pieces(spark: SparkSession, vocabulary: str) -> Broadcast:
+    """The bytes of each id; one entry per token of the vocabulary."""
+    return spark.sparkContext.broadcast({rank: token for token, rank in read_ranks(vocabulary).items()})
+
+
+def _decoded(tokens: Iterable[bytes | None], pieces: dict[int, bytes]) -> list[bytes]:
+    return [b"".join([pieces[i] for i in np.frombuffer(t or b"", "<u4").tolist()]) for t in tokens]
 
 
 def decode(encoded: DataFrame, vocabulary: str, tokens_col: str = "tokens") -> DataFrame:
     """``encoded`` with one more column ``decoded``: the bytes of its ids. An unknown id is an error."""
-    ranks = read_ranks(vocabulary)
-    # One entry per token of the vocabulary.
-    pieces = encoded.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
+    pieces = _pieces(encoded.sparkSession, vocabulary)
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pieces.value
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(tokens_col))
-            texts = [b"".join([table[i] for i in np.frombuffer(t.as_py() or b"", "<u4").tolist()]) for t in column]
+            texts = _decoded((t.as_py() for t in column), pieces.value)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], [*batch.schema.names, "decoded"])
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
@@ -336,7 +355,7 @@ def decode(encoded: DataFrame, vocabulary: str, tokens_col: str = "tokens") -> D
 
 def encoded_digests(spark: SparkSession, docs: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    coded = decode(encode(docs, vocabulary, pattern), vocabulary)
+    coded = encode(docs, vocabulary, pattern, decoded=True)
     return coded.select(
         F.col("id").alias("doc_id"), "n_tokens", F.sha2("tokens", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -166,6 +166,18 @@ def test_forest_joins_what_all_pairs_join():
         assert len(forest) < len(np.unique(root))
 
 
+def test_digests_take_one_worker_per_task(docs):
+    """Ids are decoded where they are put together: a second worker in the task would hold as much again."""
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    digests = bpe.encoded_digests(docs.sparkSession, docs, vocabulary, public_tokenizers.PATTERN)
+    plan = digests._jdf.queryExecution().sparkPlan().toString()
+    assert "FlatMapCoGroupsInPandas" in plan and "InArrow" not in plan[: plan.index("FlatMapCoGroupsInPandas")]
+    coded = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
+    apart = bpe.decode(coded, vocabulary).collect()
+    together = bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, decoded=True).collect()
+    assert collections.Counter(map(tuple, together)) == collections.Counter(map(tuple, apart))
+
+
 def member_rows(r, groups, members, size):
     """Rows of signatures as _compare gets them, and what all their pairs are."""
     base = np.unique(r.integers(0, 2**63, 40, dtype=np.uint64))
