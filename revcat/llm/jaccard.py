@@ -19,8 +19,10 @@ signatures. A sketch filters pairs without loss (a parity bit per slot that shin
 are hashed to: it never differs in more bits than the sets do in shingles), and what
 remains is verified on the whole sets. Of a signature whose members are still in
 different components, the shortest forest that joins these is verified next, nearest
-sketches first: one pair less than components, however many pairs there are. Only
-members that are in different components even then are all compared. So every link
+sketches first: one pair less than components, however many pairs there are. Small
+signatures of a task have one forest together, or all their pairs if these are no more
+than their members. Signatures with pairs not given then, whose members are in
+different components even so, are compared in full. So every link
 between different components is found, while a group of near copies is not expanded
 into its pairs, with or without a text in its middle. Sets that are equal are one node.
 
