@@ -19,12 +19,14 @@ signatures. A sketch filters pairs without loss (a parity bit per slot that shin
 are hashed to: it never differs in more bits than the sets do in shingles), and what
 remains is verified on the whole sets. Of a signature whose members are still in
 different components, the shortest forest that joins these is verified next, nearest
-sketches first: one pair less than components, however many pairs there are. Small
+sketches first: one pair less than components, however many pairs there are. The
 signatures of a task have one forest together, or all their pairs if these are no more
-than their members. Signatures with pairs not given then, whose members are in
-different components even so, are compared in full. So every link
+than their members. Members that have pairs not given then, and are in different
+components even so, are compared once more, with their whole sets beside them: a task
+verifies the pairs itself and puts out only links that join components. So every link
 between different components is found, while a group of near copies is not expanded
-into its pairs, with or without a text in its middle. Sets that are equal are one node.
+into its pairs, with or without a text in its middle, nor is one of texts that just fail
+to link: no step puts out more rows than it has members. Sets that are equal are one node.
 
 Null and empty texts, and texts without words, have an empty set and link with
 nothing. Fewer words than a shingle make one shingle of all words. Rows that repeat
@@ -64,6 +66,8 @@ FLUSH_DOCS, FLUSH_SIGNATURES = 1 << 16, 1 << 20
 KEPT_WORDS = 50_000
 #: Members of open signatures that one task compares, more only where one signature has them; pairs at once.
 MEMBERS_PER_PART, PAIRS_AT_ONCE = 1 << 14, 1 << 16
+#: Bytes of whole sets that one task compares, more only where one signature has them; pairs it remembers as no links.
+SET_BYTES_PER_PART, KEPT_PAIRS = 8 << 20, 1 << 17
 #: Signatures with up to so many members are compared many at a time, larger ones one at a time.
 SMALL_GROUP = 128
 #: Identifiers (8 bytes each) that may be broadcast; beyond, the same join shuffles.
@@ -293,10 +297,13 @@ def _may_link(n_a, n_b, differ):
     return (small * DENOMINATOR >= large * NUMERATOR) & (differ <= allowed)
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
-    """Those of the pairs (u, v, n_u, n_v) that link, verified on the whole sets."""
-    pairs = written(pairs, "pairs")
-    needed = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+def _links(a: np.ndarray, b: np.ndarray) -> bool:
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return DENOMINATOR * common >= NUMERATOR * (len(a) + len(b) - common)
+
+
+def _sets(needed: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
+    """The nodes needed with their whole sets, as (node, shingles)."""
     one = known.groupBy("node").agg(F.min("doc_id").alias("id_"))
     ids = written(one.join(needed, "node", "left_semi").select("id_").distinct(), "ids")
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
@@ -308,16 +315,18 @@ def _linked(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(map(_node, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id_")), "left_semi").select("text")
-    sets = written(texts.mapInArrow(shingles, "node binary, shingles binary").where("node IS NOT NULL").dropDuplicates(["node"]), "sets")
+    return written(texts.mapInArrow(shingles, "node binary, shingles binary").where("node IS NOT NULL").dropDuplicates(["node"]), "sets")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
+    """Those of the pairs (u, v, n_u, n_v) that link, verified on the whole sets."""
+    pairs = written(pairs, "pairs")
+    sets = _sets(pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct(), docs, known)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            same = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                a, b = np.frombuffer(a.as_py(), np.uint64), np.frombuffer(b.as_py(), np.uint64)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                same.append(DENOMINATOR * common >= NUMERATOR * (len(a) + len(b) - common))
-            keep = pa.array(same, pa.bool_())
+            both = zip(batch.column(2), batch.column(3))
+            keep = pa.array([_links(*(np.frombuffer(x.as_py(), np.uint64) for x in pair)) for pair in both], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(k).filter(keep) for k in (0, 1)], ["u", "v"])
 
     one = pairs.join(sets.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u")
@@ -365,11 +374,11 @@ class _Sketches:
         return out
 
 
-def _forest(sketches: _Sketches, n: np.ndarray, root: np.ndarray) -> Iterator[tuple[int, int]]:
+def _forest(sketches: _Sketches, n: np.ndarray, root: np.ndarray, may: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
     """The pairs that join the components of a group by the nearest sketches, where such pairs may link.
 
     Components enter one after the other, each by its nearest member; memory is in
-    proportion to the members.
+    proportion to the members. ``may`` counts the pairs of each member that may link.
     """
     _, label, sizes = np.unique(root, return_inverse=True, return_counts=True)
     far = np.iinfo(np.int64).max
@@ -383,7 +392,11 @@ def _forest(sketches: _Sketches, n: np.ndarray, root: np.ndarray) -> Iterator[tu
         for i in own.tolist():
             rest = out[_may_link(n[i], n[out], 0)]
             differ = sketches.differ(i, rest)
-            closer = _may_link(n[i], n[rest], differ) & (differ < near[rest])
+            allowed = _may_link(n[i], n[rest], differ)
+            if may is not None:
+                may[i] += np.count_nonzero(allowed)
+                may[rest[allowed]] += 1
+            closer = allowed & (differ < near[rest])
             near[rest[closer]], via[rest[closer]] = differ[closer], i
         nearest = out[np.argmin(near[out])]
         if near[nearest] < far:
@@ -393,10 +406,14 @@ def _forest(sketches: _Sketches, n: np.ndarray, root: np.ndarray) -> Iterator[tu
             entering = int(np.argmax(left))
 
 
-def _all_near(sketches: _Sketches, n: np.ndarray, root: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The pairs of a group that are in different components and may link."""
-    for i in range(len(n) - 1):
-        rest = np.arange(i + 1, len(n))
+def _all_near(sketches: _Sketches, n: np.ndarray, root: np.ndarray, own: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of a group (all, or the members ``own``) that are in different components and may link.
+
+    Components may be joined, in ``root``, between one member and the next.
+    """
+    own = np.arange(len(n)) if own is None else own
+    for at, i in enumerate(own.tolist()):
+        rest = own[at + 1 :]
         rest = rest[(root[rest] != root[i]) & _may_link(n[i], n[rest], 0)]
         if len(rest):
             rest = rest[_may_link(n[i], n[rest], sketches.differ(i, rest))]
@@ -443,8 +460,8 @@ def _spanning(u: np.ndarray, v: np.ndarray, differ: np.ndarray, root: np.ndarray
 def _compare(rows: pd.DataFrame, every: bool) -> pd.DataFrame:
     """Of the members of each signature, pairs in different components that may link: all, or a forest.
 
-    Small signatures have one forest together, or all their pairs if these are no more than their
-    members. With a forest also the signatures (``open``) that have further such pairs.
+    All signatures have one forest together, or all the pairs found if these are no more than their
+    members. With a forest also the members (``u``) of signatures (``open``) that have further such pairs.
     """
     sig, key = rows["sig"].to_numpy(), rows["key"].to_numpy()
     order = np.lexsort((key, sig))
@@ -454,32 +471,98 @@ def _compare(rows: pd.DataFrame, every: bool) -> pd.DataFrame:
     starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
     sizes = np.diff(np.append(starts, len(sig)))
     sketches, none = _Sketches(bits.tolist()), np.zeros(0, np.int64)
-    groups, codes, found, open_ = [none], [none], [none], []
+    groups, codes, found, large = [none], [none], [none], []
     for size in np.unique(sizes[(sizes > 1) & (sizes <= SMALL_GROUP)]).tolist():
         for group, pairs in _candidates(sketches, number, n, root, starts[sizes == size], size):
             groups.append(group)
             codes.append(pairs)
     groups, codes = np.concatenate(groups), np.concatenate(codes)
-    pairs = np.unique(codes)
-    if not every and len(pairs) > len(n):
-        u, v = np.divmod(pairs, len(n))
-        pairs = pairs[np.sort(_spanning(u, v, sketches.differ_each(u, v), root))]
-        open_ += sig[np.unique(groups[~np.isin(codes, pairs)])].tolist()
-    found.append(pairs)
     for a, size in zip(starts[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist()):
-        own = number[a : a + size]
-        group = _Sketches(bits[own].tolist()), n[own], root[own]
-        near = _all_near(*group) if every else [np.array(list(_forest(*group)), np.int64).reshape(-1, 2).T]
+        own, may = number[a : a + size], np.zeros(size, np.int64)
+        if every:
+            near = _all_near(sketches, n, root, own)
+        else:
+            forest = _forest(_Sketches(bits[own].tolist()), n[own], root[own], may)
+            near = [own[np.array(list(forest), np.int64).reshape(-1, 2).T]]
+            large.append((a, own, may))
         for u, v in near:
-            found.append(np.minimum(own[u], own[v]) * len(n) + np.maximum(own[u], own[v]))
-        if not every and len(found[-1]):
-            open_.append(int(sig[a]))
-    u, v = np.divmod(np.unique(np.concatenate(found)), max(1, len(n)))
+            found.append(np.minimum(u, v) * len(n) + np.maximum(u, v))
+    pairs = np.unique(np.concatenate([codes, *found]))
+    u, v = np.divmod(pairs, max(1, len(n)))
+    if not every and len(pairs) > len(n):
+        chosen = np.sort(_spanning(u, v, sketches.differ_each(u, v), root))
+        pairs, u, v = pairs[chosen], u[chosen], v[chosen]
+    # (start of the signature, member) with a pair that is not given
+    further = ~np.isin(codes, pairs)
+    open_ = [np.stack([groups[further], side[further]]) for side in np.divmod(codes, max(1, len(n)))]
+    for a, own, may in large:
+        here = np.zeros(len(n), bool)
+        here[own] = True
+        given = here[u] & here[v] & (root[u] != root[v])
+        left = own[may > np.bincount(np.concatenate([u[given], v[given]]), minlength=len(n))[own]]
+        open_.append(np.stack([np.full(len(left), a), left]))
     swap = node[u] > node[v] if len(u) else np.zeros(0, bool)
     u, v = np.where(swap, v, u), np.where(swap, u, v)
     out = pd.DataFrame({"u": node[u], "v": node[v], "n_u": n[u], "n_v": n[v], "open": pd.array([None] * len(u), "Int64")})
-    more = pd.DataFrame({"u": None, "v": None, "n_u": 0, "n_v": 0, "open": pd.array(open_, "Int64")})
-    return pd.concat([out, more.astype({"u": object, "v": object})]) if open_ else out
+    open_ = np.unique(np.concatenate(open_, axis=1), axis=1)
+    if every or not open_.shape[1]:
+        return out
+    more = pd.DataFrame({"u": node[open_[1]], "v": None, "n_u": n[open_[1]], "n_v": 0, "open": pd.array(sig[open_[0]], "Int64")})
+    return pd.concat([out, more.astype({"v": object})])
+
+
+def _merged(found: pd.DataFrame) -> pd.DataFrame:
+    """Open signatures of a task that share members as one, under the smallest of them: each member comes once."""
+    more = found[found["open"].notna()]
+    if not len(more):
+        return found
+    sigs, sig = np.unique(more["open"].to_numpy(np.int64), return_inverse=True)
+    member, _ = pd.factorize(more["u"])
+    first, above = sig[np.unique(member, return_index=True)[1]], list(range(len(sigs)))
+
+    def top(x: int) -> int:
+        while above[x] != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    for a, b in zip(sig.tolist(), first[member].tolist()):
+        a, b = top(a), top(b)
+        above[max(a, b)] = min(a, b)
+    least = sigs[[top(x) for x in sig.tolist()]]
+    more = more.assign(open=pd.array(least, "Int64")).drop_duplicates(["u", "open"])
+    return pd.concat([found[found["open"].isna()], more])
+
+
+def _joining(rows: pd.DataFrame) -> pd.DataFrame:
+    """Of the members of each signature (sig, root, node, shingles), links that join what all their links join."""
+    rows = rows.sort_values(["sig", "node"])
+    sig = rows["sig"].to_numpy()
+    number, node = pd.factorize(rows["node"])
+    _, at = np.unique(number, return_index=True)
+    root, sets = rows["root"].to_numpy()[at], [np.frombuffer(x, np.uint64) for x in rows["shingles"].iloc[at]]
+    n, sketches = np.array([len(x) for x in sets]), _Sketches([_sketch(x) for x in sets])
+    starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+    sizes = np.diff(np.append(starts, len(sig)))
+
+    def near() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for size in np.unique(sizes[(sizes > 1) & (sizes <= SMALL_GROUP)]).tolist():
+            for _, pairs in _candidates(sketches, number, n, root, starts[sizes == size], size):
+                yield np.divmod(np.unique(pairs), len(n))
+        for a, size in zip(starts[sizes > SMALL_GROUP].tolist(), sizes[sizes > SMALL_GROUP].tolist()):
+            yield from _all_near(sketches, n, root, np.sort(number[a : a + size]))
+
+    found, apart = [], set()
+    for us, vs in near():
+        for u, v in zip(us.tolist(), vs.tolist()):
+            if root[u] == root[v] or (u, v) in apart:
+                continue
+            if _links(sets[u], sets[v]):
+                root[root == root[v]] = root[u]
+                found.append((u, v))
+            elif len(apart) < KEPT_PAIRS:
+                apart.add((u, v))
+    u, v = np.array(found, np.int64).reshape(-1, 2).T
+    return pd.DataFrame({"u": node.to_numpy()[u], "v": node.to_numpy()[v]})
 
 
 def _with_sketches(pairs: DataFrame, known: DataFrame) -> DataFrame:
@@ -493,7 +576,7 @@ def _with_sketches(pairs: DataFrame, known: DataFrame) -> DataFrame:
 def _apart(members: DataFrame, known: DataFrame, roots: DataFrame, every: bool) -> tuple[DataFrame, DataFrame]:
     """Pairs that share a signature, are in different components and may link, as (u, v, n_u, n_v): all, or a forest.
 
-    Also the members of the signatures that have further such pairs.
+    Also the members that have further such pairs, as (sig, node, n); signatures of a task that share members are one.
     """
     of = known.select("key", "node").join(roots, "node", "left")
     of = of.select("key", F.xxhash64(F.coalesce("root", "node")).alias("root"))
@@ -512,11 +595,26 @@ def _apart(members: DataFrame, known: DataFrame, roots: DataFrame, every: bool)
     together = apart.join(known.select("key", "node", "n", "bits"), "key")
     together = together.withColumn("part", F.pmod(F.xxhash64("sig"), F.lit(max(1, parts))))
     found = together.select("part", "sig", "key", "root", "node", "n", "bits").groupBy("part").applyInPandas(
-        lambda rows: _compare(rows, every), "u binary, v binary, n_u long, n_v long, open long"
+        lambda rows: _merged(_compare(rows, every)), "u binary, v binary, n_u long, n_v long, open long"
     )
     found = written(found, "found")
     pairs = two.union(found.where("open IS NULL").select("u", "v", "n_u", "n_v")).distinct()
-    return pairs, apart.join(found.where("open IS NOT NULL").select(F.col("open").alias("sig")), "sig", "left_semi")
+    return pairs, found.where("open IS NOT NULL").select(F.col("open").alias("sig"), F.col("u").alias("node"), F.col("n_u").alias("n"))
+
+
+def _further(members: DataFrame, docs: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
+    """Links (u, v) that join the components which the members (sig, node, n) of a signature link, verified where they meet."""
+    of = members.join(roots, "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
+    groups = of.groupBy("sig").agg(
+        F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"),
+        F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(2), "node")).alias("x2"),
+    ).where("least <> most")
+    once = groups.groupBy("size", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
+    apart = written(of.join(once, "sig"), "apart")
+    parts = -(-(apart.agg(F.sum(F.col("n") * 8 + 256)).first()[0] or 0) // SET_BYTES_PER_PART)
+    together = apart.join(_sets(apart.select("node").distinct(), docs, known), "node")
+    together = together.withColumn("part", F.pmod(F.xxhash64("sig"), F.lit(max(1, parts))))
+    return written(together.select("part", "sig", "root", "node", "shingles").groupBy("part").applyInPandas(_joining, "u binary, v binary"), "links")
 
 
 def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -537,16 +635,18 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     compared = written(_near(_with_sketches(pairs.groupBy("key").agg(best), known)), "near")
     roots = written(components(_linked(compared, docs, known)), "roots")
 
-    for every in (False, True):
-        left, members = _apart(members, known, roots, every)
-        left = written(left.join(compared.select("u", "v"), ["u", "v"], "left_anti"), "left")
-        if left.isEmpty():
-            continue
-        compared = compared.select("u", "v").union(left.select("u", "v"))
-        fresh = _linked(left, docs, known)
-        if not fresh.isEmpty():
-            # What is joined already is one link per member, so few rounds are left.
-            roots = written(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(fresh)), "roots")
+    def joined(fresh: DataFrame) -> DataFrame:
+        if fresh.isEmpty():
+            return roots
+        # What is joined already is one link per member, so few rounds are left.
+        return written(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(fresh)), "roots")
+
+    left, further = _apart(members, known, roots, False)
+    left = written(left.join(compared.select("u", "v"), ["u", "v"], "left_anti"), "left")
+    if not left.isEmpty():
+        roots = joined(_linked(left, docs, known))
+    if not further.isEmpty():
+        roots = joined(_further(further, docs, known, roots))
 
     least = known.groupBy("node").agg(F.min("doc_id").alias("least"))
     grouped = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

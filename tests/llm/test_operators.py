@@ -3,6 +3,7 @@
 import base64
 import collections
 import hashlib
+import itertools
 import random
 import re
 
@@ -142,6 +143,28 @@ def test_jaccard_ball_of_near_copies(spark, monkeypatch, centre, changes):
         assert sum(emitted) < 6 * len(rows)
 
 
+def test_jaccard_ball_of_texts_that_just_fail_to_link(spark, monkeypatch):
+    """Most pairs look near by their sketches and few link: the rows made must not grow with the pairs."""
+    r = random.Random(4)
+    base, rows = [f"w{r.randrange(10**6)}" for _ in range(1000)], []
+    for doc in range(80):
+        words = list(base)
+        for at in r.sample(range(200), 17):
+            words[5 * at + 2] = f"x{r.randrange(10**6)}"
+        rows.append((doc, " ".join(words)))
+    made, written = collections.Counter(), jaccard.written
+
+    def counted(frame, name):
+        kept = written(frame, name)
+        made[name] += kept.count()
+        return kept
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    found = jaccard.link_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {x["doc_id"]: x["component_id"] for x in found} == grouped(rows)
+    assert made["found"] <= 4 * len(rows) and made["left"] <= 2 * len(rows) and made["links"] <= 2 * len(rows)
+
+
 def test_forest_joins_what_all_pairs_join():
     r = np.random.default_rng(5)
     for _ in range(60):
@@ -232,6 +255,57 @@ def test_small_signatures_are_compared_together(monkeypatch):
     assert len(calls) == 0 and len(found)
 
 
+def test_open_signatures_of_a_task_are_merged(monkeypatch):
+    """Each member comes once, in one group with all it has a pair left with."""
+    r = np.random.default_rng(6)
+    for small in (128, 4):
+        monkeypatch.setattr(jaccard, "SMALL_GROUP", small)
+        for _ in range(25):
+            rows, pairs = member_rows(r, int(r.integers(1, 12)), int(r.integers(9, 40)), int(r.integers(2, 9)))
+            compared = jaccard._compare(rows, False)
+            found = jaccard._merged(compared)
+            given = found[found["open"].isna()]
+            given, more = set(zip(given["u"], given["v"])), found[found["open"].notna()]
+            assert given == set(zip(*(compared[compared["open"].isna()][c] for c in "uv"))) and not more["u"].duplicated().any()
+            group = dict(zip(more["u"], more["open"]))
+            assert all(group[u] == group[v] for g in pairs for u, v in pairs[g] - given) and set(group.values()) <= set(rows["sig"])
+
+
+@pytest.mark.parametrize("small,kept", [(128, 1 << 17), (4, 3)])
+def test_links_that_join_are_found_in_the_task(monkeypatch, small, kept):
+    """Only verified links, one less than what they join, and they join what all links join."""
+    monkeypatch.setattr(jaccard, "SMALL_GROUP", small)
+    monkeypatch.setattr(jaccard, "KEPT_PAIRS", kept)
+    r = np.random.default_rng(7)
+    for _ in range(30):
+        m = int(r.integers(2, 25))
+        sets = [np.unique(r.integers(0, 24, int(r.integers(15, 60))).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) for _ in range(m)]
+        sets = list({jaccard._node(s): s for s in sets}.values())
+        m, root = len(sets), r.integers(0, m, len(sets))
+        rows = pd.DataFrame([
+            {"part": 0, "sig": g, "root": int(root[k]), "node": jaccard._node(sets[k]), "shingles": sets[k].tobytes()}
+            for g in range(3) for k in r.choice(m, int(r.integers(1, m + 1)), replace=False)
+        ])
+        at = {jaccard._node(s): k for k, s in enumerate(sets)}
+        found = [(at[u], at[v]) for u, v in jaccard._joining(rows).itertuples(index=False)]
+        same = lambda a, b: 100 * len(np.intersect1d(a, b)) >= 75 * len(np.union1d(a, b))
+        links = [
+            (a, b) for _, own in rows.groupby("sig") for a, b in itertools.combinations([at[x] for x in own["node"]], 2)
+            if root[a] != root[b] and same(sets[a], sets[b])
+        ]
+
+        def joined(edges):
+            label = {x: x for x in root.tolist()}
+            for u, v in edges:
+                a, b = label[root[u]], label[root[v]]
+                label = {x: (a if y == b else y) for x, y in label.items()}
+            return label
+
+        after = joined(found)
+        assert all(same(sets[a], sets[b]) for a, b in found) and len(found) == len(after) - len(set(after.values()))
+        assert all(after[root[a]] == after[root[b]] for a, b in links) and len(set(joined(links).values())) == len(set(after.values()))
+
+
 def test_jaccard_deals_members_evenly(spark, monkeypatch):
     """A task compares so many members, more only where one signature has them."""
     monkeypatch.setattr(jaccard, "MEMBERS_PER_PART", 50)
