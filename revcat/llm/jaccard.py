@@ -26,7 +26,7 @@ components even so, are compared once more, with their whole sets beside them: a
 verifies the pairs itself and puts out only links that join components. So every link
 between different components is found, while a group of near copies is not expanded
 into its pairs, with or without a text in its middle, nor is one of texts that just fail
-to link: no step puts out more rows than it has members. Sets that are equal are one node.
+to link: the comparisons put out at most two rows per member. Sets that are equal are one node.
 
 Null and empty texts, and texts without words, have an empty set and link with
 nothing. Fewer words than a shingle make one shingle of all words. Rows that repeat
@@ -66,8 +66,9 @@ FLUSH_DOCS, FLUSH_SIGNATURES = 1 << 16, 1 << 20
 KEPT_WORDS = 50_000
 #: Members of open signatures that one task compares, more only where one signature has them; pairs at once.
 MEMBERS_PER_PART, PAIRS_AT_ONCE = 1 << 14, 1 << 16
-#: Bytes of whole sets that one task compares, more only where one signature has them; pairs it remembers as no links.
-SET_BYTES_PER_PART, KEPT_PAIRS = 8 << 20, 1 << 17
+#: Bytes of whole sets that one task compares, and that signatures are merged up to; more only where one signature has
+#: them; pairs that a task remembers as no links.
+SET_BYTES_PER_PART, MERGED_SET_BYTES, KEPT_PAIRS = 8 << 20, 32 << 20, 1 << 17
 #: Signatures with up to so many members are compared many at a time, larger ones one at a time.
 SMALL_GROUP = 128
 #: Identifiers (8 bytes each) that may be broadcast; beyond, the same join shuffles.
@@ -512,13 +513,22 @@ def _compare(rows: pd.DataFrame, every: bool) -> pd.DataFrame:
 
 
 def _merged(found: pd.DataFrame) -> pd.DataFrame:
-    """Open signatures of a task that share members as one, under the smallest of them: each member comes once."""
+    """Open signatures of a task that share members as one, under the smallest of them.
+
+    Each member comes once, unless the whole sets of what would be one are too much for a task.
+    """
     more = found[found["open"].notna()]
     if not len(more):
         return found
     sigs, sig = np.unique(more["open"].to_numpy(np.int64), return_inverse=True)
     member, _ = pd.factorize(more["u"])
-    first, above = sig[np.unique(member, return_index=True)[1]], list(range(len(sigs)))
+    at = np.unique(member, return_index=True)[1]
+    first, above = sig[at], list(range(len(sigs)))
+    size = (more["n_u"].to_numpy(np.int64)[at] * 8 + 256).tolist()
+    of: list[set[int]] = [set() for _ in sigs]
+    for a, x in zip(sig.tolist(), member.tolist()):
+        of[a].add(x)
+    held = [sum(size[x] for x in group) for group in of]
 
     def top(x: int) -> int:
         while above[x] != x:
@@ -526,8 +536,14 @@ def _merged(found: pd.DataFrame) -> pd.DataFrame:
         return x
 
     for a, b in zip(sig.tolist(), first[member].tolist()):
-        a, b = top(a), top(b)
-        above[max(a, b)] = min(a, b)
+        a, b = sorted((top(a), top(b)))
+        if a == b:
+            continue
+        few, many = sorted((a, b), key=lambda x: len(of[x]))
+        both = held[many] + sum(size[x] for x in of[few] if x not in of[many])
+        if both <= MERGED_SET_BYTES:
+            of[many] |= of[few]
+            above[b], held[a], of[a], of[b] = a, both, of[many], set()
     least = sigs[[top(x) for x in sig.tolist()]]
     more = more.assign(open=pd.array(least, "Int64")).drop_duplicates(["u", "open"])
     return pd.concat([found[found["open"].isna()], more])

@@ -271,6 +271,21 @@ def test_open_signatures_of_a_task_are_merged(monkeypatch):
             assert all(group[u] == group[v] for g in pairs for u, v in pairs[g] - given) and set(group.values()) <= set(rows["sig"])
 
 
+def test_merged_signatures_are_bounded(monkeypatch):
+    """Signatures stay whole, and are merged only as far as a task can hold their sets."""
+    r = np.random.default_rng(8)
+    for limit in (0, 2000, 5000):
+        monkeypatch.setattr(jaccard, "MERGED_SET_BYTES", limit)
+        rows, pairs = member_rows(r, 12, 30, 8)
+        compared = jaccard._compare(rows, False)
+        found, own = jaccard._merged(compared), compared[compared["open"].notna()]
+        groups = {g: set(x["u"]) for g, x in found[found["open"].notna()].groupby("open")}
+        assert len(own) and all(any(set(x["u"]) <= group for group in groups.values()) for _, x in own.groupby("open"))
+        bytes_ = {u: 8 * n + 256 for u, n in zip(own["u"], own["n_u"])}
+        largest = max(sum(bytes_[u] for u in x["u"]) for _, x in own.groupby("open"))
+        assert all(sum(bytes_[u] for u in group) <= max(limit, largest) for group in groups.values())
+
+
 @pytest.mark.parametrize("small,kept", [(128, 1 << 17), (4, 3)])
 def test_links_that_join_are_found_in_the_task(monkeypatch, small, kept):
     """Only verified links, one less than what they join, and they join what all links join."""
