@@ -7,35 +7,32 @@ from pyspark.sql import functions as F
 
 from revcat.session import written
 
-
-def _smallest(links: DataFrame) -> DataFrame:
-    """(u, v, m): each directed link with the smallest of u and its neighbours."""
-    least = links.groupBy("u").agg(F.min("v").alias("least"))
-    return links.join(least, "u").select("u", "v", F.least("u", "least").alias("m"))
-
-
-def _both_ways(edges: DataFrame) -> DataFrame:
-    return edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+#: Nodes (two identifiers and the smaller of their neighbours) that may be broadcast; beyond, the same joins shuffle.
+BROADCAST_NODES = 200_000
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in ``edges`` (u, v): root is the smallest node it is connected with.
 
-    Rounds until nothing changes, logarithmic in the size of a component. A node
-    with very many links is one row per link throughout; its minimum is combined
-    before the shuffle. No edges give no rows.
+    Rounds until each component is a star, logarithmic in its size. A node with very
+    many links is one row per link throughout; its minimum is combined before the
+    shuffle. The smallest neighbours of few nodes are broadcast, so that a round
+    shuffles them alone and not the links. No edges give no rows.
     """
-    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    before = None
+    now = written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")), "edges")
     while True:
-        summary = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if summary == before or not summary["n"]:
-            return now.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-                now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            )
-        before = summary
-        large = _smallest(_both_ways(now)).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        small = _smallest(large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
-        pairs = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v")))
-        now = written(pairs.where("u <> v").distinct(), "edges")
+        links = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        ends = written(links.groupBy("u").agg(F.min("v").alias("least"), F.max("v").alias("most")), "ends")
+        # A star: the neighbours of a node are all larger, or one smaller.
+        summary = ends.agg(F.count("*").alias("n"), F.count_if(F.expr("least < u AND least <> most")).alias("open")).first()
+        if not summary["open"]:
+            return ends.select(F.col("u").alias("node"), F.least("u", "least").alias("root"))
+        few = summary["n"] <= BROADCAST_NODES
+        least = ends.select(F.col("u").alias("v"), F.least("u", "least").alias("m"))
+        large = now.join(F.broadcast(least) if few else least, "v").select("u", F.col("m").alias("v"))
+        large = large if few else large.distinct()  # else both uses of it would join again
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        # The link with the smallest neighbour itself stays, the others move from the node to that neighbour.
+        small = large.join(F.broadcast(least) if few else least, "u")
+        small = small.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        now = written(small if few else small.distinct(), "edges")

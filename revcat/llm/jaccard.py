@@ -71,7 +71,7 @@ MEMBERS_PER_PART, PAIRS_AT_ONCE = 1 << 14, 1 << 16
 SET_BYTES_PER_PART, MERGED_SET_BYTES, KEPT_PAIRS = 8 << 20, 32 << 20, 1 << 17
 #: Signatures with up to so many members are compared many at a time, larger ones one at a time.
 SMALL_GROUP = 128
-#: Identifiers (8 bytes each) that may be broadcast; beyond, the same join shuffles.
+#: Identifiers (8 bytes each) that may be broadcast; rows of several count as so many. Beyond, the same join shuffles.
 BROADCAST_IDS = 1_000_000
 #: The cost model: share of sets that have a given common shingle, and sets in a band.
 COMMON, SETS_IN_BAND = 0.02, 1e6
@@ -276,6 +276,22 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     })
 
 
+def _fits(df: DataFrame, ids: int) -> bool:
+    """Whether a written table, whose rows are as large as so many identifiers, may be broadcast."""
+    return df.count() * ids <= BROADCAST_IDS
+
+
+def _few(df: DataFrame, ids: int, label: str = "", of: DataFrame | None = None) -> DataFrame:
+    """``df`` for a join, broadcast if it is small.
+
+    It is written (as ``label``) to count its rows, unless it has no more of them than the written table ``of``, which is small.
+    """
+    if of is not None and _fits(of, ids):
+        return F.broadcast(df)
+    df = written(df, label) if label else df
+    return F.broadcast(df) if _fits(df, ids) else df
+
+
 def _near(pairs: DataFrame) -> DataFrame:
     """Pairs (node_a, n_a, bits_a, and b) whose sizes and sketches allow a link, as (u, v, n_u, n_v)."""
 
@@ -289,7 +305,7 @@ def _near(pairs: DataFrame) -> DataFrame:
     frame = pairs.select("node_a", "n_a", "bits_a", "node_b", "n_b", "bits_b").where("node_a <> node_b")
     kept = frame.mapInArrow(keep, "u binary, v binary, n_u long, n_v long")
     swap = F.col("u") > F.col("v")
-    return kept.select(*[F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("u", "v"), ("v", "u"), ("n_u", "n_v"), ("n_v", "n_u"))]).distinct()
+    return kept.select(*[F.when(swap, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("u", "v"), ("v", "u"), ("n_u", "n_v"), ("n_v", "n_u"))])
 
 
 def _may_link(n_a, n_b, differ):
@@ -304,10 +320,10 @@ def _links(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _sets(needed: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
-    """The nodes needed with their whole sets, as (node, shingles)."""
-    one = known.groupBy("node").agg(F.min("doc_id").alias("id_"))
-    ids = written(one.join(needed, "node", "left_semi").select("id_").distinct(), "ids")
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    """The nodes needed (of a written table, rows may repeat) with their whole sets, as (node, shingles)."""
+    these = F.broadcast(needed) if _fits(needed, 4) else needed.distinct()
+    one = known.select("node", "doc_id").join(these, "node", "left_semi").groupBy("node").agg(F.min("doc_id").alias("id_"))
+    ids = _few(one.select("id_"), 1, "ids", needed)
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
@@ -316,13 +332,14 @@ def _sets(needed: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(map(_node, sets), pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("id_")), "left_semi").select("text")
-    return written(texts.mapInArrow(shingles, "node binary, shingles binary").where("node IS NOT NULL").dropDuplicates(["node"]), "sets")
+    return texts.mapInArrow(shingles, "node binary, shingles binary").where("node IS NOT NULL").dropDuplicates(["node"])
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, known: DataFrame) -> DataFrame:
     """Those of the pairs (u, v, n_u, n_v) that link, verified on the whole sets."""
     pairs = written(pairs, "pairs")
-    sets = _sets(pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct(), docs, known)
+    sets = written(_sets(pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))), docs, known), "sets")
+    pairs = _few(pairs.select("u", "v"), 6)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -594,19 +611,20 @@ def _apart(members: DataFrame, known: DataFrame, roots: DataFrame, every: bool)
 
     Also the members that have further such pairs, as (sig, node, n); signatures of a task that share members are one.
     """
-    of = known.select("key", "node").join(roots, "node", "left")
-    of = of.select("key", F.xxhash64(F.coalesce("root", "node")).alias("root"))
-    members = members.select("sig", "key").join(of, "key")
-    groups = members.groupBy("sig").agg(
+    of = known.select("key", "node").join(_few(roots, 6), "node", "left")
+    of = _few(written(of.select("key", F.xxhash64(F.coalesce("root", "node")).alias("root")), "of"), 2)
+    members = members.select("sig", "key")
+    groups = members.join(of, "key").groupBy("sig").agg(
         F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"),
         F.min("key").alias("key"), F.max("key").alias("other"), F.bit_xor(F.xxhash64(F.lit(1), "key")).alias("x1"),
         F.bit_xor(F.xxhash64(F.lit(2), "key")).alias("x2"),
     ).where("least <> most")
     groups = written(groups, "groups")
-    two = _near(_with_sketches(groups.where("size = 2").select("key", "other").distinct(), known))
+    two = _near(_with_sketches(groups.where("size = 2").select("key", "other").repartition("key").distinct(), known))
     # Signatures with the same members are compared once.
-    more = groups.where("size > 2").groupBy("size", "key", "other", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
-    apart = written(members.join(more, "sig"), "apart")
+    large = groups.where("size > 2")
+    more = large.groupBy("size", "key", "other", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
+    apart = written(members.join(_few(more, 1, "more", large), "sig").join(of, "key"), "apart")
     parts = -(-apart.count() // MEMBERS_PER_PART)
     together = apart.join(known.select("key", "node", "n", "bits"), "key")
     together = together.withColumn("part", F.pmod(F.xxhash64("sig"), F.lit(max(1, parts))))
@@ -614,21 +632,21 @@ def _apart(members: DataFrame, known: DataFrame, roots: DataFrame, every: bool)
         lambda rows: _merged(_compare(rows, every)), "u binary, v binary, n_u long, n_v long, open long"
     )
     found = written(found, "found")
-    pairs = two.union(found.where("open IS NULL").select("u", "v", "n_u", "n_v")).distinct()
+    pairs = two.union(found.where("open IS NULL").select("u", "v", "n_u", "n_v")).dropDuplicates(["u", "v"])
     return pairs, found.where("open IS NOT NULL").select(F.col("open").alias("sig"), F.col("u").alias("node"), F.col("n_u").alias("n"))
 
 
 def _further(members: DataFrame, docs: DataFrame, known: DataFrame, roots: DataFrame) -> DataFrame:
     """Links (u, v) that join the components which the members (sig, node, n) of a signature link, verified where they meet."""
-    of = members.join(roots, "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
+    of = members.join(_few(roots, 6), "node", "left").withColumn("root", F.xxhash64(F.coalesce("root", "node")))
     groups = of.groupBy("sig").agg(
         F.min("root").alias("least"), F.max("root").alias("most"), F.count("*").alias("size"),
         F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(2), "node")).alias("x2"),
     ).where("least <> most")
     once = groups.groupBy("size", "x1", "x2").agg(F.min("sig").alias("sig")).select("sig")
-    apart = written(of.join(once, "sig"), "apart")
+    apart = written(of.join(_few(once, 1, "more", members), "sig"), "apart")
     parts = -(-(apart.agg(F.sum(F.col("n") * 8 + 256)).first()[0] or 0) // SET_BYTES_PER_PART)
-    together = apart.join(_sets(apart.select("node").distinct(), docs, known), "node")
+    together = apart.join(_sets(apart.select("node"), docs, known), "node")
     together = together.withColumn("part", F.pmod(F.xxhash64("sig"), F.lit(max(1, parts))))
     return written(together.select("part", "sig", "root", "node", "shingles").groupBy("part").applyInPandas(_joining, "u binary, v binary"), "links")
 
@@ -643,32 +661,38 @@ def link_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     # Equal sets that were indexed by several tasks share all signatures: the first one stands for them.
     twins = known.groupBy("node").agg(F.count("*").alias("copies"), F.min("key").alias("least")).where("copies > 1")
-    twins = known.join(twins, "node").where("key <> least").select("key")
-    members = written(index.join(twins, "key", "left_anti"), "members")
+    twins = written(known.join(twins, "node").where("key <> least").select("key"), "twins")  # used more than once
+    members = index.join(F.broadcast(twins), "key", "left_anti") if _fits(twins, 1) else written(index.join(twins, "key", "left_anti"), "members")
 
     best = F.max(F.struct("shared", "other"))["other"].alias("other")
     pairs = members.where("key <> first").groupBy("key", F.col("first").alias("other")).agg(F.count("*").alias("shared"))
     compared = written(_near(_with_sketches(pairs.groupBy("key").agg(best), known)), "near")
-    roots = written(components(_linked(compared, docs, known)), "roots")
+    roots = components(_linked(compared, docs, known))
 
     def joined(fresh: DataFrame) -> DataFrame:
         if fresh.isEmpty():
             return roots
-        # What is joined already is one link per member, so few rounds are left.
-        return written(components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(fresh)), "roots")
+        # Only what is joined already is linked: few nodes and rounds, however many members these have.
+        rooted = _few(roots, 6)
+        ends = fresh
+        for end in ("u", "v"):
+            of = rooted.select(F.col("node").alias(end), "root")
+            ends = ends.join(of, end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+        above = _few(components(ends), 6)
+        old = roots.join(above.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+        new = above.join(rooted.select("node"), "node", "left_anti").select("node", "root")
+        return written(old.select("node", F.coalesce("top", "root").alias("root")).union(new), "roots")
 
     left, further = _apart(members, known, roots, False)
-    left = written(left.join(compared.select("u", "v"), ["u", "v"], "left_anti"), "left")
+    left = written(left.join(_few(compared.select("u", "v"), 6), ["u", "v"], "left_anti"), "left")
     if not left.isEmpty():
         roots = joined(_linked(left, docs, known))
     if not further.isEmpty():
         roots = joined(_further(further, docs, known, roots))
 
-    least = known.groupBy("node").agg(F.min("doc_id").alias("least"))
-    grouped = least.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_node = grouped.join(smallest, "root").select("node", "component_id")
-    out = rows.join(of_node, "node", "left")
+    rooted = rows.join(_few(roots, 6), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    out = rooted.join(_few(smallest, 4, "smallest", rows.select("key")), "root", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 

@@ -338,6 +338,77 @@ def test_jaccard_deals_members_evenly(spark, monkeypatch):
     assert sum(sizes[0]) == 796 and max(sizes[0]) < 250
 
 
+@pytest.fixture
+def shuffles(spark, monkeypatch):
+    """Shuffles by a key in the plans of what the Jaccard join writes, by label."""
+    from revcat.llm import components
+
+    counts, before = collections.Counter(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def counted(frame, name, written=jaccard.written):
+        counts[name] += frame._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        return written(frame, name)
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    monkeypatch.setattr(components, "written", counted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield counts
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_components_of_few_nodes_shuffle_little(spark, monkeypatch, shuffles, few):
+    """A path, a star, a cycle, repeated links and a loop: right with and without broadcasts, few shuffles with them."""
+    from revcat.llm import components
+
+    if not few:
+        monkeypatch.setattr(components, "BROADCAST_NODES", 0, raising=False)
+    r = random.Random(1)
+    nodes = [f"{x:04d}".encode() for x in r.sample(range(9999), 120)]
+    path, star, cycle = nodes[:40], nodes[40:80], nodes[80:]
+    edges = [*zip(path, path[1:]), *((star[0], x) for x in star[1:]), *zip(cycle, cycle[1:] + cycle[:1]), (path[0], path[1]), (path[1], path[0])]
+    expected = {x: min(part) for part in (path, star, cycle) for x in part}
+    frame = spark.createDataFrame([*edges, (b"loop", b"loop")], "u binary, v binary").repartition(3)
+    rows = components.components(frame).collect()
+    assert len(rows) == len(expected) and {bytes(x["node"]): bytes(x["root"]) for x in rows} == expected
+    rounds = len(path).bit_length()
+    assert not few or sum(shuffles.values()) <= 2 * rounds
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_jaccard_shuffles_little_where_rows_are_few(spark, monkeypatch, docs, shuffles, few):
+    """Few identifiers are broadcast, so that a small table does not pass some hundred shuffles; the same rows without."""
+    from revcat.llm import components
+
+    expected = collections.Counter(map(tuple, jaccard.link_groups(docs).collect()))
+    made = sum(shuffles.values())
+    if few:
+        assert made <= 50
+        return
+    monkeypatch.setattr(jaccard, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(components, "BROADCAST_NODES", 0, raising=False)
+    assert collections.Counter(map(tuple, jaccard.link_groups(docs).collect())) == expected
+    assert sum(shuffles.values()) > 2 * made  # nothing was broadcast
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_jaccard_joins_components_by_further_links(spark, monkeypatch, few):
+    """Components from the first comparison that later links join, and texts that only these link."""
+    if not few:
+        monkeypatch.setattr(jaccard, "BROADCAST_IDS", 0)
+    r = random.Random(8)
+    rows, words = [], [f"w{r.randrange(10**6)}" for _ in range(120)]
+    for doc in r.sample(range(1000), 90):
+        if doc % 3 == 0:
+            words = list(words)
+            words[r.randrange(120)] = f"x{r.randrange(10**6)}"
+        own = list(words)
+        own[r.randrange(120)] = f"x{r.randrange(10**6)}"
+        rows.append((doc, " ".join(own)))
+    found = jaccard.link_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {x["doc_id"]: x["component_id"] for x in found} == grouped(rows)
+
+
 def test_jaccard_keeps_few_words(monkeypatch):
     """What a worker holds is bounded, however many different words come; the sets are the same."""
     assert jaccard.KEPT_WORDS <= 100_000 and jaccard.FLUSH_SIGNATURES <= 1 << 20
