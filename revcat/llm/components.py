@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from revcat.session import written
 
 #: Nodes (two identifiers and the smaller of their neighbours) that may be broadcast; beyond, the same joins shuffle.
-BROADCAST_NODES = 200_000
+BROADCAST_NODES = 50_000
 
 
 def components(edges: DataFrame) -> DataFrame:

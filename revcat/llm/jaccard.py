@@ -72,7 +72,7 @@ SET_BYTES_PER_PART, MERGED_SET_BYTES, KEPT_PAIRS = 8 << 20, 32 << 20, 1 << 17
 #: Signatures with up to so many members are compared many at a time, larger ones one at a time.
 SMALL_GROUP = 128
 #: Identifiers (8 bytes each) that may be broadcast; rows of several count as so many. Beyond, the same join shuffles.
-BROADCAST_IDS = 1_000_000
+BROADCAST_IDS = 250_000
 #: The cost model: share of sets that have a given common shingle, and sets in a band.
 COMMON, SETS_IN_BAND = 0.02, 1e6
 
