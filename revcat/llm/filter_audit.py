@@ -15,6 +15,7 @@ gives no rows.
 
 from __future__ import annotations
 
+import json
 from itertools import permutations
 from math import factorial
 
@@ -84,9 +85,11 @@ def audit(counted: DataFrame, filters: str = FILTERS) -> DataFrame:
         before = 0
         for step, letter in enumerate(order, 1):
             own = 1 << filters.index(letter)
-            steps.append(("".join(order), step, own, before))
+            steps.append({"filter_order": "".join(order), "step": step, "own": own, "before": before})
             before |= own
-    steps = counted.sparkSession.createDataFrame(steps, "filter_order string, step int, own int, before int")
+    # As one literal: rows given one by one would be read by Python workers, which then stay beside the executors.
+    listed = F.from_json(F.lit(json.dumps(steps)), "array<struct<filter_order string, step int, own int, before int>>")
+    steps = counted.sparkSession.range(0, 1, 1, 1).select(F.inline(listed))
     steps = steps.withColumn("mask", F.explode(F.sequence(F.lit(0), F.lit((1 << len(filters)) - 1))))
     own, before = (F.col("mask").bitwiseAND(F.col(c)) for c in ("own", "before"))
     failing, fresh = own != 0, before == 0

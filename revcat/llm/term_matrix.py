@@ -4,11 +4,14 @@ A map task cuts its documents into blocks of bounded bytes and counts each
 document's words against the vocabulary of its block. The vocabularies, not the
 texts, are dealt by hash to tasks of bounded size, each word once per block and
 many words to a row. Such a task numbers its distinct words, and the numbers go
-back to the blocks, whose column numbers are then replaced by the global ones.
+back to the shards of the block, whose column numbers are then replaced by the
+global ones.
 
-A shard is one block: ``rows`` (the kept columns of its documents), ``indptr``
-(where each document's entries start), ``indices`` (global word numbers, ascending
-within a document) and ``counts``. Word numbers are unique, with few gaps.
+A block is handed on in rows of about a megabyte, its shards and parts of
+its vocabulary, since what an executor buffers outside its heap follows the widest
+row. A shard is ``rows`` (the kept columns of its documents), ``indptr`` (where
+each document's entries start), ``indices`` (global word numbers, ascending within
+a document) and ``counts``. Word numbers are unique, with few gaps.
 
 Words are runs of anything but the six ASCII white spaces. Null text counts as
 empty; a document without words is a row without entries. An empty table gives no
@@ -36,6 +39,13 @@ from revcat.session import written
 
 #: A block is closed beyond so many bytes of text or so many documents.
 BLOCK_BYTES, BLOCK_DOCS = 8 << 20, 1 << 16
+#: Bytes of documents in a shard, and of words in a row; one document or word may be more.
+ROW_BYTES = 1 << 20
+#: How rows of that size are stored: pages and row groups, held whole by writers and readers, else have 100 rows at least.
+STORED = {
+    "parquet.block.size": str(16 << 20), "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1",
+    "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
+}
 #: Bytes of a text whose words are held as objects at once.
 PIECE_BYTES = 1 << 20
 #: Words of block vocabularies, repeats between blocks included, that one task numbers.
@@ -66,17 +76,23 @@ def _one_list(values: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+def _starts(sizes: np.ndarray, size: int) -> list[int]:
+    """Where runs of about ``size`` begin."""
+    return np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // size, prepend=-1)).tolist()
+
+
 def _blocks(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
-    """One row per block: its documents' kept columns, their counts, and the words they are counted by.
+    """Shards of every block, and the words they are counted by in rows with ``n_words``; ``at`` is the place in the block.
 
-    Words are in the order of their hashes, parted by spaces.
+    Words are in the order of their hashes, parted by spaces; a shard has their places.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in keep])
     given = docs.select(row.alias("row"), whole_text(f"`{text_col}`").alias("text"))
     ints, longs = T.ArrayType(T.IntegerType()), T.ArrayType(T.LongType())
     schema = T.StructType([
-        T.StructField("block", T.LongType()), T.StructField("rows", T.ArrayType(given.schema["row"].dataType)),
-        T.StructField("indptr", longs), T.StructField("indices", ints), T.StructField("counts", ints),
+        T.StructField("block", T.LongType()), T.StructField("at", T.LongType()),
+        T.StructField("rows", T.ArrayType(given.schema["row"].dataType)), T.StructField("indptr", longs),
+        T.StructField("indices", ints), T.StructField("counts", ints),
         T.StructField("n_words", T.LongType()), T.StructField("words", T.BinaryType()),
     ])
     arrow = to_arrow_schema(schema)
@@ -85,19 +101,28 @@ def _blocks(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
         block = TaskContext.get().partitionId() << 32
         words, rows, entries, size = _Vocabulary(), [], [], 0
 
-        def out() -> pa.RecordBatch:
-            indptr = np.concatenate([[0], np.cumsum([len(i) for i, _ in entries])]).astype(np.int64)
-            indices, counts = (np.concatenate([e[k] for e in entries]) for k in (0, 1))
+        def handed(at: int, *columns: pa.Array | None) -> pa.RecordBatch:
+            columns = [pa.array([block]), pa.array([at]), *columns]
+            return pa.RecordBatch.from_arrays([pa.nulls(1, f.type) if c is None else c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+
+        def out() -> Iterator[pa.RecordBatch]:
             named = list(words)
             order = np.argsort(_hashes(named))
             place = np.empty(len(order), np.int32)
             place[order] = np.arange(len(order), dtype=np.int32)
-            columns = [
-                pa.array([block], pa.int64()), _one_list(pa.concat_arrays(rows)), _one_list(pa.array(indptr)),
-                _one_list(pa.array(place[indices])), _one_list(pa.array(counts.astype(np.int32))),
-                pa.array([len(named)], pa.int64()), pa.array([b" ".join([named[i] for i in order.tolist()])], pa.binary()),
-            ]
-            return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow)], schema=arrow)
+            named = [named[i] for i in order.tolist()]
+            starts = _starts(np.fromiter(map(len, named), np.int64, len(named)) + 1, ROW_BYTES)
+            for a, b in zip(starts, [*starts[1:], len(named)]):
+                yield handed(a, None, None, None, None, pa.array([b - a]), pa.array([b" ".join(named[a:b])], pa.binary()))
+            kept, lengths = pa.concat_arrays(rows), np.array([len(i) for i, _ in entries], np.int64)
+            starts = _starts(8 * lengths + kept.nbytes // len(kept), ROW_BYTES)
+            for a, b in zip(starts, [*starts[1:], len(entries)]):
+                indptr = np.concatenate([[0], np.cumsum(lengths[a:b])])
+                indices, counts = (np.concatenate([e[k] for e in entries[a:b]]) for k in (0, 1))
+                yield handed(
+                    a, _one_list(kept.slice(a, b - a)), _one_list(pa.array(indptr)), _one_list(pa.array(place[indices])),
+                    _one_list(pa.array(counts.astype(np.int32))), None, None,
+                )
 
         for batch in batches:
             start = 0
@@ -110,13 +135,13 @@ def _blocks(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
                 size += len(raw)
                 if size >= BLOCK_BYTES or len(entries) == BLOCK_DOCS:
                     rows.append(batch.column(0).slice(start, at + 1 - start))
-                    yield out()
+                    yield from out()
                     block, start, size = block + 1, at + 1, 0
                     words, rows, entries = _Vocabulary(), [], []
             if start < batch.num_rows:
                 rows.append(batch.column(0).slice(start))
         if entries:
-            yield out()
+            yield from out()
 
     small_batches(docs.sparkSession)
     return given.mapInArrow(count, schema)
@@ -127,19 +152,19 @@ def _hashes(words: list[bytes]) -> np.ndarray:
 
 
 def _numbered(blocks: DataFrame, parts: int) -> DataFrame:
-    """(part, block, numbers) for every block, and (part, null, null, words) with the words so numbered in a part."""
+    """(part, block, at, numbers) for the words of every block, and (part, null, null, null, words) with those so numbered in a part."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, blob in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for block, at, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 words = blob.as_py().split()
                 part = ((_hashes(words) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
                 starts = np.flatnonzero(np.diff(part, prepend=part[0] + np.uint64(1))).tolist()
                 ends = [*starts[1:], len(words)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(part[starts].astype(np.int64)), pa.array([block] * len(starts), pa.int64()),
+                    pa.array(part[starts].astype(np.int64)), pa.array([block] * len(starts), pa.int64()), pa.array([at + a for a in starts], pa.int64()),
                     pa.array([b" ".join(words[a:b]) for a, b in zip(starts, ends)], pa.binary()),
-                ], ["part", "block", "words"])
+                ], ["part", "block", "at", "words"])
 
     def number(rows: pd.DataFrame) -> pd.DataFrame:
         place = _Vocabulary()
@@ -147,13 +172,14 @@ def _numbered(blocks: DataFrame, parts: int) -> DataFrame:
         for blob in rows["words"]:
             words = blob.split()
             numbers.append(np.fromiter(map(place.__getitem__, words), np.int32, len(words)).tobytes())
-        own = pd.DataFrame({"part": rows["part"], "block": rows["block"].astype("Int64"), "numbers": numbers, "words": None})
-        named = pd.DataFrame({"part": own["part"][:1], "block": pd.array([None], "Int64"), "numbers": None, "words": [b" ".join(place)]})
+        own = pd.DataFrame({"part": rows["part"], "block": rows["block"].astype("Int64"), "at": rows["at"].astype("Int64"), "numbers": numbers, "words": None})
+        none = pd.array([None], "Int64")
+        named = pd.DataFrame({"part": own["part"][:1], "block": none, "at": none, "numbers": None, "words": [b" ".join(place)]})
         return pd.concat([own, named], ignore_index=True)
 
-    dealt = blocks.where("n_words > 0").select("block", "words").mapInArrow(deal, "part long, block long, words binary")
-    numbered = dealt.groupBy("part").applyInPandas(number, "part long, block long, numbers binary, words binary")
-    return written(numbered, "dictionary")
+    dealt = blocks.where("n_words > 0").select("block", "at", "words").mapInArrow(deal, "part long, block long, at long, words binary")
+    numbered = dealt.groupBy("part").applyInPandas(number, "part long, block long, at long, numbers binary, words binary")
+    return written(numbered, "dictionary", STORED)
 
 
 def matrix(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -163,30 +189,35 @@ def matrix(docs: DataFrame, text_col: str = "text", keep: list[str] | None = Non
     if not given. They live in a struct, so they may have any name.
     """
     keep = [c for c in docs.columns if c != text_col] if keep is None else keep
-    blocks = written(_blocks(docs, text_col, keep), "blocks")
+    blocks = written(_blocks(docs, text_col, keep), "blocks", STORED)
     words = blocks.agg(F.sum("n_words")).first()[0] or 0
     parts = 1 + words // WORDS_PER_PART
     numbered = _numbered(blocks, parts)
     dictionary = numbered.where("block IS NULL").select("part", F.posexplode(F.split(F.decode("words", "UTF-8"), " ")).alias("at", "word"))
     dictionary = dictionary.select("word", (F.col("at").cast("long") * parts + F.col("part")).alias("term"))
-    of_block = F.array_sort(F.collect_list(F.struct("part", "numbers")))
-    numbers = numbered.where("block IS NOT NULL").groupBy("block").agg(of_block.alias("numbers"))
-    local = blocks.drop("words", "n_words").join(numbers, "block", "left").drop("block")
+    shards = blocks.where("n_words IS NULL").drop("n_words", "words")
+    numbers = numbered.where("block IS NOT NULL").drop("words")
+    # A block's numbers, in the order of its words, come before its shards.
+    local = shards.unionByName(numbers, allowMissingColumns=True).repartition("block").sortWithinPartitions("block", F.isnull("numbers"), "at")
     schema = T.StructType([
         local.schema["rows"], local.schema["indptr"], T.StructField("indices", T.ArrayType(T.LongType())), local.schema["counts"],
     ])
     arrow = to_arrow_schema(schema)
 
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, numbers = None, []
         for batch in batches:
             for k in range(batch.num_rows):
                 one = batch.slice(k, 1)
+                if block != one["block"][0].as_py():
+                    block, numbers = one["block"][0].as_py(), []
+                if one["numbers"][0].is_valid:
+                    numbers.append(np.frombuffer(one["numbers"][0].as_py(), np.int32).astype(np.int64) * parts + one["part"][0].as_py())
+                    continue
                 indptr, indices, counts = (one[c][0].values.to_numpy() for c in ("indptr", "indices", "counts"))
                 if len(indices):
-                    own = one["numbers"][0].values
-                    of_part = [np.frombuffer(n, np.int32) for n in own.field("numbers").to_pylist()]
-                    part = np.repeat(own.field("part").to_numpy(), [len(n) for n in of_part])
-                    terms = (np.concatenate(of_part).astype(np.int64) * parts + part)[indices]
+                    numbers = [np.concatenate(numbers)]
+                    terms = numbers[0][indices]
                     # A block has at most BLOCK_DOCS rows, 16 bits; words have 47.
                     order = np.argsort((np.repeat(np.arange(len(indptr) - 1), np.diff(indptr)) << 47) | terms)
                     indices, counts = terms[order], counts[order]

@@ -8,13 +8,16 @@ from itertools import permutations
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from revcat.llm import filter_audit, lexical_search, packing, term_matrix
 from revcat.llm.queries import ORACLES, QUERIES
+from revcat.session import written
 
 SF = "/root/testdata/sf0.001"
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -106,6 +109,25 @@ def test_matrix_holds_every_count(docs, small_blocks):
     assert found == brute
 
 
+def test_matrix_holds_every_count_in_rows_of_any_size(docs, small_blocks, monkeypatch):
+    monkeypatch.setattr(term_matrix, "ROW_BYTES", 300)
+    test_matrix_holds_every_count(docs, small_blocks)
+
+
+def test_matrix_rows_and_row_groups_stay_small(spark, monkeypatch):
+    """A block of 360,000 entries and 60,000 words leaves its task in rows of a megabyte, and no file holds them as one."""
+    stored = []
+    monkeypatch.setattr(term_matrix, "written", lambda *a: stored.append(written(*a)) or stored[-1])
+    monkeypatch.setattr(term_matrix, "STORED", getattr(term_matrix, "STORED", {}) | {"parquet.block.size": "65536"}, raising=False)
+    words = F.transform(F.sequence(F.lit(0), F.lit(59)), lambda i: F.concat(F.lit("a" * 25), ((F.col("id") * 60 + i) % 60_000).cast("string")))
+    _, shards = term_matrix.matrix(spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.array_join(words, " ").alias("text")))
+    width = F.greatest(F.size("indices") * 8, F.coalesce(F.length("words"), F.lit(0)))
+    assert stored[0].agg(F.max(width)).first()[0] < 1.1 * 2**20
+    assert shards.agg(F.sum(F.size("rows")), F.sum(F.size("indices")), F.max(F.size("indices")) < 150_000).first() == (6000, 360_000, True)
+    groups = [pq.ParquetFile(f.removeprefix("file://")).metadata.num_row_groups for f in stored[0].inputFiles()]
+    assert max(groups) >= 4
+
+
 def test_pieces_cut_at_white_space_only():
     text = b"ab  cd\ne" * 50 + b"x" * 300 + b" y"
     for size in (1, 7, 64, 10_000):
